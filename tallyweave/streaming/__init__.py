@@ -1,0 +1 @@
+"""Kept empty on purpose: every capability this library covers is batch only."""
