@@ -1,4 +1,13 @@
-from .hashing import HASH_PRIME, HashParams, band_keys, draw_hash_params, hashed_id, universal_hash
+from .hashing import (
+    HASH_PRIME,
+    HashParams,
+    band_keys,
+    band_slices,
+    draw_hash_params,
+    hashed_id,
+    minima,
+    universal_hash_sql,
+)
 from .text import (
     categories,
     compact_categories,
@@ -10,11 +19,13 @@ __all__ = [
     "HASH_PRIME",
     "HashParams",
     "band_keys",
+    "band_slices",
     "categories",
     "compact_categories",
     "draw_hash_params",
     "hashed_id",
     "in_year",
+    "minima",
     "tokens",
-    "universal_hash",
+    "universal_hash_sql",
 ]

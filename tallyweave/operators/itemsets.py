@@ -20,7 +20,6 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..staging import spread, stage, stage_counted
 
@@ -135,30 +134,27 @@ def _son_rows(df, basket, item, min_support, n_chunks, min_basket_size, chunk) -
 
 
 def _candidates(rows: DataFrame, min_support: int, crowded: int) -> DataFrame:
-    baskets = rows.select("chunk", "basket").distinct().groupBy("chunk").agg(
-        F.count("*").alias("baskets")
+    """Itemsets of any chunk. A chunk needs ``ceil(min_support * baskets / all baskets)``,
+    computed in integers; the table of needs has one row per chunk."""
+    sizes = rows.select("chunk", "basket").distinct().groupBy("chunk").agg(
+        F.expr("count(*) AS baskets")
     )
-    every_chunk = Window.partitionBy(F.lit(0))
-    # At most one row per chunk. need = ceil(min_support * baskets / total), in integers.
-    exact = T.DecimalType(38, 0)
-    share = F.lit(int(min_support)).cast(T.DecimalType(19, 0)) * F.col("baskets").cast(T.DecimalType(18, 0))
-    total = F.sum("baskets").over(every_chunk).cast(exact)
+    share = f"{int(min_support)} * CAST(baskets AS decimal(18, 0))"
+    total = "CAST(sum(baskets) OVER (PARTITION BY 1) AS decimal(18, 0))"
     needs = stage(
-        baskets.select("chunk", F.expr("1").alias("_one"), share.alias("_share"), total.alias("_total"))
-        .select("chunk", F.call_function("div", F.col("_share") + F.col("_total") - 1, F.col("_total"))
-                .cast("bigint").alias("need")),
+        sizes.selectExpr("chunk", f"CAST(({share} + {total} - 1) DIV {total} AS bigint) AS need"),
         "needs",
     )
     mined = _mine(rows, lambda counted: counted.join(needs, "chunk"), crowded)
-    return mined.groupBy("items", "size").agg(F.count("*").alias("chunks"))
+    return mined.groupBy("items", "size").agg(F.expr("count(*) AS chunks"))
 
 
 def _mine(rows: DataFrame, with_need, crowded: int) -> DataFrame:
     """All ``(chunk, items, size, support)`` that reach the need of their chunk."""
     singles, n_singles = stage_counted(
         _numbered(
-            with_need(rows.groupBy("chunk", "item").agg(F.count("*").alias("support")))
-            .filter(F.col("support") >= F.col("need"))
+            with_need(rows.groupBy("chunk", "item").agg(F.expr("count(*) AS support")))
+            .filter("support >= need")
         ),
         "level-1",
     )
@@ -172,7 +168,7 @@ def _mine(rows: DataFrame, with_need, crowded: int) -> DataFrame:
         if split.crowded_rows is not None:
             counted = _add_crowded(counted, split, with_need)
         level, n_found = stage_counted(
-            with_need(counted).filter(F.col("support") >= F.col("need")).drop("need"),
+            with_need(counted).filter("support >= need").drop("need"),
             f"level-{size}",
         )
         if n_found:
@@ -180,7 +176,7 @@ def _mine(rows: DataFrame, with_need, crowded: int) -> DataFrame:
         # A larger frequent itemset has size + 1 subsets of this size, all frequent.
         if n_found <= size:
             break
-        grown = _cut_down(longer, level).filter(F.size("lasts") > 1)
+        grown = _cut_down(longer, level).filter("size(lasts) > 1")
         if size % STAGE_EVERY == 0:
             grown = stage(spread(grown, "prefix", "lasts"), f"grown-{size}")
     return _named(found, singles)
@@ -197,24 +193,21 @@ def _ranked(rows: DataFrame, singles: DataFrame) -> DataFrame:
 
 def _named(levels: list[DataFrame], singles: DataFrame) -> DataFrame:
     """Itemsets of all levels with the item names put back, in item order."""
-    result = singles.select("chunk", F.array("item").alias("items"), F.lit(1).alias("size"), "support")
+    result = singles.selectExpr("chunk", "array(item) AS items", "1 AS size", "support")
     if not levels:
         return result
     numbered = levels[0]
     for level in levels[1:]:
         numbered = numbered.unionByName(level)
-    numbers = F.concat("prefix", F.array("last"))
-    each = numbered.select("chunk", numbers.alias("numbers"), "support").select(
-        "chunk", "numbers", "support", F.explode("numbers").alias("number")
+    each = numbered.selectExpr("chunk", "concat(prefix, array(last)) AS numbers", "support").selectExpr(
+        "chunk", "numbers", "support", "explode(numbers) AS number"
     )
     named = (
         each.join(singles.select("number", "item"), "number")
         .groupBy("chunk", "numbers", "support")
-        .agg(F.array_sort(F.collect_list("item")).alias("items"))
-    )
-    return result.unionByName(
-        named.select("chunk", "items", F.size("numbers").alias("size"), "support")
+        .agg(F.expr("array_sort(collect_list(item)) AS items"))
     )
+    return result.unionByName(named.selectExpr("chunk", "items", "size(numbers) AS size", "support"))
 
 
 def _split_baskets(ranked: DataFrame, n_singles: int, with_need, crowded: int) -> _Split:
@@ -247,43 +240,49 @@ def _split_baskets(ranked: DataFrame, n_singles: int, with_need, crowded: int) -
     )
 
 
+_RARE_FIRST = "array_sort(collect_list(struct(support, number))).number"
+
+
 def _grouped(ranked: DataFrame) -> DataFrame:
     """``(chunk, prefix, lasts, weight)``: equal baskets are one row with a weight."""
-    rare_first = F.array_sort(F.collect_list(F.struct("support", "number")))["number"]
-    baskets = ranked.groupBy("chunk", "basket").agg(rare_first.alias("lasts"))
-    merged = baskets.filter(F.size("lasts") > 1).groupBy("chunk", "lasts").agg(
-        F.count("*").alias("weight")
+    baskets = ranked.groupBy("chunk", "basket").agg(F.expr(f"{_RARE_FIRST} AS lasts"))
+    merged = (
+        baskets.filter("size(lasts) > 1")
+        .groupBy("chunk", "lasts")
+        .agg(F.expr("count(*) AS weight"))
+        .selectExpr("chunk", "CAST(array() AS array<bigint>) AS prefix", "lasts", "weight")
     )
-    nothing = F.array().cast("array<bigint>")
-    rows = merged.select("chunk", nothing.alias("prefix"), "lasts", "weight")
-    return stage(spread(rows, "lasts"), "grown-1")
+    return stage(spread(merged, "lasts"), "grown-1")
 
 
 def _lengthen(grown: DataFrame) -> DataFrame:
     """Move each of ``lasts`` to the prefix; what follows it stays to grow by."""
-    placed = grown.select("chunk", "prefix", "lasts", "weight", F.posexplode("lasts").alias("_at", "_number"))
-    return placed.filter(F.col("_at") + 1 < F.size("lasts")).select(
-        "chunk",
-        F.concat("prefix", F.array("_number")).alias("prefix"),
-        F.slice("lasts", F.col("_at") + 2, F.size("lasts")).alias("lasts"),
-        "weight",
+    return (
+        grown.selectExpr("chunk", "prefix", "lasts", "weight", "posexplode(lasts) AS (at, number)")
+        .filter("at + 1 < size(lasts)")
+        .selectExpr(
+            "chunk",
+            "concat(prefix, array(number)) AS prefix",
+            "slice(lasts, at + 2, size(lasts)) AS lasts",
+            "weight",
+        )
     )
 
 
 def _count_lasts(longer: DataFrame) -> DataFrame:
     """Support of each prefix with each of its ``lasts``."""
     return (
-        longer.select("chunk", "prefix", F.explode("lasts").alias("last"), "weight")
+        longer.selectExpr("chunk", "prefix", "explode(lasts) AS last", "weight")
         .groupBy("chunk", "prefix", "last")
-        .agg(F.sum("weight").alias("support"))
+        .agg(F.expr("sum(weight) AS support"))
     )
 
 
 def _cut_down(longer: DataFrame, level: DataFrame) -> DataFrame:
     """Keep of ``lasts`` what makes an itemset of ``level`` with the prefix."""
-    allowed = level.groupBy("chunk", "prefix").agg(F.collect_list("last").alias("_allowed"))
-    return longer.join(allowed, ["chunk", "prefix"]).select(
-        "chunk", "prefix", F.array_intersect("lasts", "_allowed").alias("lasts"), "weight"
+    allowed = level.groupBy("chunk", "prefix").agg(F.expr("collect_list(last) AS allowed"))
+    return longer.join(allowed, ["chunk", "prefix"]).selectExpr(
+        "chunk", "prefix", "array_intersect(lasts, allowed) AS lasts", "weight"
     )
 
 
@@ -335,15 +334,13 @@ def _recount(rows: DataFrame, candidates: DataFrame, crowded: int) -> DataFrame:
     if deepest < 2:
         return _named([], singles)
     # Each candidate as a path, its items in the order the baskets use.
-    rare_first = F.array_sort(F.collect_list(F.struct("support", "number")))["number"]
     paths = stage(
         candidates.filter("size > 1")
-        .select("items", "size", F.explode("items").alias("item"))
+        .selectExpr("items", "size", "explode(items) AS item")
         .join(singles, "item")
         .groupBy("chunk", "items", "size")
-        .agg(rare_first.alias("numbers"))
-        .select("chunk", "size", F.slice("numbers", 1, F.col("size") - 1).alias("prefix"),
-                F.element_at("numbers", -1).alias("last")),
+        .agg(F.expr(f"{_RARE_FIRST} AS numbers"))
+        .selectExpr("chunk", "size", "slice(numbers, 1, size - 1) AS prefix", "numbers[size - 1] AS last"),
         "paths",
     )
     # The candidates are given, so any number of baskets may be counted by join.
@@ -353,20 +350,21 @@ def _recount(rows: DataFrame, candidates: DataFrame, crowded: int) -> DataFrame:
     )
     found, grown = [], split.light
     for size in range(2, deepest + 1):
-        level = paths.filter(F.col("size") == size).drop("size")
-        cut = _cut_down(_lengthen(grown), level).filter(F.size("lasts") > 0)
-        if size % STAGE_EVERY == 0:
-            cut = stage(spread(cut, "prefix", "lasts"), f"recount-{size}")
+        level = paths.filter(f"size = {size}").drop("size")
+        cut = stage(
+            spread(_cut_down(_lengthen(grown), level).filter("size(lasts) > 0"), "prefix", "lasts"),
+            f"recount-{size}",
+        )
         support = _count_lasts(cut)
         if split.crowded_rows is not None:
-            held = _support_in_rows(
-                level.select("chunk", F.concat("prefix", F.array("last")).alias("numbers")),
-                split.crowded_rows,
-            ).select("chunk", F.slice("numbers", 1, size - 1).alias("prefix"),
-                     F.element_at("numbers", -1).alias("last"), F.col("held").alias("support"))
+            numbered = level.selectExpr("chunk", "concat(prefix, array(last)) AS numbers")
+            held = _support_in_rows(numbered, split.crowded_rows).selectExpr(
+                "chunk", f"slice(numbers, 1, {size - 1}) AS prefix", f"numbers[{size - 1}] AS last",
+                "held AS support",
+            )
             support = support.unionByName(held).groupBy("chunk", "prefix", "last").agg(
-                F.sum("support").alias("support")
+                F.expr("sum(support) AS support")
             )
         found.append(support)
-        grown = cut.filter(F.size("lasts") > 1)
+        grown = cut.filter("size(lasts) > 1")
     return _named(found, singles)

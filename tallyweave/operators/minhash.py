@@ -2,17 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.hashing import HashParams, band_keys, draw_hash_params, hashed_id, universal_hash
-
-
-def minima(x: Column, params: Sequence[HashParams]) -> list[Column]:
-    """One aggregate per hash function: its minimum over the rows of a set."""
-    return [F.min(universal_hash(x, p)) for p in params]
+from ..functions.hashing import band_keys, band_slices, draw_hash_params, hashed_id, minima
 
 
 def minhash_signatures(
@@ -26,14 +19,12 @@ def minhash_signatures(
     x = hashed_id(F.col("member"), df.schema[member].dataType)
     rows = df.select(F.col(key).alias("key"), F.col(member).alias("member")).dropna()
     hashed = rows.select("key", x.alias("x"))
-    return hashed.groupBy("key").agg(
-        F.array(*minima(F.col("x"), draw_hash_params(n_hashes, seed))).alias("signature")
-    )
+    return hashed.groupBy("key").agg(minima("x", draw_hash_params(n_hashes, seed)).alias("signature"))
 
 
 def band_rows(signed: DataFrame, n_bands: int, n_rows: int, *carry: str) -> DataFrame:
     """One row per set and band: ``(bucket, carry...)``."""
-    keys = band_keys(F.col("signature"), n_bands, n_rows)
+    keys = band_keys("signature", n_bands, n_rows)
     return signed.select(F.explode(keys).alias("bucket"), *carry)
 
 
@@ -42,9 +33,7 @@ def lsh_buckets(
 ) -> DataFrame:
     """``(band, minima, sets)``: buckets that more than one key falls into."""
     signed = minhash_signatures(df, key, member, n_bands * n_rows, seed)
-    bands = F.array(
-        *(F.slice("signature", band * n_rows + 1, n_rows) for band in range(n_bands))
-    )
+    bands = band_slices("signature", n_bands, n_rows)
     return (
         signed.select(F.posexplode(bands).alias("band", "minima"))
         .groupBy("band", "minima")
