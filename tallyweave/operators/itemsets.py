@@ -22,9 +22,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..staging import spread, stage, stage_counted
+from .pairs import largest_group
 
 # Frequent items a basket may hold before it is counted by join instead of expanded.
 CROWDED_BASKET = 200
+# Items a prefix may grow by before they are matched by join instead of as one array.
+WIDE_PREFIX = 4096
 # Levels between two written basket tables; in between they are derived again.
 STAGE_EVERY = 3
 
@@ -37,6 +40,7 @@ def frequent_itemsets(
     min_basket_size: int = 0,
     *,
     crowded: int = CROWDED_BASKET,
+    wide: int = WIDE_PREFIX,
 ) -> DataFrame:
     """``(items, size, support)`` for all itemsets held by ``min_support`` baskets or more.
 
@@ -46,7 +50,7 @@ def frequent_itemsets(
     _check(min_support)
     rows = _basket_rows(df, basket, item, min_basket_size, F.lit(0))
     needs = F.lit(int(min_support)).cast("bigint")
-    return _mine(rows, lambda counted: counted.withColumn("need", needs), crowded).drop("chunk")
+    return _mine(rows, lambda counted: counted.withColumn("need", needs), crowded, wide).drop("chunk")
 
 
 def son_candidates(
@@ -59,6 +63,7 @@ def son_candidates(
     *,
     chunk: Column | None = None,
     crowded: int = CROWDED_BASKET,
+    wide: int = WIDE_PREFIX,
 ) -> DataFrame:
     """``(items, size, chunks)``: itemsets frequent in at least one chunk of the baskets.
 
@@ -67,7 +72,7 @@ def son_candidates(
     ``chunks`` is the number of chunks that name the itemset.
     """
     rows = _son_rows(df, basket, item, min_support, n_chunks, min_basket_size, chunk)
-    return _candidates(rows, min_support, crowded)
+    return _candidates(rows, min_support, crowded, wide)
 
 
 def son_itemsets(
@@ -80,6 +85,7 @@ def son_itemsets(
     *,
     chunk: Column | None = None,
     crowded: int = CROWDED_BASKET,
+    wide: int = WIDE_PREFIX,
 ) -> DataFrame:
     """Frequent itemsets by two passes: chunk candidates, then one exact recount.
 
@@ -87,8 +93,8 @@ def son_itemsets(
     ``frequent_itemsets`` for any number of chunks.
     """
     rows = _son_rows(df, basket, item, min_support, n_chunks, min_basket_size, chunk)
-    candidates = stage(_candidates(rows, min_support, crowded).drop("chunks"), "candidates")
-    counted = _recount(rows.withColumn("chunk", F.lit(0)), candidates, crowded)
+    candidates = stage(_candidates(rows, min_support, crowded, wide).drop("chunks"), "candidates")
+    counted = _recount(rows.withColumn("chunk", F.lit(0)), candidates, crowded, wide)
     return counted.filter(F.col("support") >= int(min_support)).drop("chunk")
 
 
@@ -133,7 +139,7 @@ def _son_rows(df, basket, item, min_support, n_chunks, min_basket_size, chunk) -
     return _basket_rows(df, basket, item, min_basket_size, chunk)
 
 
-def _candidates(rows: DataFrame, min_support: int, crowded: int) -> DataFrame:
+def _candidates(rows: DataFrame, min_support: int, crowded: int, wide: int) -> DataFrame:
     """Itemsets of any chunk. A chunk needs ``ceil(min_support * baskets / all baskets)``,
     computed in integers; the table of needs has one row per chunk."""
     sizes = rows.select("chunk", "basket").distinct().groupBy("chunk").agg(
@@ -145,11 +151,11 @@ def _candidates(rows: DataFrame, min_support: int, crowded: int) -> DataFrame:
         sizes.selectExpr("chunk", f"CAST(({share} + {total} - 1) DIV {total} AS bigint) AS need"),
         "needs",
     )
-    mined = _mine(rows, lambda counted: counted.join(needs, "chunk"), crowded)
+    mined = _mine(rows, lambda counted: counted.join(needs, "chunk"), crowded, wide)
     return mined.groupBy("items", "size").agg(F.expr("count(*) AS chunks"))
 
 
-def _mine(rows: DataFrame, with_need, crowded: int) -> DataFrame:
+def _mine(rows: DataFrame, with_need, crowded: int, wide: int) -> DataFrame:
     """All ``(chunk, items, size, support)`` that reach the need of their chunk."""
     singles, n_singles = stage_counted(
         _numbered(
@@ -176,7 +182,7 @@ def _mine(rows: DataFrame, with_need, crowded: int) -> DataFrame:
         # A larger frequent itemset has size + 1 subsets of this size, all frequent.
         if n_found <= size:
             break
-        grown = _cut_down(longer, level).filter("size(lasts) > 1")
+        grown = _cut_down(longer, level, n_found, wide).filter("size(lasts) > 1")
         if size % STAGE_EVERY == 0:
             grown = stage(spread(grown, "prefix", "lasts"), f"grown-{size}")
     return _named(found, singles)
@@ -278,8 +284,37 @@ def _count_lasts(longer: DataFrame) -> DataFrame:
     )
 
 
-def _cut_down(longer: DataFrame, level: DataFrame) -> DataFrame:
-    """Keep of ``lasts`` what makes an itemset of ``level`` with the prefix."""
+def _cut_down(longer: DataFrame, level: DataFrame, n_level: int, wide: int) -> DataFrame:
+    """Keep of ``lasts`` what makes an itemset of ``level`` with the prefix.
+
+    The items a prefix may grow by travel as one array, but for wide prefixes: there the
+    ``lasts`` of a basket, few by construction, are matched one by one and put together
+    again under a hash of the row.
+    """
+    if n_level <= wide or largest_group(level, "chunk", "prefix") <= wide:
+        return _keep_allowed(longer, level)
+    widths = level.groupBy("chunk", "prefix").agg(F.expr("count(*) AS width"))
+    wide_prefixes = stage(widths.filter(f"width > {wide}").select("chunk", "prefix"), "wide")
+    one_by_one = (
+        longer.join(wide_prefixes, ["chunk", "prefix"], "left_semi")
+        .selectExpr(
+            "chunk", "prefix", "weight", "posexplode(lasts) AS (at, last)",
+            "xxhash64(lasts) AS row_1", "xxhash64(lasts, 'second') AS row_2",
+        )
+        .groupBy("chunk", "prefix", "row_1", "row_2", "at", "last")
+        .agg(F.expr("sum(weight) AS weight"))
+        .join(level, ["chunk", "prefix", "last"], "left_semi")
+        .groupBy("chunk", "prefix", "row_1", "row_2", "weight")
+        .agg(F.expr("array_sort(collect_list(struct(at, last))).last AS lasts"))
+        .select("chunk", "prefix", "lasts", "weight")
+    )
+    narrow = longer.join(wide_prefixes, ["chunk", "prefix"], "left_anti")
+    return _keep_allowed(narrow, level.join(wide_prefixes, ["chunk", "prefix"], "left_anti")).unionByName(
+        one_by_one
+    )
+
+
+def _keep_allowed(longer: DataFrame, level: DataFrame) -> DataFrame:
     allowed = level.groupBy("chunk", "prefix").agg(F.expr("collect_list(last) AS allowed"))
     return longer.join(allowed, ["chunk", "prefix"]).selectExpr(
         "chunk", "prefix", "array_intersect(lasts, allowed) AS lasts", "weight"
@@ -318,7 +353,7 @@ def _support_in_rows(itemsets: DataFrame, rows: DataFrame) -> DataFrame:
     )
 
 
-def _recount(rows: DataFrame, candidates: DataFrame, crowded: int) -> DataFrame:
+def _recount(rows: DataFrame, candidates: DataFrame, crowded: int, wide: int) -> DataFrame:
     """Exact ``(chunk, items, size, support)`` of the candidates over all baskets.
 
     Candidates are closed under subsets, so baskets walk down them prefix by prefix.
@@ -334,7 +369,7 @@ def _recount(rows: DataFrame, candidates: DataFrame, crowded: int) -> DataFrame:
     if deepest < 2:
         return _named([], singles)
     # Each candidate as a path, its items in the order the baskets use.
-    paths = stage(
+    paths, n_paths = stage_counted(
         candidates.filter("size > 1")
         .selectExpr("items", "size", "explode(items) AS item")
         .join(singles, "item")
@@ -352,7 +387,11 @@ def _recount(rows: DataFrame, candidates: DataFrame, crowded: int) -> DataFrame:
     for size in range(2, deepest + 1):
         level = paths.filter(f"size = {size}").drop("size")
         cut = stage(
-            spread(_cut_down(_lengthen(grown), level).filter("size(lasts) > 0"), "prefix", "lasts"),
+            spread(
+                _cut_down(_lengthen(grown), level, n_paths, wide).filter("size(lasts) > 0"),
+                "prefix",
+                "lasts",
+            ),
             f"recount-{size}",
         )
         support = _count_lasts(cut)

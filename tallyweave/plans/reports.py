@@ -8,10 +8,12 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import in_year
 from ..operators.averages import category_averages, top_categories
-from ..operators.counts import busy_keys, distinct_count, row_count, top_keys, top_words, year_count
+from ..operators.counts import busy_keys, top_words
 from ..operators.itemsets import frequent_itemsets, son_candidates
 from ..operators.layout import hash_layout, partition_layout
+from ..staging import stage
 
 
 class BusyReport(NamedTuple):
@@ -38,23 +40,24 @@ def exploration_report(
     """One row with the answers A to E.
 
     A: reviews; B: reviews of ``year``; C: distinct users; D: the ``m`` users with most
-    reviews and their counts; E: the ``n`` most frequent words. Each answer is a scalar
-    subquery of its own that reads only the columns it needs.
+    reviews and their counts; E: the ``n`` most frequent words. A to D come from one pass
+    that leaves a row per user, E from a pass over the text.
     """
-    users = top_keys(reviews, user, m).agg(
+    dated = in_year(F.col(date), reviews.schema[date].dataType, year)
+    per_user = stage(
+        reviews.groupBy(user).agg(F.count("*").alias("count"), F.count_if(dated).alias("in_year")),
+        "users",
+    )
+    totals = per_user.selectExpr(
+        "coalesce(sum(count), 0) AS A", "coalesce(sum(in_year), 0) AS B", "count(*) AS C"
+    )
+    users = per_user.orderBy(F.desc("count"), F.asc(user)).limit(m).agg(
         F.transform(
             _by_rank(user), lambda e: F.struct(e["name"].alias(user), (-e["order"]).alias("count"))
         ).alias("users")
     )
     words = top_words(reviews, text, n, stopwords).agg(_by_rank("word")["name"].alias("words"))
-    one_row = reviews.sparkSession.range(1)
-    return one_row.select(
-        row_count(reviews).scalar().alias("A"),
-        year_count(reviews, date, year).scalar().alias("B"),
-        distinct_count(reviews, user).scalar().alias("C"),
-        users.scalar().alias("D"),
-        words.scalar().alias("E"),
-    )
+    return totals.select("A", "B", "C", users.scalar().alias("D"), words.scalar().alias("E"))
 
 
 def _by_rank(name: str) -> Column:
