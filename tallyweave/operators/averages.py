@@ -19,18 +19,17 @@ def category_averages(
     """Average of the facts' ``value`` per category of the dimension row they belong to.
 
     Facts are summed per key before the join, so the join moves one row per key, however
-    many facts one key has. A category named twice by a dimension row counts twice; the
+    many facts one key has; lists are split after it, when only matched keys are left. A category named twice by a dimension row counts twice; the
     empty category counts; rows with null value, key or category list are skipped.
     """
     per_key = facts.groupBy(key).agg(
         F.sum(value).alias("_sum"), F.count(value).alias("_count")
     )
-    listed = dimension.select(
-        key, F.explode(categories(F.col(category), separator)).alias("category")
-    )
+    named = per_key.filter(F.col("_count") > 0).join(dimension.select(key, category), key)
     return (
-        per_key.filter(F.col("_count") > 0)
-        .join(listed, key)
+        named.select(
+            F.explode(categories(F.col(category), separator)).alias("category"), "_sum", "_count"
+        )
         .groupBy("category")
         .agg((F.sum("_sum") / F.sum("_count")).alias("average"))
     )
