@@ -386,14 +386,8 @@ def _recount(rows: DataFrame, candidates: DataFrame, crowded: int, wide: int) ->
     found, grown = [], split.light
     for size in range(2, deepest + 1):
         level = paths.filter(f"size = {size}").drop("size")
-        cut = stage(
-            spread(
-                _cut_down(_lengthen(grown), level, n_paths, wide).filter("size(lasts) > 0"),
-                "prefix",
-                "lasts",
-            ),
-            f"recount-{size}",
-        )
+        cut = _cut_down(_lengthen(grown), level, n_paths, wide).filter("size(lasts) > 0")
+        cut = stage(cut, f"recount-{size}")
         support = _count_lasts(cut)
         if split.crowded_rows is not None:
             numbered = level.selectExpr("chunk", "concat(prefix, array(last)) AS numbers")

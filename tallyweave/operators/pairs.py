@@ -24,6 +24,7 @@ def pairs_within(
     carry: Sequence[str] = (),
     keep: Callable[[Sequence[Column], Sequence[Column]], Column] | None = None,
     cell_rows: int = CELL_ROWS,
+    largest: int | None = None,
 ) -> DataFrame:
     """Each unordered pair of ids that share a group, once per shared group.
 
@@ -32,10 +33,13 @@ def pairs_within(
     columns, evaluated inside the join.
 
     A group of more than ``cell_rows`` rows is cut into parts, and each pair of parts is
-    a join key of its own: no task sees more than ``cell_rows`` rows of a group on a side.
+    a join key of its own: no task sees more than about ``cell_rows`` rows of a group on a
+    side. ``largest`` is the row count of the largest group, where the caller knows it.
     """
     columns = [id_col, *carry]
-    if largest_group(rows, *group) <= cell_rows:
+    if largest is None:
+        largest = largest_group(rows, *group)
+    if largest <= cell_rows:
         left = rows.select(*group, *(F.col(c).alias(f"{c}_1") for c in columns))
         right = rows.select(*group, *(F.col(c).alias(f"{c}_2") for c in columns))
         ordered = F.col(f"{id_col}_1") < F.col(f"{id_col}_2")
