@@ -82,23 +82,20 @@ SELECT items, size, count(*) AS chunks FROM named JOIN chunks USING (chunk)
 WHERE support * (SELECT sum(baskets) FROM chunks) >= {P.SUPPORT} * baskets
 GROUP BY items, size"""
 
-# Complete up to size 3; at the scale of the check no itemset of size 3 reaches the support.
+# Every itemset with the list of its baskets, grown by one larger item at a time.
 _SUPPLIER_ITEMSETS = f"""
-WITH items AS (SELECT DISTINCT l_partkey AS basket, l_suppkey AS item FROM lineitem),
-  ones AS (SELECT item, count(*) AS support FROM items GROUP BY item HAVING count(*) >= {P.SUPPLIER_SUPPORT}),
-  kept AS (SELECT * FROM items WHERE item IN (SELECT item FROM ones)),
-  twos AS (
-    SELECT a.item AS i, b.item AS j, count(*) AS support
-    FROM kept a JOIN kept b ON a.basket = b.basket AND a.item < b.item
-    GROUP BY 1, 2 HAVING count(*) >= {P.SUPPLIER_SUPPORT}),
-  threes AS (
-    SELECT i, j, c.item AS k, count(*) AS support
-    FROM twos JOIN kept a ON a.item = i JOIN kept b ON b.item = j AND b.basket = a.basket
-      JOIN kept c ON c.basket = a.basket AND c.item > j
-    GROUP BY 1, 2, 3 HAVING count(*) >= {P.SUPPLIER_SUPPORT})
-SELECT item::VARCHAR AS items, 1 AS size, support FROM ones
-UNION ALL SELECT concat_ws('{P.ITEM_SEPARATOR}', i, j), 2, support FROM twos
-UNION ALL SELECT concat_ws('{P.ITEM_SEPARATOR}', i, j, k), 3, support FROM threes"""
+WITH RECURSIVE
+  ones AS (
+    SELECT l_suppkey AS item, list(DISTINCT l_partkey) AS baskets
+    FROM lineitem GROUP BY l_suppkey HAVING count(DISTINCT l_partkey) >= {P.SUPPLIER_SUPPORT}),
+  grown AS (
+    SELECT item::VARCHAR AS items, item AS last, 1 AS size, baskets FROM ones
+    UNION ALL
+    SELECT g.items || '{P.ITEM_SEPARATOR}' || o.item, o.item, g.size + 1,
+           list_intersect(g.baskets, o.baskets)
+    FROM grown g JOIN ones o ON o.item > g.last
+    WHERE len(list_intersect(g.baskets, o.baskets)) >= {P.SUPPLIER_SUPPORT})
+SELECT items, size, len(baskets)::BIGINT AS support FROM grown"""
 
 _SETS = """
   sets AS (
