@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, id_files, packing
+from . import byte_bpe, id_files, packing, quality_model
+from .labelled import held_out
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +33,14 @@ def op6_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
 
 
+def op8_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    apart = held_out("doc_id", 4, 2)
+    model = quality_model.fit(docs, labels, "doc_id", "text", "quality", ~apart)
+    scored = quality_model.score(docs, model, "doc_id", "text").withColumnRenamed("id", "doc_id")
+    return scored.select("doc_id", apart.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     pieces = packing.pack(docs, "doc_id", "text", public_tokenizers.path("byte_bpe_50k.json"))
@@ -41,6 +50,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_byte_bpe": op3_byte_bpe,
     "op6_id_files": op6_id_files,
+    "op8_quality_model": op8_quality_model,
     "op10_packing": op10_packing,
 }
 

@@ -19,6 +19,7 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -210,7 +211,7 @@ def read(spark: SparkSession, files: IdFiles, keys: DataFrame, *, with_ids: bool
         system, folder = fs.FileSystem.from_uri(path)
         at, file = -1, None
         for batch in batches:
-            starts = pa.compute.add(batch.column("base"), batch.column("first"))
+            starts = pc.add(batch.column("base"), batch.column("first"))
             crcs, payloads = [], []
             places = (batch.column(x).to_pylist() for x in ("shard", "first", "n_tokens"))
             for shard, first, count in zip(*places):

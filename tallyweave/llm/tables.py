@@ -7,6 +7,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from ..staging import stage, staging_path
@@ -46,7 +47,7 @@ def text_slices(
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = pa.compute.binary_length(batch.column(column)).fill_null(0)
+        sizes = pc.binary_length(batch.column(column)).fill_null(0)
         ends = np.cumsum(sizes.to_numpy(zero_copy_only=False))
         start = 0
         while start < batch.num_rows:
