@@ -6,7 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, id_files, packing, quality_model
+from . import (
+    byte_bpe,
+    id_files,
+    main_text,
+    near_vectors,
+    ngram_join,
+    packing,
+    quality_model,
+    quality_rules,
+    repeats,
+    toxicity,
+)
 from .labelled import held_out
 
 
@@ -14,6 +25,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return near_vectors.near_vectors(vectors, "vec_id", "embedding", "label", 0.93).withColumnRenamed("id", "vec_id")
+
+
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return quality_rules.quality_rules(docs, "doc_id", "text").withColumnRenamed("id", "doc_id")
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     vocab = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -26,6 +47,17 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    found = main_text.extract(pages, "page_id", "html", "url").withColumnRenamed("id", "page_id")
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return ngram_join.ngram_components(docs, "doc_id", "text").withColumnRenamed("id", "doc_id")
+
+
 def op6_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     files = id_files.write(docs, "doc_id", "text", public_tokenizers.path("word_bpe_49k.json"))
@@ -33,6 +65,14 @@ def op6_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    apart = held_out("doc_id", 5, 0)
+    model = toxicity.fit(docs, labels, "doc_id", "text", "toxic", ~apart)
+    scored = toxicity.score(docs, model, "doc_id", "text").withColumnRenamed("id", "doc_id")
+    return scored.select("doc_id", apart.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op8_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     apart = held_out("doc_id", 4, 2)
@@ -41,6 +81,18 @@ def op8_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", apart.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    cut = repeats.remove_repeats(docs, "doc_id", "text")
+    return cut.select(
+        F.col("id").alias("doc_id"),
+        "n_bytes",
+        "n_removed",
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     pieces = packing.pack(docs, "doc_id", "text", public_tokenizers.path("byte_bpe_50k.json"))
@@ -48,9 +100,15 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_near_vectors": op1_near_vectors,
+    "op2_quality_rules": op2_quality_rules,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_main_text": op4_main_text,
+    "op5_ngram_join": op5_ngram_join,
     "op6_id_files": op6_id_files,
+    "op7_toxicity": op7_toxicity,
     "op8_quality_model": op8_quality_model,
+    "op9_repeats": op9_repeats,
     "op10_packing": op10_packing,
 }
 

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from .labelled import SAMPLE_ROWS, labelled_sample
-from .tables import text_bytes, text_slices
+from .tables import filtered, text_bytes, text_slices
 from .words import TOKEN_CLASSES, mixed, runs
 
 ROW_BITS = 13
@@ -209,3 +209,8 @@ def score(docs: DataFrame, model: QualityModel, id_col: str, text_col: str) -> D
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(scores)], schema=schema)
 
     return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, score double")
+
+
+def accepted(docs: DataFrame, model: QualityModel, text_col: str, least: float) -> DataFrame:
+    """Rows of ``docs``, with all columns, whose score is at least ``least``."""
+    return filtered(docs, text_col, lambda texts: model.network.scores(pooled(*text_bytes(texts), model.vectors)) >= least)

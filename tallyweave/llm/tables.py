@@ -64,3 +64,14 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     data = filled.buffers()[2]
     raw = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+def filtered(df: DataFrame, text_col: str, decide) -> DataFrame:
+    """Rows of ``df``, with all columns, for which ``decide(texts)`` is true; ``texts`` is an Arrow
+    array of strings. Nothing is shuffled."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches, text_col):
+            yield batch.filter(pa.array(decide(batch.column(text_col)), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
