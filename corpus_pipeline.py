@@ -52,7 +52,7 @@ def join_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut repeated passages. What is left of a character that was cut in two is replaced, and a
     document of which nothing is left is dropped."""
-    cut = repeats.remove_repeats(_by_row(docs), "stage_row", "text", *docs.columns)
+    cut = repeats.remove_repeats(docs, "doc_id", "text", *docs.columns)
     rest = cut.where(F.octet_length("kept") > 0).withColumn("rest", F.make_valid_utf8(F.col("kept").cast("string")))
     new = {"text": F.col("rest"), "n_chars": F.char_length("rest").cast("long")}
     return rest.select(*(new.get(x, F.col(f"carried.`{x}`")).alias(x) for x in docs.columns))
