@@ -44,11 +44,12 @@ _BESIDE = re.compile(
 )
 _NAMES = re.compile(r"""\b(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _HIDDEN = re.compile(r"""(?<![\w-])hidden(?![\w-])|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
-_ATTRIBUTES = r"""(?:[^"'>]|"[^"]*"|'[^']*')*"""
+_ATTRIBUTES = r"""(?:[^"'>]++|"[^"]*+"|'[^']*+')*+"""
 _TOKENS = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     rf"|<(?P<unread>{'|'.join(UNREAD)})\b{_ATTRIBUTES}(?:/>|>.*?(?:</(?P=unread)\s*>|\Z)|\Z)"
-    rf"|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>{_ATTRIBUTES})(?:>|\Z)",
+    rf"|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>{_ATTRIBUTES})(?:>|\Z)"
+    r"|</?[a-zA-Z][^<]*\Z",
     re.S | re.I,
 )
 

@@ -46,6 +46,9 @@ class Join(NamedTuple):
     common: int = 40
     other_orders: int = 2
 
+    def orders(self) -> list[str]:
+        return [f"order{i}" for i in range(2, self.other_orders + 2)]
+
     def prefix(self, size: int) -> int:
         return size - -(-size * self.share[0] // self.share[1]) + 1
 
@@ -76,8 +79,9 @@ def _sets(join: Join, kind: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
             sets = shingle_sets(*text_bytes(batch.column("text")), join.width)
-            columns = [batch.column("id"), pa.array([len(x) for x in sets], pa.int64()), pa.array([_print(x) for x in sets], pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, schema=pa.schema([("id", kind), ("n", pa.int64()), ("print", pa.int64())]))
+            columns = [batch.column("id"), batch.column("digest"), pa.array([len(x) for x in sets], pa.int64()), pa.array([_print(x) for x in sets], pa.int64())]
+            fields = [("id", kind), ("digest", pa.int64()), ("n", pa.int64()), ("print", pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, schema=pa.schema(fields))
 
     return run
 
@@ -152,14 +156,17 @@ def _prefix(tokens: np.ndarray, order: int, common: np.ndarray, join: Join) -> n
     return drawn if count >= len(drawn) else np.partition(drawn, count - 1)[:count]
 
 
-def _postings(join: Join, common: np.ndarray):
-    """Prefix tokens under the first order. A set seen before in this task is passed over, as
-    far as it is remembered."""
+def _prefixes(join: Join, common: np.ndarray):
+    """Prefixes of each set: under the first order as its keys, under the others as halves of
+    hashes, since meeting too often does no harm there. A set seen before in this task is
+    passed over, as far as it is remembered."""
+    names = ["print", "n", "keys", *join.orders()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in text_slices(batches):
-            tokens, prints, sizes = [], [], []
+            prints, sizes = [], []
+            prefixes: list[list[np.ndarray]] = [[] for _ in names[2:]]
             for found in shingle_sets(*text_bytes(batch.column("text")), join.width):
                 own = _print(found)
                 if own is None or own in seen:
@@ -167,32 +174,29 @@ def _postings(join: Join, common: np.ndarray):
                 if len(seen) >= 200_000:
                     seen.clear()
                 seen.add(own)
-                tokens.append(_prefix(found, 1, common, join))
                 prints.append(own)
                 sizes.append(len(found))
-            counts = [len(x) for x in tokens]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate([np.zeros(0, np.uint64), *tokens]).view(np.int64)),
-                    pa.array(np.repeat(np.array(prints, np.int64), counts)),
-                    pa.array(np.repeat(np.array(sizes, np.int64), counts)),
-                ],
-                names=["token", "print", "n"],
-            )
+                for order, out in enumerate(prefixes, 1):
+                    prefix = _prefix(found, order, common, join).view(np.int64)
+                    out.append(prefix if order == 1 else prefix.astype(np.int32))
+            kinds = [pa.list_(pa.int64()), *[pa.list_(pa.int32())] * join.other_orders]
+            columns = [pa.array(prints, pa.int64()), pa.array(sizes, pa.int64()), *(pa.array(x, kind) for x, kind in zip(prefixes, kinds))]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
 
 
-def _whole_sets(join: Join, common: np.ndarray):
+def _whole_sets(join: Join):
+    """Sets of the wanted documents, those of repeated rows once in a task."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in text_slices(batches):
             sets = shingle_sets(*text_bytes(batch.column("text")), join.width)
-            others = [
-                pa.array([_prefix(x, order, common, join).view(np.int64) for x in sets], pa.list_(pa.int64()))
-                for order in range(2, join.other_orders + 2)
-            ]
-            columns = [batch.column("print"), pa.array([len(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())]
-            yield pa.RecordBatch.from_arrays([*columns, *others], names=["print", "n", "tokens", *(f"order{i}" for i in range(2, join.other_orders + 2))])
+            prints = batch.column("print")
+            meant = [own not in seen and not seen.add(own) for own in prints.to_pylist()]
+            whole = pa.RecordBatch.from_arrays([prints, pa.array([x.tobytes() for x in sets], pa.binary())], names=["print", "tokens"])
+            yield whole.filter(pa.array(meant, pa.bool_()))
 
     return run
 
@@ -216,21 +220,21 @@ def _linked(share: tuple[int, int]):
 class _Verifier:
     """Candidate pairs to links: the filters of the other orders first, then whole sets."""
 
-    def __init__(self, sets: DataFrame, join: Join):
-        self.join = join
-        self.orders = [f"order{i}" for i in range(2, join.other_orders + 2)]
-        self.prefixes = sets.select("print", *self.orders)
-        self.tokens = sets.select("print", "tokens")
+    def __init__(self, texts: DataFrame, prefixes: DataFrame, join: Join):
+        self.texts, self.join = texts, join
+        self.prefixes = prefixes.select("print", *join.orders())
 
     def links(self, pairs: DataFrame, name: str) -> DataFrame:
-        a, b = (self.prefixes.select(F.col("print").alias(x), *(F.col(o).alias(f"{o}_{x}") for o in self.orders)) for x in "ab")
+        a, b = (self.prefixes.select(F.col("print").alias(x), *(F.col(o).alias(f"{o}_{x}") for o in self.join.orders())) for x in "ab")
         met = pairs.join(a, "a").join(b, "b")
-        for order in self.orders:
+        for order in self.join.orders():
             met = met.where(F.arrays_overlap(f"{order}_a", f"{order}_b"))
         met = written(met.select("a", "b"), name)
-        a, b = (self.tokens.select(F.col("print").alias(x), F.col("tokens").alias(f"tokens_{x}")) for x in "ab")
-        whole = met.join(a, "a").join(b, "b")
-        return written(whole.mapInArrow(_linked(self.join.share), "a long, b long"), f"{name}-links")
+        wanted = met.select(F.explode(F.array("a", "b")).alias("print")).distinct()
+        whole = self.texts.join(wanted.withColumnRenamed("print", "first_print"), "first_print").select(F.col("first_print").alias("print"), "text")
+        tokens = written(whole.mapInArrow(_whole_sets(self.join), "print long, tokens binary"), f"{name}-sets")
+        a, b = (tokens.select(F.col("print").alias(x), F.col("tokens").alias(f"tokens_{x}")) for x in "ab")
+        return written(met.join(a, "a").join(b, "b").mapInArrow(_linked(self.join.share), "a long, b long"), f"{name}-links")
 
 
 def _sizes_allow(share: tuple[int, int], a: str, b: str):
@@ -246,25 +250,25 @@ def ngram_components(docs: DataFrame, id_col: str, text_col: str, join: Join = J
     component, unless all ids in it are null. Other columns are not read, whatever their names;
     an empty table gives no rows. Sets are told apart by 64-bit prints of their 64-bit tokens.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("digest", F.xxhash64("text"))
     kind = rows.schema["id"].dataType
-    told = written(rows.mapInArrow(_sets(join, to_arrow_type(kind)), f"id {kind.simpleString()}, n long, print long"), "shingle-sets")
+    told = written(rows.mapInArrow(_sets(join, to_arrow_type(kind)), f"id {kind.simpleString()}, digest long, n long, print long"), "shingle-sets")
     common = _common_cells(rows.select("text"), join)
 
-    postings = rows.select("text").mapInArrow(_postings(join, common), "token long, print long, n long")
+    columns = ", ".join(f"{order} array<int>" for order in join.orders())
+    prefixes = rows.select("text").mapInArrow(_prefixes(join, common), f"print long, n long, keys array<long>, {columns}")
+    prefixes = written(prefixes.dropDuplicates(["print"]), "prefixes")
     by_token = Window.partitionBy("token")
-    shared = postings.withColumn("low", F.min("print").over(by_token)).withColumn("high", F.max("print").over(by_token))
-    shared = written(shared.where("low <> high").select("token", "print", "n").dropDuplicates(["token", "print"]), "shared-tokens")
-
-    # whole sets of those that share a token, from one document each
-    first = told.where("print is not null and id is not null").groupBy("print").agg(F.min("id").alias("first_id"))
-    wanted = shared.select("print").distinct().join(first, "print")
-    texts = rows.join(wanted, F.col("id") == F.col("first_id")).select("print", "text")
-    orders = ", ".join(f"order{i} array<long>" for i in range(2, join.other_orders + 2))
-    sets = texts.mapInArrow(_whole_sets(join, common), f"print long, n long, tokens binary, {orders}")
-    # an id may be repeated by other texts; theirs are other sets
-    sets = written(sets.dropDuplicates(["print"]), "whole-sets")
-    verifier = _Verifier(sets, join)
+    shared = prefixes.select("print", "n", F.explode("keys").alias("token")).withColumn("sets", F.count(F.lit(1)).over(by_token))
+    shared = written(shared.where("sets > 1").drop("sets"), "shared-tokens")
+
+    # whole sets are taken from one document each
+    one = F.min(F.struct(F.col("id").isNull(), "id", "digest")).alias("first")
+    first = told.where("print is not null").groupBy(F.col("print").alias("first_print")).agg(one)
+    first = written(first.select("first_print", F.col("first.id").alias("first_id"), F.col("first.digest").alias("first_digest")), "first-documents")
+    meant = (F.col("digest") == F.col("first_digest")) & F.col("id").eqNullSafe(F.col("first_id"))
+    texts = rows.join(first, meant).select("first_print", "text")
+    verifier = _Verifier(texts, prefixes, join)
 
     # a set and those it shares most tokens with, among the outermost of each token's sets
     ends = shared.groupBy("token").agg(F.min("print").alias("low"), F.max("print").alias("high"))
