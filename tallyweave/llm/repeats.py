@@ -42,7 +42,7 @@ class Repeats(NamedTuple):
 
     length: int = 100
     gram: int = 24
-    shard_bytes: int = 2 << 20
+    shard_bytes: int = 1 << 20
     ranges: int = 8
 
 
