@@ -35,6 +35,9 @@ def category_averages(
     )
 
 
-def top_categories(averages: DataFrame, n: int) -> DataFrame:
-    """The ``n`` best averages; ties go to the smaller name."""
+def top_categories(averages: DataFrame, n: int, digits: int | None = None) -> DataFrame:
+    """The ``n`` best averages; ties go to the smaller name. With ``digits``, averages are
+    rounded first: the last bits of a sum depend on the order of its parts."""
+    if digits is not None:
+        averages = averages.withColumn("average", F.round("average", digits))
     return averages.orderBy(F.desc("average"), F.asc("category")).limit(n)

@@ -8,23 +8,24 @@ stands for. One level is
    aggregation, merged before the shuffle;
 2. join the frequent ones back by prefix and cut ``lasts`` down to them.
 
-Items are ordered rare first, so prefixes shared by very many rows have few items left
-to grow by. A basket with more than ``crowded`` frequent items is not expanded: the
-other baskets name the candidates, at a support lowered by the number of such baskets,
-and a join of candidate items with basket items counts the rest exactly.
+Items are numbered rare first, so prefixes shared by very many rows have few items left
+to grow by. A basket with more than ``crowded`` frequent items is never one array: it lies
+in blocks of neighbouring numbers, at most ``crowded`` to a block, and each pair of its
+blocks is a row of its own when it grows. The limit is fixed; it bounds rows and changes
+no support.
 """
 
 from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..staging import spread, stage, stage_counted
 from .pairs import largest_group
 
-# Frequent items a basket may hold before it is counted by join instead of expanded.
+# Frequent items a basket may hold as one array; above it, it lies in blocks of as many.
 CROWDED_BASKET = 200
 # Items a prefix may grow by before they are matched by join instead of as one array.
 WIDE_PREFIX = 4096
@@ -49,8 +50,14 @@ def frequent_itemsets(
     """
     _check(min_support)
     rows = _basket_rows(df, basket, item, min_basket_size, F.lit(0))
-    needs = F.lit(int(min_support)).cast("bigint")
-    return _mine(rows, lambda counted: counted.withColumn("need", needs), crowded, wide).drop("chunk")
+    counts = rows.groupBy("item").agg(F.expr("count(*) AS support"))
+    singles = _numbered(counts.filter(F.col("support") >= int(min_support)))
+    need = F.lit(int(min_support)).cast("bigint")
+    levels = _mine(_grouped(rows, singles, crowded), need, wide)
+    found = singles.selectExpr("array(number) AS numbers", "support")
+    for level in levels:
+        found = found.unionByName(level.select("numbers", "support"))
+    return _named(found, singles, "support")
 
 
 def son_candidates(
@@ -71,8 +78,9 @@ def son_candidates(
     an integer expression over the basket in ``0 .. n_chunks - 1``, by default its hash;
     ``chunks`` is the number of chunks that name the itemset.
     """
-    rows = _son_rows(df, basket, item, min_support, n_chunks, min_basket_size, chunk)
-    return _candidates(rows, min_support, crowded, wide)
+    mined = _first_pass(df, basket, item, min_support, n_chunks, min_basket_size, chunk, crowded, wide)
+    named = mined.candidates.groupBy("numbers").agg(F.expr("count(*) AS chunks"))
+    return _named(named, mined.singles, "chunks")
 
 
 def son_itemsets(
@@ -90,12 +98,12 @@ def son_itemsets(
     """Frequent itemsets by two passes: chunk candidates, then one exact recount.
 
     Every itemset frequent overall is frequent in some chunk, so the result equals
-    ``frequent_itemsets`` for any number of chunks.
+    ``frequent_itemsets`` for any number of chunks. Items are numbered once for both
+    passes, and both walk down the same baskets.
     """
-    rows = _son_rows(df, basket, item, min_support, n_chunks, min_basket_size, chunk)
-    candidates = stage(_candidates(rows, min_support, crowded, wide).drop("chunks"), "candidates")
-    counted = _recount(rows.withColumn("chunk", F.lit(0)), candidates, crowded, wide)
-    return counted.filter(F.col("support") >= int(min_support)).drop("chunk")
+    mined = _first_pass(df, basket, item, min_support, n_chunks, min_basket_size, chunk, crowded, wide)
+    counted = _recount(mined, wide).filter(F.col("support") >= int(min_support))
+    return _named(counted, mined.singles, "support")
 
 
 def item_levels(itemsets: DataFrame) -> DataFrame:
@@ -103,12 +111,12 @@ def item_levels(itemsets: DataFrame) -> DataFrame:
     return itemsets.orderBy("size", "items")
 
 
-class _Split(NamedTuple):
-    """Baskets to expand, rows of crowded baskets, and how many of those a chunk has."""
+class _Baskets(NamedTuple):
+    """Light baskets ``(chunk, prefix, lasts, weight)``, and crowded ones in blocks: the same
+    with ``basket`` and ``block``. ``crowded`` is None where no basket is."""
 
     light: DataFrame
-    crowded_rows: DataFrame | None
-    crowded_count: DataFrame | None
+    crowded: DataFrame | None
 
 
 def _check(min_support: int) -> None:
@@ -132,139 +140,113 @@ def _basket_rows(
     return stage(rows.select(chunk.cast("int").alias("chunk"), "basket", "item"), "baskets")
 
 
-def _son_rows(df, basket, item, min_support, n_chunks, min_basket_size, chunk) -> DataFrame:
+class _Mined(NamedTuple):
+    """What both passes share: numbered items, baskets of them, candidates of all chunks as
+    ``(chunk, numbers)``, and the size of the largest."""
+
+    singles: DataFrame
+    baskets: _Baskets
+    candidates: DataFrame
+    deepest: int
+
+
+def _first_pass(df, basket, item, min_support, n_chunks, min_basket_size, chunk, crowded, wide) -> _Mined:
+    """Itemsets that reach the need of a chunk: ``ceil(min_support * baskets / all baskets)``,
+    computed in integers. There is one need per chunk, so they are part of the plan."""
     _check(min_support)
     if chunk is None:
         chunk = F.pmod(F.xxhash64("basket"), F.lit(n_chunks))
-    return _basket_rows(df, basket, item, min_basket_size, chunk)
-
-
-def _candidates(rows: DataFrame, min_support: int, crowded: int, wide: int) -> DataFrame:
-    """Itemsets of any chunk. A chunk needs ``ceil(min_support * baskets / all baskets)``,
-    computed in integers; the table of needs has one row per chunk."""
-    sizes = rows.select("chunk", "basket").distinct().groupBy("chunk").agg(
-        F.expr("count(*) AS baskets")
-    )
-    share = f"{int(min_support)} * CAST(baskets AS decimal(18, 0))"
-    total = "CAST(sum(baskets) OVER (PARTITION BY 1) AS decimal(18, 0))"
-    needs = stage(
-        sizes.selectExpr("chunk", f"CAST(({share} + {total} - 1) DIV {total} AS bigint) AS need"),
-        "needs",
+    rows = _basket_rows(df, basket, item, min_basket_size, chunk)
+    sizes = rows.select("chunk", "basket").distinct().groupBy("chunk").agg(F.expr("count(*) AS baskets"))
+    baskets = {row["chunk"]: row["baskets"] for row in sizes.collect()}
+    total = sum(baskets.values())
+    needs = {number: -(-int(min_support) * count // total) for number, count in baskets.items()}
+    need = F.lit(None).cast("bigint")
+    for number, least in needs.items():
+        need = F.when(F.col("chunk") == number, F.lit(least).cast("bigint")).otherwise(need)
+    counts = stage(rows.groupBy("chunk", "item").agg(F.expr("count(*) AS support")), "chunk-items")
+    some = counts.filter(F.col("support") >= need).select("item").distinct()
+    singles = _numbered(
+        counts.join(some, "item", "left_semi").groupBy("item").agg(F.expr("sum(support) AS support"))
     )
-    mined = _mine(rows, lambda counted: counted.join(needs, "chunk"), crowded, wide)
-    return mined.groupBy("items", "size").agg(F.expr("count(*) AS chunks"))
-
-
-def _mine(rows: DataFrame, with_need, crowded: int, wide: int) -> DataFrame:
-    """All ``(chunk, items, size, support)`` that reach the need of their chunk."""
-    singles, n_singles = stage_counted(
-        _numbered(
-            with_need(rows.groupBy("chunk", "item").agg(F.expr("count(*) AS support")))
-            .filter("support >= need")
-        ),
-        "level-1",
-    )
-    ranked = _ranked(rows, singles)
-    split = _split_baskets(ranked, n_singles, with_need, crowded)
-    found, grown, size = [], split.light, 1
+    grouped = _grouped(rows, singles, crowded)
+    ones = counts.filter(F.col("support") >= need).join(singles.select("item", "number"), "item")
+    candidates = ones.selectExpr("chunk", "array(number) AS numbers")
+    levels = _mine(grouped, need, wide)
+    for level in levels:
+        candidates = candidates.unionByName(level.select("chunk", "numbers"))
+    return _Mined(singles, grouped, candidates, len(levels) + 1)
+
+
+def _mine(baskets: _Baskets, need: Column, wide: int) -> list[DataFrame]:
+    """For each size from 2 on, while there are any, the staged ``(chunk, numbers, prefix, last,
+    support)`` that reach the need of their chunk."""
+    found, grown, size = [], baskets, 1
     while True:
         size += 1
         longer = _lengthen(grown)
-        counted = _count_lasts(longer)
-        if split.crowded_rows is not None:
-            counted = _add_crowded(counted, split, with_need)
         level, n_found = stage_counted(
-            with_need(counted).filter("support >= need").drop("need"),
+            _count_lasts(longer).filter(F.col("support") >= need).withColumn("numbers", F.concat("prefix", F.array("last"))),
             f"level-{size}",
         )
         if n_found:
             found.append(level)
         # A larger frequent itemset has size + 1 subsets of this size, all frequent.
         if n_found <= size:
-            break
-        grown = _cut_down(longer, level, n_found, wide).filter("size(lasts) > 1")
-        if size % STAGE_EVERY == 0:
-            grown = stage(spread(grown, "prefix", "lasts"), f"grown-{size}")
-    return _named(found, singles)
+            return found
+        grown = _cut_down(longer, level.select("chunk", "prefix", "last"), n_found, wide, size)
 
 
 def _numbered(singles: DataFrame) -> DataFrame:
-    """Give each single a number, so that the loops handle numbers, not names."""
-    return singles.select("chunk", "item", "support", F.monotonically_increasing_id().alias("number"))
-
-
-def _ranked(rows: DataFrame, singles: DataFrame) -> DataFrame:
-    return rows.join(singles, ["chunk", "item"]).select("chunk", "basket", "number", "support")
+    """Staged ``(item, support, number)``; numbers rise with the support, then the item."""
+    ordered = singles.select("item", "support").orderBy("support", "item")
+    return stage(ordered.withColumn("number", F.monotonically_increasing_id()), "items")
 
 
-def _named(levels: list[DataFrame], singles: DataFrame) -> DataFrame:
-    """Itemsets of all levels with the item names put back, in item order."""
-    result = singles.selectExpr("chunk", "array(item) AS items", "1 AS size", "support")
-    if not levels:
-        return result
-    numbered = levels[0]
-    for level in levels[1:]:
-        numbered = numbered.unionByName(level)
-    each = numbered.selectExpr("chunk", "concat(prefix, array(last)) AS numbers", "support").selectExpr(
-        "chunk", "numbers", "support", "explode(numbers) AS number"
-    )
+def _named(found: DataFrame, singles: DataFrame, measure: str) -> DataFrame:
+    """``(items, size, measure)``: item names in place of ``numbers``, in item order."""
+    each = found.select("numbers", measure, F.explode("numbers").alias("number"))
     named = (
         each.join(singles.select("number", "item"), "number")
-        .groupBy("chunk", "numbers", "support")
+        .groupBy("numbers", measure)
         .agg(F.expr("array_sort(collect_list(item)) AS items"))
     )
-    return result.unionByName(named.selectExpr("chunk", "items", "size(numbers) AS size", "support"))
+    return named.selectExpr("items", "size(numbers) AS size", measure)
 
 
-def _split_baskets(ranked: DataFrame, n_singles: int, with_need, crowded: int) -> _Split:
-    """Group baskets into arrays, rare items first, but for crowded ones."""
-    if n_singles <= crowded:
-        return _Split(_grouped(ranked), None, None)
+def _grouped(rows: DataFrame, singles: DataFrame, crowded: int) -> _Baskets:
+    """Baskets of numbered items. Equal light baskets are one row with a weight."""
+    ranked = rows.join(singles.select("item", "number"), "item").select("chunk", "basket", "number")
     sizes = ranked.groupBy("chunk", "basket").agg(F.count("*").alias("_items"))
-    largest = sizes.agg(F.max("_items")).first()[0] or 0
-    if largest <= crowded:
-        return _Split(_grouped(ranked), None, None)
-    # Fewer crowded baskets than the need of their chunk: raise the limit until it holds.
-    by_size = sizes.filter(F.col("_items") > crowded).groupBy("chunk", "_items").agg(
-        F.count("*").alias("_baskets")
-    )
-    from_top = Window.partitionBy("chunk").orderBy(F.desc("_items"))
-    reached = with_need(by_size.withColumn("_above", F.sum("_baskets").over(from_top))).filter(
-        F.col("_above") >= F.col("need")
-    )
-    limit = max(crowded, reached.agg(F.max("_items")).first()[0] or 0)
-    if largest <= limit:
-        return _Split(_grouped(ranked), None, None)
-    crowds = stage(sizes.filter(F.col("_items") > limit).select("chunk", "basket"), "crowds")
-    apart = stage(
-        ranked.join(crowds, ["chunk", "basket"], "left_semi").select("chunk", "basket", "number"),
-        "crowded-rows",
-    )
-    light = ranked.join(crowds, ["chunk", "basket"], "left_anti")
-    return _Split(
-        _grouped(light), apart, crowds.groupBy("chunk").agg(F.count("*").alias("_crowds"))
-    )
-
-
-_RARE_FIRST = "array_sort(collect_list(struct(support, number))).number"
-
-
-def _grouped(ranked: DataFrame) -> DataFrame:
-    """``(chunk, prefix, lasts, weight)``: equal baskets are one row with a weight."""
-    baskets = ranked.groupBy("chunk", "basket").agg(F.expr(f"{_RARE_FIRST} AS lasts"))
+    crowds = stage(sizes.filter(F.col("_items") > crowded).select("chunk", "basket"), "crowds")
+    light, blocks = ranked, None
+    none = "CAST(array() AS array<bigint>) AS prefix"
+    if not crowds.isEmpty():
+        light = ranked.join(crowds, ["chunk", "basket"], "left_anti")
+        # numbers rise one by one within the upper 31 bits, so a block has ``crowded`` at most
+        block = F.col("number") - F.col("number").bitwiseAND(F.lit((1 << 33) - 1)) % F.lit(crowded)
+        blocks = (
+            ranked.join(crowds, ["chunk", "basket"], "left_semi")
+            .groupBy("chunk", "basket", block.alias("block"))
+            .agg(F.expr("array_sort(collect_list(number)) AS lasts"))
+            .selectExpr("chunk", "basket", "block", none, "lasts", "1L AS weight")
+        )
+        blocks = stage(spread(blocks, "chunk", "basket", "block"), "blocks-1")
     merged = (
-        baskets.filter("size(lasts) > 1")
+        light.groupBy("chunk", "basket").agg(F.expr("array_sort(collect_list(number)) AS lasts"))
+        .filter("size(lasts) > 1")
         .groupBy("chunk", "lasts")
         .agg(F.expr("count(*) AS weight"))
-        .selectExpr("chunk", "CAST(array() AS array<bigint>) AS prefix", "lasts", "weight")
+        .selectExpr("chunk", none, "lasts", "weight")
     )
-    return stage(spread(merged, "lasts"), "grown-1")
+    return _Baskets(stage(spread(merged, "lasts"), "grown-1"), blocks)
 
 
-def _lengthen(grown: DataFrame) -> DataFrame:
-    """Move each of ``lasts`` to the prefix; what follows it stays to grow by."""
-    return (
-        grown.selectExpr("chunk", "prefix", "lasts", "weight", "posexplode(lasts) AS (at, number)")
+def _lengthen(grown: _Baskets) -> _Baskets:
+    """Move each of ``lasts`` to the prefix; what follows it stays to grow by. A crowded basket
+    does so for each pair of its blocks."""
+    light = (
+        grown.light.selectExpr("chunk", "prefix", "lasts", "weight", "posexplode(lasts) AS (at, number)")
         .filter("at + 1 < size(lasts)")
         .selectExpr(
             "chunk",
@@ -273,131 +255,90 @@ def _lengthen(grown: DataFrame) -> DataFrame:
             "weight",
         )
     )
-
-
-def _count_lasts(longer: DataFrame) -> DataFrame:
-    """Support of each prefix with each of its ``lasts``."""
-    return (
-        longer.selectExpr("chunk", "prefix", "explode(lasts) AS last", "weight")
-        .groupBy("chunk", "prefix", "last")
-        .agg(F.expr("sum(weight) AS support"))
+    if grown.crowded is None:
+        return _Baskets(light, None)
+    firsts = grown.crowded.selectExpr("chunk", "basket", "prefix", "block AS first_block", "lasts AS firsts")
+    pairs = grown.crowded.join(firsts, ["chunk", "basket", "prefix"]).filter("first_block <= block")
+    crowded = pairs.selectExpr("*", "posexplode(firsts) AS (at, number)").selectExpr(
+        "chunk",
+        "basket",
+        "block",
+        "concat(prefix, array(number)) AS prefix",
+        "IF(first_block = block, slice(lasts, at + 2, size(lasts)), lasts) AS lasts",
+        "weight",
     )
+    return _Baskets(light, crowded.filter("size(lasts) > 0"))
 
 
-def _cut_down(longer: DataFrame, level: DataFrame, n_level: int, wide: int) -> DataFrame:
-    """Keep of ``lasts`` what makes an itemset of ``level`` with the prefix.
-
-    The items a prefix may grow by travel as one array, but for wide prefixes: there the
-    ``lasts`` of a basket, few by construction, are matched one by one and put together
-    again under a hash of the row.
-    """
-    if n_level <= wide or largest_group(level, "chunk", "prefix") <= wide:
-        return _keep_allowed(longer, level)
-    widths = level.groupBy("chunk", "prefix").agg(F.expr("count(*) AS width"))
-    wide_prefixes = stage(widths.filter(f"width > {wide}").select("chunk", "prefix"), "wide")
-    one_by_one = (
-        longer.join(wide_prefixes, ["chunk", "prefix"], "left_semi")
-        .selectExpr(
-            "chunk", "prefix", "weight", "posexplode(lasts) AS (at, last)",
-            "xxhash64(lasts) AS row_1", "xxhash64(lasts, 'second') AS row_2",
-        )
-        .groupBy("chunk", "prefix", "row_1", "row_2", "at", "last")
-        .agg(F.expr("sum(weight) AS weight"))
-        .join(level, ["chunk", "prefix", "last"], "left_semi")
-        .groupBy("chunk", "prefix", "row_1", "row_2", "weight")
-        .agg(F.expr("array_sort(collect_list(struct(at, last))).last AS lasts"))
-        .select("chunk", "prefix", "lasts", "weight")
-    )
-    narrow = longer.join(wide_prefixes, ["chunk", "prefix"], "left_anti")
-    return _keep_allowed(narrow, level.join(wide_prefixes, ["chunk", "prefix"], "left_anti")).unionByName(
-        one_by_one
-    )
+def _count_lasts(longer: _Baskets) -> DataFrame:
+    """Support of each prefix with each of its ``lasts``."""
+    each = longer.light.selectExpr("chunk", "prefix", "explode(lasts) AS last", "weight")
+    if longer.crowded is not None:
+        each = each.unionByName(longer.crowded.selectExpr("chunk", "prefix", "explode(lasts) AS last", "weight"))
+    return each.groupBy("chunk", "prefix", "last").agg(F.expr("sum(weight) AS support"))
+
+
+def _cut_down(longer: _Baskets, level: DataFrame, n_level: int, wide: int, size: int, least: int = 2) -> _Baskets:
+    """Keep of ``lasts`` what makes an itemset of ``level`` with the prefix, and of light rows
+    those with ``least`` items left."""
+    narrow = n_level <= wide or largest_group(level, "chunk", "prefix") <= wide
+    keep = _keep_allowed if narrow else lambda rows, allowed: _keep_wide(rows, allowed, wide)
+    light = keep(longer.light, level).filter(f"size(lasts) >= {least}")
+    if size % STAGE_EVERY == 0:
+        light = stage(spread(light, "prefix", "lasts"), f"grown-{size}")
+    if longer.crowded is None:
+        return _Baskets(light, None)
+    crowded = keep(longer.crowded, level).filter("size(lasts) > 0")
+    return _Baskets(light, stage(spread(crowded, "basket", "prefix", "block"), f"blocks-{size}"))
 
 
 def _keep_allowed(longer: DataFrame, level: DataFrame) -> DataFrame:
     allowed = level.groupBy("chunk", "prefix").agg(F.expr("collect_list(last) AS allowed"))
-    return longer.join(allowed, ["chunk", "prefix"]).selectExpr(
-        "chunk", "prefix", "array_intersect(lasts, allowed) AS lasts", "weight"
-    )
+    return longer.join(allowed, ["chunk", "prefix"]).withColumn(
+        "lasts", F.array_intersect("lasts", "allowed")
+    ).select(longer.columns)
 
 
-def _add_crowded(counted: DataFrame, split: _Split, with_need) -> DataFrame:
-    """Full support of each itemset that may still reach the need of its chunk."""
-    slack = F.coalesce("_crowds", F.lit(0).cast("bigint"))
-    hopeful = stage(
-        with_need(counted).join(split.crowded_count, "chunk", "left")
-        .filter(F.col("support") + slack >= F.col("need"))
-        .select("chunk", "prefix", "last", "support"),
-        "hopeful",
-    )
-    numbers = F.concat("prefix", F.array("last")).alias("numbers")
-    held = _support_in_rows(hopeful.select("chunk", numbers), split.crowded_rows)
-    return (
-        hopeful.select("*", numbers)
-        .join(held, ["chunk", "numbers"], "left")
-        .select("chunk", "prefix", "last",
-                (F.col("support") + F.coalesce("held", F.lit(0).cast("bigint"))).alias("support"))
-    )
-
-
-def _support_in_rows(itemsets: DataFrame, rows: DataFrame) -> DataFrame:
-    """``(chunk, numbers, held)``: baskets of ``rows`` that hold all items of an itemset."""
-    each = itemsets.select("chunk", "numbers", F.explode("numbers").alias("number"))
-    hits = each.join(rows, ["chunk", "number"]).groupBy("chunk", "numbers", "basket").agg(
-        F.count("*").alias("_hits")
-    )
-    return (
-        hits.filter(F.col("_hits") == F.size("numbers"))
-        .groupBy("chunk", "numbers")
-        .agg(F.count("*").alias("held"))
+def _keep_wide(longer: DataFrame, level: DataFrame, wide: int) -> DataFrame:
+    """The items a prefix may grow by travel as one array, but for wide prefixes: there the
+    ``lasts`` of a row, few by construction, are matched one by one and put together again
+    under the row itself."""
+    widths = level.groupBy("chunk", "prefix").agg(F.expr("count(*) AS width"))
+    prefixes = stage(widths.filter(f"width > {wide}").select("chunk", "prefix"), "wide")
+    row = [c for c in longer.columns if c not in ("lasts", "weight")]
+    whole = longer.groupBy(*row, "lasts").agg(F.expr("sum(weight) AS weight"))
+    one_by_one = (
+        whole.join(prefixes, ["chunk", "prefix"], "left_semi")
+        .selectExpr(*row, "weight", "lasts AS row", "explode(lasts) AS last")
+        .join(level, ["chunk", "prefix", "last"], "left_semi")
+        .groupBy(*row, "row", "weight")
+        .agg(F.expr("array_sort(collect_list(last)) AS lasts"))
+        .select(longer.columns)
     )
+    narrow = longer.join(prefixes, ["chunk", "prefix"], "left_anti")
+    allowed = level.join(prefixes, ["chunk", "prefix"], "left_anti")
+    return _keep_allowed(narrow, allowed).unionByName(one_by_one)
 
 
-def _recount(rows: DataFrame, candidates: DataFrame, crowded: int, wide: int) -> DataFrame:
-    """Exact ``(chunk, items, size, support)`` of the candidates over all baskets.
+def _recount(mined: _Mined, wide: int) -> DataFrame:
+    """Exact ``(numbers, support)`` of the candidates over all baskets.
 
     Candidates are closed under subsets, so baskets walk down them prefix by prefix.
     """
-    wanted = candidates.filter("size = 1").select(F.col("items")[0].alias("item"))
-    singles, n_singles = stage_counted(
-        _numbered(
-            rows.groupBy("chunk", "item").agg(F.count("*").alias("support")).join(wanted, "item")
-        ),
-        "recount-1",
-    )
-    deepest = candidates.agg(F.max("size")).first()[0] or 0
-    if deepest < 2:
-        return _named([], singles)
-    # Each candidate as a path, its items in the order the baskets use.
-    paths, n_paths = stage_counted(
-        candidates.filter("size > 1")
-        .selectExpr("items", "size", "explode(items) AS item")
-        .join(singles, "item")
-        .groupBy("chunk", "items", "size")
-        .agg(F.expr(f"{_RARE_FIRST} AS numbers"))
-        .selectExpr("chunk", "size", "slice(numbers, 1, size - 1) AS prefix", "numbers[size - 1] AS last"),
-        "paths",
+    wanted, n_wanted = stage_counted(mined.candidates.select("numbers").distinct(), "candidates")
+    ones = wanted.filter("size(numbers) = 1").selectExpr("numbers", "numbers[0] AS number")
+    found = ones.join(mined.singles, "number").select("numbers", "support")
+    light, crowded = mined.baskets
+    whole = light.drop("chunk").groupBy("prefix", "lasts").agg(F.expr("sum(weight) AS weight"))
+    grown = _Baskets(
+        whole.withColumn("chunk", F.lit(0)),
+        crowded if crowded is None else crowded.withColumn("chunk", F.lit(0)),
     )
-    # The candidates are given, so any number of baskets may be counted by join.
-    no_need = F.lit(2**62)
-    split = _split_baskets(
-        _ranked(rows, singles), n_singles, lambda counted: counted.withColumn("need", no_need), crowded
-    )
-    found, grown = [], split.light
-    for size in range(2, deepest + 1):
-        level = paths.filter(f"size = {size}").drop("size")
-        cut = _cut_down(_lengthen(grown), level, n_paths, wide).filter("size(lasts) > 0")
-        cut = stage(cut, f"recount-{size}")
-        support = _count_lasts(cut)
-        if split.crowded_rows is not None:
-            numbered = level.selectExpr("chunk", "concat(prefix, array(last)) AS numbers")
-            held = _support_in_rows(numbered, split.crowded_rows).selectExpr(
-                "chunk", f"slice(numbers, 1, {size - 1}) AS prefix", f"numbers[{size - 1}] AS last",
-                "held AS support",
-            )
-            support = support.unionByName(held).groupBy("chunk", "prefix", "last").agg(
-                F.expr("sum(support) AS support")
-            )
-        found.append(support)
-        grown = cut.filter("size(lasts) > 1")
-    return _named(found, singles)
+    for size in range(2, mined.deepest + 1):
+        level = wanted.filter(f"size(numbers) = {size}").selectExpr(
+            "0 AS chunk", f"slice(numbers, 1, {size - 1}) AS prefix", f"numbers[{size - 1}] AS last"
+        )
+        grown = _cut_down(_lengthen(grown), level, n_wanted, wide, size, 1)
+        counted = _count_lasts(grown).selectExpr("concat(prefix, array(last)) AS numbers", "support")
+        found = found.unionByName(counted)
+    return found

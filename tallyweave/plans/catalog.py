@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import compact_categories
+from ..functions.text import compact_categories, tokens
 from ..operators import (
     busy_keys,
     category_averages,
@@ -35,13 +35,14 @@ from ..sources import (
     read_reviews,
     read_words,
     write_busy_report,
+    write_category_report,
     write_itemsets,
     write_report,
     write_similar_pairs,
 )
 from ..staging import staging_path
 from . import parameters as P
-from .reports import busy_report, category_report, exploration_report
+from .reports import busy_report, category_report, exploration_report, itemset_report
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,21 +66,24 @@ def _supplier_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Review-shaped rows: each document belongs to the order of the same number."""
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    return docs.join(orders, F.col("doc_id") == F.col("o_orderkey")).select(
-        F.col("doc_id").cast("string").alias("review_id"),
+    """Review-shaped rows without their texts: an order is a review by its customer."""
+    return _table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string").alias("review_id"),
         F.col("o_custkey").cast("string").alias("user_id"),
         F.col("o_orderdate").cast("string").alias("date"),
-        "text",
     )
 
 
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Review-shaped rows that are texts only: the documents."""
+    return _table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("review_id"), "text")
+
+
 def _line_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Review-shaped rows: a part is the business, the quantity its stars."""
     return _table(spark, sf_dir, "lineitem").select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("review_id"),
+        "l_orderkey",
         F.col("l_partkey").cast("string").alias("business_id"),
         F.col("l_quantity").alias("stars"),
     )
@@ -118,7 +122,9 @@ def top_document_words(spark, sf_dir):
 
 
 def exploration(spark, sf_dir):
-    report = exploration_report(_reviews(spark, sf_dir), P.YEAR, P.TOP, P.TOP, P.STOPWORDS)
+    report = exploration_report(
+        _reviews(spark, sf_dir), P.YEAR, P.TOP, P.TOP, P.STOPWORDS, texts=_texts(spark, sf_dir)
+    )
     users = F.transform("D", lambda e: F.concat_ws(":", e["user_id"], e["count"].cast("string")))
     return report.select("A", "B", "C", F.array_join(users, ",").alias("D"), F.array_join("E", ",").alias("E"))
 
@@ -136,7 +142,7 @@ def best_categories(spark, sf_dir):
     averages = category_averages(
         _table(spark, sf_dir, "lineitem"), parts, "l_partkey", "l_quantity", "p_name", " "
     )
-    return top_categories(averages, P.TOP).withColumn("average", F.round("average", 6))
+    return top_categories(averages, P.TOP, digits=6)
 
 
 def compact_name_counts(spark, sf_dir):
@@ -155,7 +161,16 @@ def order_layout(spark, sf_dir):
 
 
 def order_layout_as_read(spark, sf_dir):
-    return partition_layout(_table(spark, sf_dir, "orders"))
+    """What holds however Spark cut the file: all rows are counted, ids run from 0 on."""
+    layout = partition_layout(_table(spark, sf_dir, "orders"))
+    return layout.agg(
+        F.sum("rows").alias("rows"),
+        (
+            (F.min("partition") == 0)
+            & (F.max("partition") == F.count("*") - 1)
+            & (F.countDistinct("partition") == F.count("*"))
+        ).alias("ids_run_on"),
+    )
 
 
 def brand_itemsets(spark, sf_dir):
@@ -178,6 +193,20 @@ def supplier_itemsets(spark, sf_dir):
     )
 
 
+def supplier_part_itemsets(spark, sf_dir):
+    """Baskets of suppliers: each holds very many parts, and more of them than the support."""
+    lines = _table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey")
+    support = P.SUPPLIER_PART_SUPPORT
+    found = frequent_itemsets(lines, "l_suppkey", "l_partkey", support)
+    return found.withColumn("items", F.array_join(F.col("items").cast("array<string>"), P.ITEM_SEPARATOR))
+
+
+def supplier_part_itemsets_two_pass(spark, sf_dir):
+    lines = _table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey")
+    found = son_itemsets(lines, "l_suppkey", "l_partkey", P.SUPPLIER_PART_SUPPORT, 2)
+    return found.withColumn("items", F.array_join(F.col("items").cast("array<string>"), P.ITEM_SEPARATOR))
+
+
 def brand_candidates(spark, sf_dir):
     return _joined(
         son_candidates(
@@ -229,6 +258,55 @@ def similar_suppliers_lsh(spark, sf_dir):
     )
 
 
+def _document_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = _table(spark, sf_dir, "documents").select("doc_id", F.explode(tokens(F.col("text"))).alias("word"))
+    return words.filter(F.col("word") != "")
+
+
+def similar_documents(spark, sf_dir):
+    """Documents as sets of words: words in most sets, equal sets, sets of very many words."""
+    return similar_pairs(_document_words(spark, sf_dir), "doc_id", "word", P.DOCUMENT_SIMILARITY)
+
+
+def equal_documents_lsh(spark, sf_dir):
+    """Documents with the same words; equal sets agree on every band."""
+    return similar_pairs_lsh(_document_words(spark, sf_dir), "doc_id", "word", 1.0, 4, 2, P.SEED)
+
+
+def basket_text_itemsets(spark, sf_dir):
+    """Itemsets of text baskets in both orientations, through files on either side."""
+    brands = _order_brands(spark, sf_dir)
+    found = []
+    for swap, support in ((False, P.SUPPORT), (True, P.ORDER_SUPPORT)):
+        source, path = (staging_path(spark, name) for name in ("basket-text", "itemset-json"))
+        brands.write.option("header", True).csv(source)
+        report = itemset_report(read_baskets(spark, source, swap=swap), support, 0, P.CHUNKS)
+        write_itemsets(report.candidates, report.frequent, path)
+        named, frequent = (
+            spark.read.schema(f"items array<string>, {measure} bigint, size int").json(f"{path}/{name}")
+            for name, measure in (("candidates", "chunks"), ("frequent", "support"))
+        )
+        checked = frequent.join(named.select("items", F.lit(True).alias("named")), "items", "left")
+        found.append(_joined(checked).select("items", "size", "support", "named", F.lit(swap).alias("swapped")))
+    return found[0].unionByName(found[1])
+
+
+def review_json_pairs(spark, sf_dir):
+    """Suppliers and customers under text ids through JSON reviews, pairs, and JSON lines.
+
+    With as many bands of one row as here, a pair at the threshold is missed once in 10**10.
+    """
+    reviews, path = (staging_path(spark, name) for name in ("review-json", "pair-json"))
+    _supplier_customers(spark, sf_dir).select(
+        F.concat(F.lit("s"), "l_suppkey").alias("business_id"), F.concat(F.lit('c"'), "o_custkey").alias("user_id")
+    ).write.json(reviews)
+    pairs = similar_pairs_lsh(
+        read_reviews(spark, reviews), "business_id", "user_id", P.SIMILARITY, 100, 1, P.SEED
+    )
+    write_similar_pairs(pairs, path)
+    return spark.read.schema(pairs.schema).json(path)
+
+
 def basket_text_items(spark, sf_dir):
     """Order lines through comma-separated text, second column as the basket."""
     path = staging_path(spark, "basket-text")
@@ -239,14 +317,20 @@ def basket_text_items(spark, sf_dir):
 
 
 def review_json_report(spark, sf_dir):
-    """Documents through JSON lines and a word file, and the report through JSON."""
-    reviews, words, report = (
-        staging_path(spark, name) for name in ("review-json", "word-text", "report-json")
+    """Orders, documents and a word list through files, and the report through JSON."""
+    reviews, texts, words, report = (
+        staging_path(spark, name) for name in ("review-json", "text-json", "word-text", "report-json")
     )
     _reviews(spark, sf_dir).write.json(reviews)
+    _texts(spark, sf_dir).write.json(texts)
     spark.createDataFrame([(w,) for w in P.STOPWORDS], "word string").write.text(words)
     answers = exploration_report(
-        read_reviews(spark, reviews, strict=True), P.YEAR, P.TOP, P.TOP, read_words(spark, words)
+        read_reviews(spark, reviews, strict=True),
+        P.YEAR,
+        P.TOP,
+        P.TOP,
+        read_words(spark, words),
+        texts=read_reviews(spark, texts, strict=True),
     )
     write_report(answers, report)
     users = F.transform("D", lambda e: F.concat_ws(":", e["user_id"], e["count"].cast("string")))
@@ -264,27 +348,29 @@ def review_json_categories(spark, sf_dir):
         F.concat_ws(" , ", "p_name", "p_type", "p_type").alias("categories"),
         F.lit(5.0).alias("stars"),
     ).write.json(businesses)
-    best = category_report(read_reviews(spark, reviews), read_businesses(spark, businesses), P.TOP)
-    return best.withColumn("average", F.round("average", 6))
+    best = category_report(read_reviews(spark, reviews), read_businesses(spark, businesses), P.TOP, digits=6)
+    path = staging_path(spark, "category-json")
+    write_category_report(best, path)
+    written = spark.read.schema("result array<struct<category: string, average: double>>").json(path)
+    return written.select(F.posexplode("result").alias("place", "entry")).select("place", "entry.*")
 
 
 def busy_report_json(spark, sf_dir):
     """Busy parts and the layout of the order lines, written and read back."""
     path = staging_path(spark, "busy-json")
     found = busy_report(
-        _line_reviews(spark, sf_dir), P.BUSY, n_partitions=P.PARTITIONS, partition_by="review_id"
+        _line_reviews(spark, sf_dir), P.BUSY, n_partitions=P.PARTITIONS, partition_by="l_orderkey"
     )
     write_busy_report(found.layout, found.result, path)
     result = spark.read.schema(found.result.schema).json(f"{path}/result")
-    layout = spark.read.schema("n_partitions bigint, n_items array<bigint>").json(f"{path}/layout")
-    total = F.aggregate("n_items", F.lit(0).cast("bigint"), lambda total, rows: total + rows)
+    layout = spark.read.schema(found.layout.schema).json(f"{path}/layout")
     return result.unionByName(
-        layout.select(F.lit("all partitions").alias("business_id"), total.alias("count"))
+        layout.select(F.concat(F.lit("partition "), "partition").alias("business_id"), F.col("rows").alias("count"))
     )
 
 
 def itemset_files(spark, sf_dir):
-    """Candidates and frequent itemsets written as JSON, counted by size as read back."""
+    """Candidates and frequent itemsets written as JSON and read back."""
     path = staging_path(spark, "itemset-json")
     brands = _order_brands(spark, sf_dir)
     candidates = son_candidates(
@@ -293,9 +379,9 @@ def itemset_files(spark, sf_dir):
     frequent = frequent_itemsets(brands, "l_orderkey", "p_brand", P.SUPPORT)
     write_itemsets(candidates, frequent, path)
     parts = [
-        spark.read.schema("items array<string>, size int").json(f"{path}/{name}")
-        .groupBy("size").agg(F.count("*").alias("itemsets")).withColumn("kind", F.lit(name))
-        for name in ("candidates", "frequent")
+        _joined(spark.read.schema(f"items array<string>, {count} bigint, size int").json(f"{path}/{name}"))
+        .select("items", "size", F.col(count).alias("count"), F.lit(name).alias("kind"))
+        for name, count in (("candidates", "chunks"), ("frequent", "support"))
     ]
     return parts[0].unionByName(parts[1])
 
@@ -328,13 +414,19 @@ QUERIES: dict[str, Query] = {
         brand_itemsets,
         brand_itemsets_large_orders,
         supplier_itemsets,
+        supplier_part_itemsets,
+        supplier_part_itemsets_two_pass,
         brand_candidates,
         brand_itemsets_two_pass,
         supplier_signatures,
         supplier_buckets,
         similar_suppliers,
         similar_suppliers_lsh,
+        similar_documents,
+        equal_documents_lsh,
         basket_text_items,
+        basket_text_itemsets,
+        review_json_pairs,
         review_json_report,
         review_json_categories,
         busy_report_json,

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from ..functions.hashing import HASH_PRIME, draw_hash_params
-from ..functions.text import WHITESPACE
 from . import parameters as P
 
 _STOPWORDS = ", ".join(f"'{word}'" for word in P.STOPWORDS)
 _PUNCTUATION = r"[\[\]().?!,;:]"
+# Unicode white space, spelt out by code points: it is to check the library, not to share with it.
+_SPACES = "".join(map(chr, (9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288)))
 
 
 def _words(table: str) -> str:
@@ -15,21 +16,20 @@ def _words(table: str) -> str:
     return f"""
       SELECT word FROM (
         SELECT unnest(string_split_regex(
-                 lower(regexp_replace(text, '{_PUNCTUATION}', '', 'g')), '[{WHITESPACE}]')) AS word
+                 lower(regexp_replace(text, '{_PUNCTUATION}', '', 'g')), '[{_SPACES}]')) AS word
         FROM {table})
       WHERE word <> '' AND word NOT IN ({_STOPWORDS})"""
 
 
 _REVIEWS = """
   reviews AS (
-    SELECT o_custkey::VARCHAR AS user_id, o_orderdate AS date, text
-    FROM documents JOIN orders ON doc_id = o_orderkey)"""
+    SELECT o_custkey::VARCHAR AS user_id, o_orderdate AS date FROM orders)"""
 
 _EXPLORATION = f"""
 WITH {_REVIEWS},
 users AS (SELECT user_id, count(*) AS n FROM reviews GROUP BY user_id),
 best_users AS (SELECT * FROM users ORDER BY n DESC, user_id LIMIT {P.TOP}),
-words AS (SELECT word, count(*) AS n FROM ({_words('reviews')}) GROUP BY word),
+words AS (SELECT word, count(*) AS n FROM ({_words('documents')}) GROUP BY word),
 best_words AS (SELECT * FROM words ORDER BY n DESC, word LIMIT {P.TOP})
 SELECT (SELECT count(*) FROM reviews) AS "A",
        (SELECT count(*) FROM reviews WHERE year(date) = {P.YEAR}) AS "B",
@@ -97,6 +97,27 @@ WITH RECURSIVE
     WHERE len(list_intersect(g.baskets, o.baskets)) >= {P.SUPPLIER_SUPPORT})
 SELECT items, size, len(baskets)::BIGINT AS support FROM grown"""
 
+# Every part with the list of its suppliers, in the same way.
+_SUPPLIER_PART_ITEMSETS = (
+    _SUPPLIER_ITEMSETS.replace("l_suppkey", "l_item").replace("l_partkey", "l_suppkey").replace("l_item", "l_partkey")
+    .replace(str(P.SUPPLIER_SUPPORT), str(P.SUPPLIER_PART_SUPPORT))
+)
+
+# Orders as items of brands, items in string order.
+_ORDER_ITEMSETS = f"""
+WITH RECURSIVE
+  ones AS (
+    SELECT l_orderkey::VARCHAR AS item, list(DISTINCT p_brand) AS baskets
+    FROM lineitem JOIN part ON l_partkey = p_partkey
+    GROUP BY 1 HAVING count(DISTINCT p_brand) >= {P.ORDER_SUPPORT}),
+  grown AS (
+    SELECT item AS items, item AS last, 1 AS size, baskets FROM ones
+    UNION ALL
+    SELECT g.items || '{P.ITEM_SEPARATOR}' || o.item, o.item, g.size + 1, list_intersect(g.baskets, o.baskets)
+    FROM grown g JOIN ones o ON o.item > g.last
+    WHERE len(list_intersect(g.baskets, o.baskets)) >= {P.ORDER_SUPPORT})
+SELECT items, size, len(baskets)::BIGINT AS support FROM grown"""
+
 _SETS = """
   sets AS (
     SELECT DISTINCT l_suppkey AS b, o_custkey AS u
@@ -135,6 +156,20 @@ WITH {_SETS}, {_SIGNATURES}, {_SIMILAR},
     FROM bands x JOIN bands y ON x.band = y.band AND x.minima = y.minima AND x.b < y.b)
 SELECT b1, b2, sim FROM similar_sets JOIN candidates USING (b1, b2)"""
 
+
+def _similar_documents(threshold: float) -> str:
+    """Documents as sets of words, stopwords included."""
+    return f"""
+WITH sets AS (
+    SELECT DISTINCT doc_id AS b, word AS u FROM (
+      SELECT doc_id, unnest(string_split_regex(
+               lower(regexp_replace(text, '{_PUNCTUATION}', '', 'g')), '[{_SPACES}]')) AS word
+      FROM documents)
+    WHERE word <> ''),
+{_SIMILAR.replace(f"{P.SIMILARITY}::DOUBLE", f"{threshold}::DOUBLE")}
+SELECT b1, b2, sim FROM similar_sets"""
+
+
 # Murmur3 of a 64-bit key with seed 42, in unsigned arithmetic modulo 2**32.
 _MASK = 4294967295
 
@@ -147,10 +182,12 @@ def _times(value: str, factor: int) -> str:
     return f"((({value}) * {factor}::UBIGINT) & {_MASK})"
 
 
-_ORDER_LAYOUT = f"""
+def _hash_layout(table: str, key: str) -> str:
+    """Rows of each partition, by Spark's hash of one 64-bit key."""
+    return f"""
 WITH words AS (
-    SELECT (o_orderkey & {_MASK})::UBIGINT AS low, ((o_orderkey >> 32) & {_MASK})::UBIGINT AS high
-    FROM orders),
+    SELECT ({key} & {_MASK})::UBIGINT AS low, (({key} >> 32) & {_MASK})::UBIGINT AS high
+    FROM {table}),
   scrambled AS (SELECT {_times('low', 0xCC9E2D51)} AS low, {_times('high', 0xCC9E2D51)} AS high FROM words),
   mixed AS (
     SELECT {_times(_rotate('low', 15), 0x1B873593)} AS low,
@@ -169,6 +206,8 @@ SELECT p.part::INTEGER AS partition, count(placed.part) AS "rows"
 FROM range({P.PARTITIONS}) AS p(part) LEFT JOIN placed ON placed.part = p.part
 GROUP BY p.part"""
 
+_ORDER_LAYOUT = _hash_layout("orders", "o_orderkey")
+
 _LINE_CATEGORIES = f"""
 WITH listed AS (
   SELECT p_partkey, trim(unnest(string_split(concat_ws(' , ', p_name, p_type, p_type), ','))) AS category
@@ -176,8 +215,9 @@ WITH listed AS (
 averages AS (
   SELECT category, avg(l_quantity) AS average
   FROM lineitem JOIN listed ON l_partkey = p_partkey GROUP BY category)
-SELECT category, round(average, 6) AS average FROM averages
-ORDER BY averages.average DESC, category LIMIT {P.TOP}"""
+SELECT row_number() OVER (ORDER BY round(average, 6) DESC, category) - 1 AS place,
+       category, round(average, 6) AS average
+FROM averages ORDER BY place LIMIT {P.TOP}"""
 
 _BUSY = f"SELECT l_partkey, count(*) AS count FROM lineitem GROUP BY l_partkey HAVING count(*) > {P.BUSY}"
 
@@ -204,9 +244,12 @@ SELECT category, count(*) AS count FROM (
 GROUP BY category""",
     "busy_parts": _BUSY,
     "order_layout": _ORDER_LAYOUT,
+    "order_layout_as_read": 'SELECT count(*) AS "rows", true AS ids_run_on FROM orders',
     "brand_itemsets": _brand_itemsets(0),
     "brand_itemsets_large_orders": _brand_itemsets(P.BASKET_SIZE),
     "supplier_itemsets": _SUPPLIER_ITEMSETS,
+    "supplier_part_itemsets": _SUPPLIER_PART_ITEMSETS,
+    "supplier_part_itemsets_two_pass": _SUPPLIER_PART_ITEMSETS,
     "brand_candidates": _BRAND_CANDIDATES,
     "brand_itemsets_two_pass": _brand_itemsets(0),
     "supplier_signatures": f"WITH {_SETS}, {_SIGNATURES} SELECT b AS key, slot, minimum FROM signatures",
@@ -215,14 +258,21 @@ WITH {_SETS}, {_SIGNATURES}
 SELECT band::INTEGER AS band, minima, count(*) AS sets FROM bands GROUP BY band, minima HAVING count(*) > 1""",
     "similar_suppliers": _SIMILAR_ALL,
     "similar_suppliers_lsh": _SIMILAR_LSH,
+    "similar_documents": _similar_documents(P.DOCUMENT_SIMILARITY),
+    "equal_documents_lsh": _similar_documents(1.0),
     "basket_text_items": f"WITH {_BRANDS} SELECT item, count(*) AS count FROM items GROUP BY item",
+    "basket_text_itemsets": f"""
+SELECT *, true AS named, false AS swapped FROM ({_brand_itemsets(0)})
+UNION ALL SELECT *, true, true FROM ({_ORDER_ITEMSETS})""",
+    "review_json_pairs": f"""
+SELECT least('s' || b1, 's' || b2) AS b1, greatest('s' || b1, 's' || b2) AS b2, sim FROM ({_SIMILAR_ALL})""",
     "review_json_report": _EXPLORATION,
     "review_json_categories": _LINE_CATEGORIES,
     "busy_report_json": f"""
 SELECT l_partkey::VARCHAR AS business_id, count FROM ({_BUSY})
-UNION ALL SELECT 'all partitions', count(*) FROM lineitem""",
+UNION ALL SELECT 'partition ' || partition, "rows" FROM ({_hash_layout('lineitem', 'l_orderkey')})""",
     "itemset_files": f"""
-SELECT size, count(*) AS itemsets, 'candidates' AS kind FROM ({_BRAND_CANDIDATES}) GROUP BY size
-UNION ALL SELECT size, count(*), 'frequent' FROM ({_brand_itemsets(0)}) GROUP BY size""",
+SELECT items, size, chunks AS count, 'candidates' AS kind FROM ({_BRAND_CANDIDATES})
+UNION ALL SELECT items, size, support, 'frequent' FROM ({_brand_itemsets(0)})""",
     "similar_pair_files": _SIMILAR_ALL,
 }

@@ -33,6 +33,7 @@ def exploration_report(
     n: int = 10,
     stopwords: DataFrame | Iterable[str] = (),
     *,
+    texts: DataFrame | None = None,
     user: str = "user_id",
     date: str = "date",
     text: str = "text",
@@ -40,7 +41,8 @@ def exploration_report(
     """One row with the answers A to E.
 
     A: reviews; B: reviews of ``year``; C: distinct users; D: the ``m`` users with most
-    reviews and their counts; E: the ``n`` most frequent words. A to D come from one pass
+    reviews and their counts; E: the ``n`` most frequent words, of ``texts`` if they are a
+    table of their own. A to D come from one pass
     that leaves a row per user, E from a pass over the text.
     """
     dated = in_year(F.col(date), reviews.schema[date].dataType, year)
@@ -56,7 +58,7 @@ def exploration_report(
             _by_rank(user), lambda e: F.struct(e["name"].alias(user), (-e["order"]).alias("count"))
         ).alias("users")
     )
-    words = top_words(reviews, text, n, stopwords).agg(_by_rank("word")["name"].alias("words"))
+    words = top_words(reviews if texts is None else texts, text, n, stopwords).agg(_by_rank("word")["name"].alias("words"))
     return totals.select("A", "B", "C", users.scalar().alias("D"), words.scalar().alias("E"))
 
 
@@ -75,10 +77,11 @@ def category_report(
     stars: str = "stars",
     category: str = "categories",
     separator: str = ",",
+    digits: int | None = None,
 ) -> DataFrame:
     """The ``n`` categories with the best average of review stars."""
     averages = category_averages(reviews, businesses, key, stars, category, separator)
-    return top_categories(averages, n)
+    return top_categories(averages, n, digits)
 
 
 def busy_report(

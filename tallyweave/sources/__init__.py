@@ -8,6 +8,7 @@ from .readers import (
 )
 from .writers import (
     write_busy_report,
+    write_category_report,
     write_itemsets,
     write_report,
     write_similar_pairs,
@@ -21,6 +22,7 @@ __all__ = [
     "read_reviews",
     "read_words",
     "write_busy_report",
+    "write_category_report",
     "write_itemsets",
     "write_report",
     "write_similar_pairs",

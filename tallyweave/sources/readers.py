@@ -30,14 +30,15 @@ def read_baskets(
     path: str,
     swap: bool = False,
     *,
-    header: bool = True,
+    header: bool | str = True,
     mode: str = "FAILFAST",
 ) -> DataFrame:
     """``(basket, item)`` from two-column comma-separated text.
 
     Values are taken as they stand: no quoting, no trimming, an empty field is an empty
-    string. ``swap`` takes the second column as the basket. The first line of each file is
-    dropped when ``header`` is set. A line without exactly two fields fails the read in
+    string. ``swap`` takes the second column as the basket. ``header`` is the text of a header
+    line, or true for the first line of the input; every row equal to it is dropped, in
+    whichever files it stands. A line without exactly two fields fails the read in
     ``FAILFAST`` mode and is skipped in ``DROPMALFORMED`` mode.
     """
     schema = T.StructType(
@@ -45,7 +46,6 @@ def read_baskets(
     )
     rows = (
         spark.read.schema(schema)
-        .option("header", header)
         .option("enforceSchema", True)
         .option("quote", "")
         .option("escape", "")
@@ -53,6 +53,12 @@ def read_baskets(
         .csv(path)
         .select(*(F.coalesce(c, F.lit("")).alias(c) for c in ("first", "second")))
     )
+    if header is True:
+        first = spark.read.text(path).first()
+        header = first[0] if first else False
+    if header is not False:
+        names = header.split(",")
+        rows = rows.filter(~((F.col("first") == names[0]) & (F.col("second") == F.lit(",".join(names[1:])))))
     basket, item = ("second", "first") if swap else ("first", "second")
     return rows.select(F.col(basket).alias("basket"), F.col(item).alias("item"))
 

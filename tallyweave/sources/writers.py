@@ -1,7 +1,6 @@
 """JSON writers. Every value is escaped by Spark; rows are written where they are.
 
-Results whose size the caller fixes (top-k reports, one count per partition) become one
-JSON object. Results that grow with the data are written as rows, never as one array.
+Results whose size the caller fixes (top-k reports) become one JSON object. Results that grow with the data are written as rows, never as one array.
 """
 
 from __future__ import annotations
@@ -15,13 +14,18 @@ def write_report(report: DataFrame, path: str) -> None:
     report.write.json(path)
 
 
+def write_category_report(report: DataFrame, path: str) -> None:
+    """The rows of a category report, best first, as one object ``{"result": [..]}``; the
+    report's own ``n`` bounds it."""
+    entry = F.struct((-F.col("average")).alias("order"), "category", "average")
+    entries = F.transform(F.array_sort(F.collect_list(entry)), lambda e: F.struct(e["category"].alias("category"), e["average"].alias("average")))
+    report.agg(entries.alias("result")).write.json(path)
+
+
 def write_busy_report(layout: DataFrame, counts: DataFrame, path: str) -> None:
-    """``{path}/layout``: one object ``{"n_partitions", "n_items"}``, bounded by the number
-    of partitions. ``{path}/result``: one ``{key, count}`` object a row."""
-    entries = F.array_sort(F.collect_list(F.struct("partition", "rows")))
-    layout.agg(F.count("*").alias("n_partitions"), entries["rows"].alias("n_items")).write.json(
-        f"{path}/layout"
-    )
+    """``{path}/layout``: one ``{partition, rows}`` object a row, as there may be as many
+    partitions as the input has splits. ``{path}/result``: one ``{key, count}`` object a row."""
+    layout.write.json(f"{path}/layout")
     counts.write.json(f"{path}/result")
 
 

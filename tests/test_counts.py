@@ -130,3 +130,31 @@ def test_busy_report(spark, rows_of):
     hashed = busy_report(reviews(spark), 1, n_partitions=3)
     assert hashed.layout.count() == 3
     assert rows_of(hashed.result) == rows_of(as_read.result) == [("b1", 2), ("b2", 2)]
+
+
+def lengths(df):
+    return [(i, n) for i, n in enumerate(map(len, df.rdd.glom().collect()))]
+
+
+def test_layout_as_read_is_that_of_the_data(spark, rows_of):
+    """After a shuffle that Spark coalesces by bytes, after a join, and from a file."""
+    settings = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200k",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "50k",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        wide = spark.range(20000).withColumn("text", F.repeat(F.sha2(F.col("id").cast("string"), 256), 3))
+        shuffled = wide.repartition("id")
+        joined = wide.join(spark.range(0, 20000, 3).withColumnRenamed("id", "other"), F.col("id") == F.col("other"))
+        mapped = spark.range(10).select(F.create_map("id", "id").alias("m")).repartition(3)
+        scan = spark.read.parquet("/root/testdata/sf0.01/orders.parquet")
+        for df in (shuffled, joined, mapped, scan):
+            assert rows_of(partition_layout(df)) == lengths(df)
+        assert len(lengths(shuffled)) > 2
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)

@@ -13,6 +13,7 @@ from tallyweave.sources import (
     read_reviews,
     read_words,
     write_busy_report,
+    write_category_report,
     write_itemsets,
     write_report,
     write_similar_pairs,
@@ -41,8 +42,9 @@ def objects(path):
 
 def test_baskets(spark, folder, rows_of):
     path = put(folder, "in.csv", 'user,item\n1, "a"\n1,\n2,b\\\nuser,item\n')
-    assert rows_of(read_baskets(spark, path)) == [("1", ""), ("1", ' "a"'), ("2", "b\\"), ("user", "item")]
-    assert rows_of(read_baskets(spark, path, swap=True)) == [("", "1"), (' "a"', "1"), ("b\\", "2"), ("item", "user")]
+    # every row that equals the header goes, as in the inventory (S3, P13)
+    assert rows_of(read_baskets(spark, path)) == [("1", ""), ("1", ' "a"'), ("2", "b\\")]
+    assert rows_of(read_baskets(spark, path, swap=True)) == [("", "1"), (' "a"', "1"), ("b\\", "2")]
     assert ("user", "item") in rows_of(read_baskets(spark, path, header=False))
 
 
@@ -84,8 +86,8 @@ def test_busy_files(spark, folder):
     df = spark.createDataFrame([("r1", "b1"), ("r2", "b1"), ("r3", "b2")], "review_id string, business_id string")
     found = busy_report(df, 1, n_partitions=4)
     write_busy_report(found.layout, found.result, folder + "/busy")
-    (layout,) = objects(f"{folder}/busy/layout")
-    assert layout["n_partitions"] == len(layout["n_items"]) == 4 and sum(layout["n_items"]) == 3
+    layout = objects(f"{folder}/busy/layout")
+    assert sorted(x["partition"] for x in layout) == [0, 1, 2, 3] and sum(x["rows"] for x in layout) == 3
     assert objects(f"{folder}/busy/result") == [{"business_id": "b1", "count": 2}]
 
 
@@ -103,3 +105,18 @@ def test_pairs_are_escaped(spark, folder):
     pairs = spark.createDataFrame([('a"b', "c\\", 0.5)], "b1 string, b2 string, sim double")
     write_similar_pairs(pairs, f"{folder}/pairs")
     assert objects(f"{folder}/pairs") == [{"b1": 'a"b', "b2": "c\\", "sim": 0.5}]
+
+
+def test_header_of_one_part_only(spark, folder, rows_of):
+    put(folder, "part-0.csv", "u,i\n1,a\n2,b\n")
+    put(folder, "part-1.csv", "3,c\n4,d\n")
+    want = [("1", "a"), ("2", "b"), ("3", "c"), ("4", "d")]
+    assert rows_of(read_baskets(spark, folder, header="u,i")) == want
+    assert rows_of(read_baskets(spark, folder)) == want
+
+
+def test_category_report_is_one_object(spark, folder):
+    report = spark.createDataFrame([("b", 2.0), ("c", 3.0), ("a", 2.0)], "category string, average double")
+    write_category_report(report, f"{folder}/report")
+    want = [{"category": c, "average": a} for c, a in (("c", 3.0), ("a", 2.0), ("b", 2.0))]
+    assert objects(f"{folder}/report") == [{"result": want}]
