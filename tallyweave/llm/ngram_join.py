@@ -2,12 +2,12 @@
 
 Two sets of similarity t or more share a token of their prefixes, whatever global order the
 tokens are taken in: the prefix of a set of n tokens is its first ``n - ceil(t n) + 1`` ones.
-Each order used here puts common tokens last and draws the rest by a hash of its own, so
-pairs that only share a passage rarely meet, and must meet under every order.
+Each order used here takes tokens from rare to common, in levels, and draws those of a level
+by a hash of its own, so pairs that only share a passage rarely meet, and must meet under
+every order.
 
 1. Documents with equal sets are one set. A table of counts over hash cells, of fixed size,
-   tells which cells are common; it may err either way, as any predicate of the token alone
-   makes a valid order.
+   tells the level of a token; it may err, as any function of the token alone makes an order.
 2. Prefix tokens under the first order are the join keys; those of one set only are dropped.
 3. Sets that share a key become candidates, and stay if their prefixes under the other orders
    meet, too. Only then are whole sets compared.
@@ -37,13 +37,12 @@ from .words import WORD_CLASSES, mixed, runs, windows
 
 class Join(NamedTuple):
     """``share``: the least similarity as (numerator, denominator). ``cell_bits`` fixes the size
-    of the count table. A cell is common if it counts more than ``common`` above its fair share."""
+    of the count table, which is counted and summed up in segments."""
 
     width: int = 3
     share: tuple[int, int] = (90, 100)
-    cell_bits: int = 26
-    segment_bits: int = 20
-    common: int = 40
+    cell_bits: int = 25
+    segment_bits: int = 19
     other_orders: int = 2
 
     def orders(self) -> list[str]:
@@ -121,8 +120,9 @@ def _unpack(packed: bytes) -> np.ndarray:
     return np.cumsum(steps)[steps < 65535]
 
 
-def _common_cells(docs: DataFrame, join: Join) -> np.ndarray:
-    """Bits of the cells that are common, packed: a table of fixed size."""
+def _cell_levels(docs: DataFrame, join: Join) -> np.ndarray:
+    """How common the tokens of each cell are, in 16 levels, two cells to a byte: a table of
+    fixed size."""
     size = 1 << join.segment_bits
     n_segments = 1 << (join.cell_bits - join.segment_bits)
 
@@ -132,31 +132,34 @@ def _common_cells(docs: DataFrame, join: Join) -> np.ndarray:
             for segment, packed in zip(batch.column("segment").to_pylist(), batch.column("steps").to_pylist()):
                 counts.setdefault(segment, np.zeros(size, np.int64))
                 counts[segment] += np.bincount(_unpack(packed), minlength=size)
-        bits = []
+        packed = []
         for found in counts.values():
-            fair = found.mean()
-            bits.append(np.packbits(found > fair + 8 * np.sqrt(fair) + join.common).tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.int32()), pa.array(bits, pa.binary())], names=["segment", "bits"])
+            # half powers of two, counted from a quarter of a cell's fair share on
+            base = max(0.0, 2 * np.log2(max(found.mean(), 1)) - 4)
+            levels = np.clip(2 * np.log2(np.maximum(found, 1)) - base, 0, 15).astype(np.uint8)
+            packed.append((levels[::2] | levels[1::2] << 4).tobytes())
+        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.int32()), pa.array(packed, pa.binary())], names=["segment", "levels"])
 
     # by segment only, whose number is fixed; each holds an even share of the tokens
     parts = docs.mapInArrow(_cells(join), "segment int, steps binary").repartition(n_segments, "segment")
-    out = np.zeros((n_segments, size // 8), np.uint8)
-    for row in parts.mapInArrow(summed, "segment int, bits binary").collect():
-        out[row["segment"]] = np.frombuffer(row["bits"], np.uint8)
+    out = np.zeros((n_segments, size // 2), np.uint8)
+    for row in parts.mapInArrow(summed, "segment int, levels binary").collect():
+        out[row["segment"]] = np.frombuffer(row["levels"], np.uint8)
     return out.ravel()
 
 
-def _prefix(tokens: np.ndarray, order: int, common: np.ndarray, join: Join) -> np.ndarray:
-    """First tokens of a set under one of the orders, as the hashes that they are drawn by."""
+def _prefix(tokens: np.ndarray, order: int, levels: np.ndarray, join: Join) -> np.ndarray:
+    """First tokens of a set under one of the orders, as what they are ordered by: the level of
+    the token's cell, then a hash of the order's own."""
     cells = (tokens >> np.uint64(64 - join.cell_bits)).astype(np.int64)
-    late = (common[cells >> 3] >> (7 - (cells & 7)).astype(np.uint8)) & 1
-    drawn = mixed(tokens + np.uint64(order)) >> np.uint64(1)
-    drawn |= late.astype(np.uint64) << np.uint64(63)
+    level = levels[cells >> 1] >> (4 * (cells & 1)).astype(np.uint8) & 15
+    drawn = mixed(tokens + np.uint64(order)) >> np.uint64(4)
+    drawn |= level.astype(np.uint64) << np.uint64(60)
     count = join.prefix(len(tokens))
     return drawn if count >= len(drawn) else np.partition(drawn, count - 1)[:count]
 
 
-def _prefixes(join: Join, common: np.ndarray):
+def _prefixes(join: Join, levels: np.ndarray):
     """Prefixes of each set: under the first order as its keys, under the others as halves of
     hashes, since meeting too often does no harm there. A set seen before in this task is
     passed over, as far as it is remembered."""
@@ -177,7 +180,7 @@ def _prefixes(join: Join, common: np.ndarray):
                 prints.append(own)
                 sizes.append(len(found))
                 for order, out in enumerate(prefixes, 1):
-                    prefix = _prefix(found, order, common, join).view(np.int64)
+                    prefix = _prefix(found, order, levels, join).view(np.int64)
                     out.append(prefix if order == 1 else prefix.astype(np.int32))
             kinds = [pa.list_(pa.int64()), *[pa.list_(pa.int32())] * join.other_orders]
             columns = [pa.array(prints, pa.int64()), pa.array(sizes, pa.int64()), *(pa.array(x, kind) for x, kind in zip(prefixes, kinds))]
@@ -253,10 +256,10 @@ def ngram_components(docs: DataFrame, id_col: str, text_col: str, join: Join = J
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("digest", F.xxhash64("text"))
     kind = rows.schema["id"].dataType
     told = written(rows.mapInArrow(_sets(join, to_arrow_type(kind)), f"id {kind.simpleString()}, digest long, n long, print long"), "shingle-sets")
-    common = _common_cells(rows.select("text"), join)
+    levels = _cell_levels(rows.select("text"), join)
 
     columns = ", ".join(f"{order} array<int>" for order in join.orders())
-    prefixes = rows.select("text").mapInArrow(_prefixes(join, common), f"print long, n long, keys array<long>, {columns}")
+    prefixes = rows.select("text").mapInArrow(_prefixes(join, levels), f"print long, n long, keys array<long>, {columns}")
     prefixes = written(prefixes.dropDuplicates(["print"]), "prefixes")
     by_token = Window.partitionBy("token")
     shared = prefixes.select("print", "n", F.explode("keys").alias("token")).withColumn("sets", F.count(F.lit(1)).over(by_token))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..staging import stage, staging_path
 
 #: Bytes of text that vectorised code takes at a time; intermediates are some 30 times as large.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
