@@ -9,6 +9,8 @@ every order.
 1. Documents with equal sets are one set. A table of counts over hash cells, of fixed size,
    tells the level of a token; it may err, as any function of the token alone makes an order.
 2. Prefix tokens under the first order are the join keys; those of one set only are dropped.
+   The smaller set of a pair needs but half as long a prefix, as the overlap of a pair is a
+   larger share of it.
 3. Sets that share a key become candidates, and stay if their prefixes under the other orders
    meet, too. Only then are whole sets compared.
 4. As components are asked for, a large group of near copies is first linked to its most
@@ -49,8 +51,13 @@ class Join(NamedTuple):
         return [f"order{i}" for i in range(2, self.other_orders + 2)]
 
     def prefix(self, size: int) -> int:
+        """Tokens of a set among which it shares one with any similar set of no more tokens."""
         return size - -(-size * self.share[0] // self.share[1]) + 1
 
+    def short_prefix(self, size: int) -> int:
+        """The same for similar sets of no fewer tokens, with whom it has to share more."""
+        return size - -(-2 * size * self.share[0] // sum(self.share)) + 1
+
 
 def shingle_sets(raw: np.ndarray, offsets: np.ndarray, width: int) -> list[np.ndarray]:
     """Sorted distinct n-gram hashes of each text. A text of fewer words gives one for all of
@@ -163,13 +170,13 @@ def _prefixes(join: Join, levels: np.ndarray):
     """Prefixes of each set: under the first order as its keys, under the others as halves of
     hashes, since meeting too often does no harm there. A set seen before in this task is
     passed over, as far as it is remembered."""
-    names = ["print", "n", "keys", *join.orders()]
+    names = ["print", "n", "short", "keys", *join.orders()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in text_slices(batches):
-            prints, sizes = [], []
-            prefixes: list[list[np.ndarray]] = [[] for _ in names[2:]]
+            prints, sizes, shorts = [], [], []
+            prefixes: list[list[np.ndarray]] = [[] for _ in names[3:]]
             for found in shingle_sets(*text_bytes(batch.column("text")), join.width):
                 own = _print(found)
                 if own is None or own in seen:
@@ -180,10 +187,11 @@ def _prefixes(join: Join, levels: np.ndarray):
                 prints.append(own)
                 sizes.append(len(found))
                 for order, out in enumerate(prefixes, 1):
-                    prefix = _prefix(found, order, levels, join).view(np.int64)
-                    out.append(prefix if order == 1 else prefix.astype(np.int32))
+                    prefix = _prefix(found, order, levels, join)
+                    out.append(np.sort(prefix).view(np.int64) if order == 1 else prefix.view(np.int64).astype(np.int32))
+                shorts.append(join.short_prefix(len(found)))
             kinds = [pa.list_(pa.int64()), *[pa.list_(pa.int32())] * join.other_orders]
-            columns = [pa.array(prints, pa.int64()), pa.array(sizes, pa.int64()), *(pa.array(x, kind) for x, kind in zip(prefixes, kinds))]
+            columns = [pa.array(prints, pa.int64()), pa.array(sizes, pa.int64()), pa.array(shorts, pa.int64()), *(pa.array(x, kind) for x, kind in zip(prefixes, kinds))]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
@@ -259,11 +267,13 @@ def ngram_components(docs: DataFrame, id_col: str, text_col: str, join: Join = J
     levels = _cell_levels(rows.select("text"), join)
 
     columns = ", ".join(f"{order} array<int>" for order in join.orders())
-    prefixes = rows.select("text").mapInArrow(_prefixes(join, levels), f"print long, n long, keys array<long>, {columns}")
+    prefixes = rows.select("text").mapInArrow(_prefixes(join, levels), f"print long, n long, short long, keys array<long>, {columns}")
     prefixes = written(prefixes.dropDuplicates(["print"]), "prefixes")
     by_token = Window.partitionBy("token")
-    shared = prefixes.select("print", "n", F.explode("keys").alias("token")).withColumn("sets", F.count(F.lit(1)).over(by_token))
-    shared = written(shared.where("sets > 1").drop("sets"), "shared-tokens")
+    shared = prefixes.select("print", "n", "short", F.posexplode("keys").alias("at", "token"))
+    shared = shared.select("print", "n", "token", (F.col("at") < F.col("short")).alias("short"))
+    sets = {"sets": F.count(F.lit(1)).over(by_token), "some": F.max("short").over(by_token)}
+    shared = written(shared.withColumns(sets).where("sets > 1 and some").drop("sets", "some"), "shared-tokens")
 
     # whole sets are taken from one document each
     one = F.min(F.struct(F.col("id").isNull(), "id", "digest")).alias("first")
@@ -281,14 +291,16 @@ def ngram_components(docs: DataFrame, id_col: str, text_col: str, join: Join = J
     firsts = verifier.links(best.select(F.least("print", "to").alias("a"), F.greatest("print", "to").alias("b")).distinct(), "first-pairs")
     components = connected_components(firsts, "a", "b").select(F.col("node").alias("print"), "root")
 
-    # every pair of sets of different components that shares a token
-    member = shared.join(components, "print", "left").select("token", "print", "n", F.coalesce("root", "print").alias("root"))
+    # every pair of sets of different components that shares a token, the smaller set first
+    member = shared.join(components, "print", "left").select("token", "print", "n", "short", F.coalesce("root", "print").alias("root"))
     member = written(member, "token-members")
-    roots = member.groupBy("token", "root").agg(F.count(F.lit(1)).alias("sets"))
-    one, two = (roots.select("token", F.col("root").alias(x)) for x in ("root_a", "root_b"))
-    apart = one.join(two, "token").where("root_a < root_b")
-    one, two = (member.select("token", *(F.col(c).alias(f"{c}_{x}") for c in ("root", "print", "n"))) for x in "ab")
-    pairs = apart.join(one, ["token", "root_a"]).join(two, ["token", "root_b"]).where(_sizes_allow(join.share, "n_a", "n_b"))
+    roots = member.groupBy("token", "root").agg(F.max("short").alias("short"))
+    one = roots.where("short").select("token", F.col("root").alias("root_a"))
+    two = roots.select("token", F.col("root").alias("root_b"))
+    apart = one.join(two, "token").where("root_a <> root_b")
+    one, two = (member.select("token", "short", *(F.col(c).alias(f"{c}_{x}") for c in ("root", "print", "n"))) for x in "ab")
+    pairs = apart.join(one.where("short").drop("short"), ["token", "root_a"]).join(two.drop("short"), ["token", "root_b"])
+    pairs = pairs.where((F.col("n_a") <= F.col("n_b")) & _sizes_allow(join.share, "n_a", "n_b"))
     pairs = pairs.select(F.least("print_a", "print_b").alias("a"), F.greatest("print_a", "print_b").alias("b")).distinct()
     links = firsts.union(verifier.links(pairs, "other-pairs"))
 
