@@ -186,7 +186,7 @@ def _mine(baskets: _Baskets, need: Column, wide: int) -> list[DataFrame]:
         size += 1
         longer = _lengthen(grown)
         level, n_found = stage_counted(
-            _count_lasts(longer).filter(F.col("support") >= need).withColumn("numbers", F.concat("prefix", F.array("last"))),
+            _count_lasts(longer, size).filter(F.col("support") >= need).withColumn("numbers", F.concat("prefix", F.array("last"))),
             f"level-{size}",
         )
         if n_found:
@@ -270,12 +270,16 @@ def _lengthen(grown: _Baskets) -> _Baskets:
     return _Baskets(light, crowded.filter("size(lasts) > 0"))
 
 
-def _count_lasts(longer: _Baskets) -> DataFrame:
-    """Support of each prefix with each of its ``lasts``."""
-    each = longer.light.selectExpr("chunk", "prefix", "explode(lasts) AS last", "weight")
+def _count_lasts(longer: _Baskets, size: int) -> DataFrame:
+    """Support of each prefix with each of its ``lasts``. Pairs, by far the most, are counted
+    under two plain numbers."""
+    prefix = "prefix[0]" if size == 2 else "prefix"
+    columns = ["chunk", f"{prefix} AS prefix", "explode(lasts) AS last", "weight"]
+    each = longer.light.selectExpr(*columns)
     if longer.crowded is not None:
-        each = each.unionByName(longer.crowded.selectExpr("chunk", "prefix", "explode(lasts) AS last", "weight"))
-    return each.groupBy("chunk", "prefix", "last").agg(F.expr("sum(weight) AS support"))
+        each = each.unionByName(longer.crowded.selectExpr(*columns))
+    counted = each.groupBy("chunk", "prefix", "last").agg(F.expr("sum(weight) AS support"))
+    return counted.withColumn("prefix", F.array("prefix")) if size == 2 else counted
 
 
 def _cut_down(longer: _Baskets, level: DataFrame, n_level: int, wide: int, size: int, least: int = 2) -> _Baskets:
@@ -339,6 +343,6 @@ def _recount(mined: _Mined, wide: int) -> DataFrame:
             "0 AS chunk", f"slice(numbers, 1, {size - 1}) AS prefix", f"numbers[{size - 1}] AS last"
         )
         grown = _cut_down(_lengthen(grown), level, n_wanted, wide, size, 1)
-        counted = _count_lasts(grown).selectExpr("concat(prefix, array(last)) AS numbers", "support")
+        counted = _count_lasts(grown, size).selectExpr("concat(prefix, array(last)) AS numbers", "support")
         found = found.unionByName(counted)
     return found

@@ -277,10 +277,10 @@ def basket_text_itemsets(spark, sf_dir):
     """Itemsets of text baskets in both orientations, through files on either side."""
     brands = _order_brands(spark, sf_dir)
     found = []
-    for swap, support in ((False, P.SUPPORT), (True, P.ORDER_SUPPORT)):
+    for columns, swap in ((("l_orderkey", "p_brand"), False), (("p_brand", "l_orderkey"), True)):
         source, path = (staging_path(spark, name) for name in ("basket-text", "itemset-json"))
-        brands.write.option("header", True).csv(source)
-        report = itemset_report(read_baskets(spark, source, swap=swap), support, 0, P.CHUNKS)
+        brands.select(*columns).write.option("header", True).csv(source)
+        report = itemset_report(read_baskets(spark, source, swap=swap), P.SUPPORT, 0, P.CHUNKS)
         write_itemsets(report.candidates, report.frequent, path)
         named, frequent = (
             spark.read.schema(f"items array<string>, {measure} bigint, size int").json(f"{path}/{name}")

@@ -97,25 +97,23 @@ WITH RECURSIVE
     WHERE len(list_intersect(g.baskets, o.baskets)) >= {P.SUPPLIER_SUPPORT})
 SELECT items, size, len(baskets)::BIGINT AS support FROM grown"""
 
-# Every part with the list of its suppliers, in the same way.
-_SUPPLIER_PART_ITEMSETS = (
-    _SUPPLIER_ITEMSETS.replace("l_suppkey", "l_item").replace("l_partkey", "l_suppkey").replace("l_item", "l_partkey")
-    .replace(str(P.SUPPLIER_SUPPORT), str(P.SUPPLIER_PART_SUPPORT))
-)
-
-# Orders as items of brands, items in string order.
-_ORDER_ITEMSETS = f"""
+# The same for parts and their suppliers, where only partners of a frequent pair are tried.
+_SUPPLIER_PART_ITEMSETS = f"""
 WITH RECURSIVE
+  held AS (SELECT DISTINCT l_partkey AS item, l_suppkey AS basket FROM lineitem),
   ones AS (
-    SELECT l_orderkey::VARCHAR AS item, list(DISTINCT p_brand) AS baskets
-    FROM lineitem JOIN part ON l_partkey = p_partkey
-    GROUP BY 1 HAVING count(DISTINCT p_brand) >= {P.ORDER_SUPPORT}),
+    SELECT item, list(basket) AS baskets FROM held
+    GROUP BY item HAVING count(*) >= {P.SUPPLIER_PART_SUPPORT}),
+  pairs AS (
+    SELECT x.item AS a, y.item AS b FROM held x JOIN held y ON x.basket = y.basket AND x.item < y.item
+    GROUP BY 1, 2 HAVING count(*) >= {P.SUPPLIER_PART_SUPPORT}),
   grown AS (
-    SELECT item AS items, item AS last, 1 AS size, baskets FROM ones
+    SELECT item::VARCHAR AS items, item AS last, 1 AS size, baskets FROM ones
     UNION ALL
-    SELECT g.items || '{P.ITEM_SEPARATOR}' || o.item, o.item, g.size + 1, list_intersect(g.baskets, o.baskets)
-    FROM grown g JOIN ones o ON o.item > g.last
-    WHERE len(list_intersect(g.baskets, o.baskets)) >= {P.ORDER_SUPPORT})
+    SELECT g.items || '{P.ITEM_SEPARATOR}' || o.item, o.item, g.size + 1,
+           list_intersect(g.baskets, o.baskets)
+    FROM grown g JOIN pairs p ON p.a = g.last JOIN ones o ON o.item = p.b
+    WHERE len(list_intersect(g.baskets, o.baskets)) >= {P.SUPPLIER_PART_SUPPORT})
 SELECT items, size, len(baskets)::BIGINT AS support FROM grown"""
 
 _SETS = """
@@ -263,7 +261,7 @@ SELECT band::INTEGER AS band, minima, count(*) AS sets FROM bands GROUP BY band,
     "basket_text_items": f"WITH {_BRANDS} SELECT item, count(*) AS count FROM items GROUP BY item",
     "basket_text_itemsets": f"""
 SELECT *, true AS named, false AS swapped FROM ({_brand_itemsets(0)})
-UNION ALL SELECT *, true, true FROM ({_ORDER_ITEMSETS})""",
+UNION ALL SELECT *, true, true FROM ({_brand_itemsets(0)})""",
     "review_json_pairs": f"""
 SELECT least('s' || b1, 's' || b2) AS b1, greatest('s' || b1, 's' || b2) AS b2, sim FROM ({_SIMILAR_ALL})""",
     "review_json_report": _EXPLORATION,

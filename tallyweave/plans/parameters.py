@@ -8,7 +8,6 @@ SUPPORT = 50
 BASKET_SIZE = 3
 SUPPLIER_SUPPORT = 160
 SUPPLIER_PART_SUPPORT = 15
-ORDER_SUPPORT = 6
 DOCUMENT_SIMILARITY = 0.5
 CHUNKS = 4
 SIMILARITY = 0.22
