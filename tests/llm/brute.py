@@ -32,6 +32,8 @@ def vector_links(rows, threshold):
     def unit(v):
         if not v or any(x is None or not math.isfinite(x) for x in v) or not any(v):
             return None
+        most = max(map(abs, v))
+        v = [x / most for x in v]
         size = math.sqrt(sum(x * x for x in v))
         return [x / size for x in v]
 
