@@ -20,8 +20,8 @@ LEAST_QUALITY = 0.7
 
 def _by_row(docs: DataFrame) -> DataFrame:
     """The id of a stage's rows is their place in its input, so that rows with equal or null
-    ids are decided on one by one."""
-    return docs.withColumn("stage_row", F.monotonically_increasing_id())
+    ids are decided on one by one. It is written with them: another scan may number them anew."""
+    return written(docs.withColumn("stage_row", F.monotonically_increasing_id()), "stage-rows")
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,8 +40,8 @@ def check_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def join_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of n-gram near copies: the first by id; of rows with
     one id, the first by text. Documents without words are in no group and stay."""
-    order = written(docs.select("doc_id", F.md5("text").alias("digest"), F.monotonically_increasing_id().alias("stage_row")), "row-order")
     rows = _by_row(docs)
+    order = rows.select("doc_id", F.md5("text").alias("digest"), "stage_row")
     groups = ngram_join.ngram_components(rows, "stage_row", "text")
     grouped = groups.join(order, F.col("id") == F.col("stage_row"))
     first = F.min_by("id", F.struct("doc_id", "digest", "id")).alias("id")

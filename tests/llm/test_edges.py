@@ -383,3 +383,23 @@ def test_pipeline_stages_on_odd_rows(spark, tmp_path):
         assert df.count() >= 0
     again = corpus_pipeline.join_near_copies(spark, spark.read.parquet(f"{tmp_path}/0-0"), str(tmp_path)).collect()
     assert sorted(str(r["doc_id"]) for r in again) == sorted(["1", "10", "12", "2", "3", "4", "6", "7", "8", "None", "None"])
+
+
+def test_near_copies_stand_when_scans_are_dealt_anew(spark, tmp_path, monkeypatch):
+    """Between the jobs of the stage files are packed into more partitions, as with more cores."""
+    rows = [(i, prose(60, 300 + i // 2)) for i in range(32)] + [(100 + i, None) for i in range(8)]
+    for row in rows:
+        spark.createDataFrame([row], "doc_id long, text string").coalesce(1).write.mode("append").parquet(f"{tmp_path}/docs")
+    docs, plain = spark.read.parquet(f"{tmp_path}/docs"), ngram_join.ngram_components
+
+    def dealt_anew(*args):
+        spark.conf.set("spark.sql.files.minPartitionNum", 40)
+        return plain(*args)
+
+    monkeypatch.setattr(ngram_join, "ngram_components", dealt_anew)
+    spark.conf.set("spark.sql.files.minPartitionNum", 1)
+    try:
+        found = corpus_pipeline.join_near_copies(spark, docs, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+    assert sorted(r["doc_id"] for r in found) == [*range(0, 32, 2), *range(100, 108)]
