@@ -2,7 +2,8 @@
 
 The page is cut into blocks of text at block-level tags. The first pass decides what it can:
 a block is bad if it lies in a part of the page that never holds the article (menus, footers,
-forms, anything named like an advert or a comment), or if most of its characters are links;
+forms, what is hidden, containers whose whole name is that of an advert, a comment or the like), or
+if most of its characters are links;
 it is good if it is long enough and dense enough in stop words. Blocks that say little (short
 ones, and long ones without stop words) stay open. In the second pass an open block takes the
 label of its nearest decided neighbours, the better one if they differ and are equally near,
@@ -34,16 +35,24 @@ BARRED = frozenset("nav footer aside form menu head button label dialog search".
 ARTICLE = frozenset(("article", "main"))
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 
-#: Words in class, id or role that name parts beside the article.
-_BESIDE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|banners?|breadcrumbs?|captcha|comments?|comment-?list|consent|cookies?|"
-    r"disqus|footer|gdpr|header|login|masthead|menus?|modal|nav|navbar|navigation|newsletter|notices?|popup|promos?|"
-    r"recommended|related|replies|reply|share|sharing|sidebar|side|signup|skip|social|sponsor(?:ed)?|subscribe|tags?|"
-    r"toolbar|widgets?|alert|complementary|contentinfo|responses?)(?:$|[\s_-]|\d)",
-    re.I,
+#: Names of parts beside the article. A class, id, role or label names such a part if it has one of these
+#: words and otherwise only words of layout: "ad-slot-3" and "related-posts", but not "side-effects" or "no-sidebar".
+BESIDE = frozenset(
+    "ad ads advert adverts advertisement advertisements banner banners breadcrumb breadcrumbs captcha comment comments "
+    "commentlist consent cookie cookies disqus footer gdpr header login masthead menu menus modal nav navbar navigation "
+    "newsletter notice notices popup promo promos recommended related replies reply share sharing sidebar side signup skip "
+    "social sponsor sponsored subscribe tags toolbar widget widgets alert complementary contentinfo response responses".split()
 )
-_NAMES = re.compile(r"""\b(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_HIDDEN = re.compile(r"""(?<![\w-])hidden(?![\w-])|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
+LAYOUT = frozenset(
+    "area article articles bar block bottom box buttons container entry form group icons inner item items links list main "
+    "outer panel post posts primary secondary section site slot stories story thread top unit wrap wrapper".split()
+)
+#: A header named after one of these has the title of the article.
+OWN = frozenset("article entry post story".split())
+#: Blocks that are named for what they hold. Headings and text that stands for itself are not.
+CONTAINERS = frozenset("center dd details div dl fieldset figure footer header li ol p section table tbody td tfoot th thead tr ul".split())
+_HIDES = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\s*(?:!|;|$)", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _ATTRIBUTES = r"""(?:[^"'>]++|"[^"]*+"|'[^']*+')*+"""
 _TOKENS = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -72,6 +81,34 @@ MOST_LINK_SHARE = 0.5
 GOOD, BAD, OPEN = 1, -1, 0
 
 
+def _attributes(rest: str) -> dict[str, str]:
+    """Values by name; of a name given twice the first, as browsers have it."""
+    out: dict[str, str] = {}
+    for name, *values in _ATTRIBUTE.findall(rest):
+        out.setdefault(name.lower(), html.unescape("".join(values)))
+    return out
+
+
+def _hidden(attributes: dict[str, str]) -> bool:
+    return "hidden" in attributes or bool(_HIDES.search(attributes.get("style", "")))
+
+
+def _names_beside(name: str) -> bool:
+    words = {x for x in re.split(r"[\s_-]+|\d+", name.lower()) if x}
+    if "header" in words and words & OWN:
+        return False
+    return bool(words & BESIDE) and words <= BESIDE | LAYOUT
+
+
+def _beside(attributes: dict[str, str]) -> bool:
+    """Whether a class, the id, a role or the label as a whole names a part beside the article,
+    or the container is not there for all readers."""
+    if attributes.get("aria-hidden", "").strip().lower() == "true":
+        return True
+    tokens = [*attributes.get("class", "").split(), *attributes.get("role", "").split()]
+    return any(map(_names_beside, [*tokens, attributes.get("id", ""), attributes.get("aria-label", "")]))
+
+
 class _Block:
     __slots__ = ("article", "barred", "linked", "pieces")
 
@@ -82,9 +119,9 @@ class _Block:
 def _blocks(page: str) -> list[tuple[str, bool, bool, float]]:
     """Text, whether it is barred, whether it is in an article, and share of link characters."""
     done: list[_Block] = []
-    # open tags with what holds below them: barred, in an article, in a link
-    stack: list[tuple[str, bool, bool, bool]] = []
-    state = (False, False, False)
+    # open tags with what holds below them: barred, in an article, in a link, and barred by name only
+    stack: list[tuple[str, bool, bool, bool, bool]] = []
+    state = (False, False, False, False)
     block = _Block(False, False)
 
     def text(raw: str) -> None:
@@ -117,21 +154,26 @@ def _blocks(page: str) -> list[tuple[str, bool, bool, float]]:
             depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
             if depth is not None and (ends or not any(x[0] in BLOCKS for x in stack[depth + 1 :])):
                 del stack[depth:]
-                state = stack[-1][1:] if stack else (False, False, False)
+                state = stack[-1][1:] if stack else (False, False, False, False)
         elif tag not in VOID and not token["rest"].endswith("/"):
             if ends:
                 # a paragraph or item that was never closed ends where the next block begins
                 if tag in ("li", "dd", "dt", "td", "th", "tr", "option") or tag not in ("ul", "ol", "dl", "table", "tbody", "thead"):
                     while stack and (stack[-1][0] == "p" or stack[-1][0] == tag and tag in ("li", "dd", "dt", "td", "th", "tr", "option") or stack[-1][0] not in BLOCKS):
                         stack.pop()
-                    state = stack[-1][1:] if stack else (False, False, False)
-            barred, article, link = state
-            barred = barred or tag in BARRED or (tag == "header" and not article) or bool(_HIDDEN.search(token["rest"]))
-            if not barred and token["rest"].strip() and tag not in ("html", "body"):
-                barred = any(_BESIDE.search(a or b or c) for a, b, c in _NAMES.findall(token["rest"]))
+                    state = stack[-1][1:] if stack else (False, False, False, False)
+            barred, article, link, named = state
+            if tag == "main" and named:
+                # a page has one main part, whatever the blocks around it are called
+                barred = named = False
+            attributes = _attributes(token["rest"]) if token["rest"].strip() else {}
+            if tag in BARRED or (tag == "header" and not article) or _hidden(attributes):
+                barred, named = True, False
+            elif not barred and tag in CONTAINERS and _beside(attributes):
+                barred = named = True
             if tag in ARTICLE and not barred:
                 article = True
-            state = (barred, article, link or tag == "a")
+            state = (barred, article, link or tag == "a", named)
             stack.append((tag, *state))
         if ends or (block.barred, block.article) != state[:2]:
             fresh()

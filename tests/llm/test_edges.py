@@ -351,6 +351,31 @@ PAGES = {
     "references": ("<article><p>&#233;&eacute;&#x65E5;&nbsp;x&unknown; 1 < 2</p></article>", "éé日 x&unknown; 1 < 2"),
 }
 
+STORY = "This is the story of a man who was in the house and had all that he would want from it."
+
+
+@pytest.mark.parametrize(
+    ("tag", "kept"),
+    [
+        *((x, True) for x in ("div style='overflow:hidden'", "div data-state='hidden'", "p title='hidden costs'", "div class='x hidden-xs'", "div style='--display:none-x'")),
+        *((x, True) for x in ("section id='side-effects'", "article id='market-share'", "h2 class='header'", "div class='post tag-social'", "article class='comments'")),
+        *((x, True) for x in ("div class='no-sidebar'", "div class='has-sidebar'", "div class='with-sidebar wide'", "div class='content-sidebar-wrap'", "div id='related-work'")),
+        *((x, False) for x in ("div hidden", "p class=x hidden=''", "div style='color:red; Display : none'", "div style='visibility:hidden!important'", "main hidden")),
+        *((x, False) for x in ("div class='x ad-slot-3'", "section id=related_posts", "div class='post-comments'", "div role=navigation", "div aria-label='Related articles'")),
+    ],
+)
+def test_only_parts_that_are_hidden_or_named_as_a_whole_are_barred(tag, kept):
+    name = tag.split()[0]
+    page = f"<body><{tag}>{STORY}</{name}>"
+    assert main_text.main_text(page) == (STORY if kept else "")
+    inside = f"<main><p>{STORY}</p><{tag}>Part.</{name}></main>"
+    assert main_text.main_text(inside) == (f"{STORY}\nPart." if kept else STORY)
+
+
+def test_main_part_stands_within_named_blocks():
+    assert main_text.main_text(f"<div class=sidebar>Links <main><p>{STORY}</p></main></div>") == STORY
+    assert main_text.main_text(f"<div hidden><div class=sidebar><main><p>{STORY}</p></main></div></div>") == ""
+
 
 @pytest.mark.parametrize("name", PAGES)
 def test_pages(name):
