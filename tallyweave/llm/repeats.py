@@ -11,10 +11,14 @@ A byte goes if some string of ``length`` bytes that covers it also starts earlie
    several, is dealt to shards by key, with its text. A shard sorts all suffixes
    (Larsson-Sadakane), takes common prefixes (Kasai), and so has the classes of equal strings.
 3. *Merging across shards.* A key with very many segments is salted over several shards. Their
-   classes are merged by binary search: each shard's sorted strings, as prints, are looked up
-   in the others', range by range.
+   classes are merged by sorting them as prints, range by range; a key has as many ranges as
+   salts, so a range stays small.
 4. Repeats become byte spans, are gathered by document and cut out.
 
+Keys that a sample of the documents shows to be frequent are spread over tasks in step 1, too:
+of equal segments the first of each task, then the first of those. The sample decides where rows
+go, never what is found.
+
 Rows of steps 1 and 4 are a small part of the text for each segment; no document, key or group
 of copies is taken as a whole by one task, except that each document is cut by one.
 """
@@ -37,8 +41,14 @@ from .words import _FACTOR, _INVERSE, _VALUES, _powers_of, mixed
 _NULL_ID = -(1 << 63)
 
 
+#: One of so many documents is read for frequent keys, of which so many are told apart, at most.
+SAMPLED = 32
+MOST_HOT = 100_000
+
+
 class Repeats(NamedTuple):
-    """``length`` of the strings, of the ``gram`` that keys them; bytes of text to a shard."""
+    """``length`` of the strings, of the ``gram`` that keys them; bytes of text to a shard, and the
+    least ranges of a salted key."""
 
     length: int = 100
     gram: int = 24
@@ -103,14 +113,25 @@ def segments(raw: np.ndarray, offsets: np.ndarray, rule: Repeats) -> list[np.nda
     return [owner[at], at - offsets[:-1][owner[at]], ends - at, keys[at], _hashes(sums, at, ends - 1 + rule.length), outermost[0] != outermost[1]]
 
 
-def _segment_rows(rule: Repeats):
+_SEGMENT = "key long, content long, doc long, tie long, start int, count int, inner boolean, likely long"
+
+
+def _segment_rows(rule: Repeats, hot: np.ndarray, likely: np.ndarray):
+    """Segments, with the likely number of rows of their key if it is among the sorted ``hot``
+    ones, else 0."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
             owner, start, count, key, content, inner = segments(*text_bytes(batch.column("text")), rule)
             owners = pa.array(owner)
             columns = [pa.array(key.view(np.int64)), pa.array(content.view(np.int64)), batch.column("doc").take(owners), batch.column("tie").take(owners)]
             columns += [pa.array(start.astype(np.int32)), pa.array(count.astype(np.int32)), pa.array(inner)]
-            yield pa.RecordBatch.from_arrays(columns, names=["key", "content", "doc", "tie", "start", "count", "inner"])
+            rows = np.zeros(len(key), np.int64)
+            if len(hot):
+                own = key.view(np.int64)
+                at = np.minimum(np.searchsorted(hot, own), len(hot) - 1)
+                rows = np.where(hot[at] == own, likely[at], 0)
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(rows)], names=["key", "content", "doc", "tie", "start", "count", "inner", "likely"])
 
     return run
 
@@ -193,7 +214,7 @@ def _shard_repeats(rule: Repeats):
             sums = _prefix_sums(text)
             prints = _hashes(sums, lead, lead + rule.length)
             key, own = table["key"].to_numpy()[owner[lead]], owner[lead]
-            ranges = (prints >> np.uint64(32)) % np.uint64(rule.ranges)
+            ranges = (prints >> np.uint64(32)) % np.maximum(table["salts"].to_numpy()[own], rule.ranges).astype(np.uint64)
             sort = np.lexsort((prints, ranges, key))
             places = np.stack([doc[own], tie[own], start[own] + offset[lead]], axis=1).astype(np.int64)[sort]
             key, ranges, prints = key[sort], ranges[sort].astype(np.int32), prints[sort]
@@ -222,23 +243,11 @@ def _runs_of(flags: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _merged(table: pa.Table) -> pa.Table:
-    """Of equal strings in several shards of a key all but the first are repeats. Shards are
-    taken one after the other: binary search of the sorted prints of one in those so far."""
-    known, places = np.zeros(0, np.uint64), np.zeros((0, 3), np.int64)
-    repeats = [places]
-    for prints, at in zip(table["prints"].to_pylist(), table["places"].to_pylist()):
-        own, own_places = np.frombuffer(prints, np.uint64), np.frombuffer(at, np.int64).reshape(-1, 3)
-        hit = np.minimum(np.searchsorted(known, own), max(0, len(known) - 1))
-        same = known[hit] == own if len(known) else np.zeros(len(own), bool)
-        theirs, mine = places[hit[same]], own_places[same]
-        later = np.array([tuple(a) < tuple(b) for a, b in zip(theirs.tolist(), mine.tolist())], bool)
-        repeats += [mine[later], theirs[~later]]
-        places = places.copy()
-        places[hit[same][~later]] = mine[~later]
-        known, places = np.concatenate([known, own[~same]]), np.concatenate([places, own_places[~same]])
-        sort = np.argsort(known)
-        known, places = known[sort], places[sort]
-    found = np.concatenate(repeats)
+    """Of equal strings in several shards of a key all but the first are repeats."""
+    prints = np.frombuffer(b"".join(table["prints"].to_pylist()), np.uint64)
+    places = np.frombuffer(b"".join(table["places"].to_pylist()), np.int64).reshape(-1, 3)
+    order = np.lexsort((places[:, 2], places[:, 1], places[:, 0], prints))
+    found = places[order[1:][prints[order[1:]] == prints[order[:-1]]]]
     return pa.table([pa.array(found[:, 0]), pa.array(found[:, 1]), pa.array(found[:, 2].astype(np.int32)), pa.array(np.ones(len(found), np.int32))], names=["doc", "tie", "start", "count"])
 
 
@@ -270,20 +279,47 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str, carry: tuple[str, ...])
     return tied, tied.dropDuplicates(["doc", "tie"])
 
 
+def _hot_keys(keyed: DataFrame, rule: Repeats) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of about a shard's worth of segments and more, sorted, and how many they are likely
+    to have, by a sample of the documents."""
+    none = np.zeros(0, np.int64)
+    sample = keyed.where(F.pmod(F.xxhash64("doc", "tie"), F.lit(SAMPLED)) == 0).select("doc", "tie", "text")
+    counts = sample.mapInArrow(_segment_rows(rule, none, none), _SEGMENT).groupBy("key").agg(F.count(F.lit(1)).alias("rows"))
+    frequent = counts.where(F.col("rows") * F.lit(SAMPLED * 2 * rule.length) >= F.lit(rule.shard_bytes))
+    found = frequent.orderBy(F.desc("rows"), "key").limit(MOST_HOT).toArrow().sort_by("key")
+    return found["key"].to_numpy(), found["rows"].to_numpy() * SAMPLED
+
+
+def _marked(keyed: DataFrame, rule: Repeats, hot: np.ndarray, likely: np.ndarray) -> DataFrame:
+    """Segments that may repeat, and whether they are copies of an earlier one of their task. Those
+    of a hot key are dealt out by their place, and all of them stay."""
+    rows = keyed.select("doc", "tie", "text").mapInArrow(_segment_rows(rule, hot, likely), _SEGMENT)
+    tasks = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salt = F.when(F.col("likely") > 0, F.pmod(F.xxhash64("doc", "tie", "start"), F.lit(tasks))).otherwise(F.lit(0)).cast("int")
+    by_key = Window.partitionBy("key", "salt")
+    by_content = Window.partitionBy("key", "salt", "content", "count").orderBy("doc", "tie", "start")
+    marked = rows.withColumn("salt", salt).repartition("key", "salt").withColumns(
+        {"nth": F.row_number().over(by_content), "low": F.min("content").over(by_key), "high": F.max("content").over(by_key), "rows": F.count(F.lit(1)).over(by_key)}
+    )
+    marked = marked.where("nth > 1 or low <> high or inner or likely > 0").withColumn("hot", F.col("likely") > 0)
+    content = F.when(F.col("hot"), F.col("content")).alias("content")
+    return marked.select("key", content, "doc", "tie", "start", "count", F.when(F.col("hot"), F.col("likely")).otherwise(F.col("rows")).alias("rows"), (F.col("nth") > 1).alias("copy"), "hot")
+
+
 def repeated_spans(keyed: DataFrame, rule: Repeats = Repeats()) -> DataFrame:
     """``doc, tie, start, count``: strings of a document, ``count`` of them from ``start`` on, that
     also start earlier in the corpus. ``keyed`` has one row per document."""
-    rows = keyed.select("doc", "tie", "text").mapInArrow(_segment_rows(rule), "key long, content long, doc long, tie long, start int, count int, inner boolean")
-    by_key = Window.partitionBy("key")
-    by_content = Window.partitionBy("key", "content", "count").orderBy("doc", "tie", "start")
-    marked = rows.repartition("key").withColumns(
-        {"nth": F.row_number().over(by_content), "low": F.min("content").over(by_key), "high": F.max("content").over(by_key), "rows": F.count(F.lit(1)).over(by_key)}
-    )
-    marked = marked.where("nth > 1 or low <> high or inner")
-    marked = written(marked.select("key", "doc", "tie", "start", "count", "rows", (F.col("nth") > 1).alias("copy")), "repeated-segments")
+    hot, likely = _hot_keys(keyed, rule)
+    marked = written(_marked(keyed, rule, hot, likely), "repeated-segments")
     whole = marked.where("copy").select("doc", "tie", "start", "count")
-
-    open_rows = marked.where("not copy")
+    open_rows = marked.where("not copy and not hot").drop("content", "copy", "hot")
+    if len(hot):
+        # firsts of a task to firsts of all: one row at most per content and task
+        by_content = Window.partitionBy("key", "content", "count").orderBy("doc", "tie", "start")
+        firsts = marked.where("not copy and hot").withColumn("again", F.row_number().over(by_content) > 1)
+        firsts = written(firsts.drop("content", "copy", "hot"), "frequent-segments")
+        whole = whole.union(firsts.where("again").select("doc", "tie", "start", "count"))
+        open_rows = open_rows.union(firsts.where("not again").drop("again"))
     size = open_rows.agg(F.sum(F.col("count") + F.lit(rule.length))).first()[0]
     if not size:
         return whole

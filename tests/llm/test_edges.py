@@ -7,6 +7,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from brute import Groups, cut_repeats, shingle_components, vector_links
 from pyspark.sql import functions as F
@@ -299,6 +300,47 @@ def test_repeats_of_repeated_ids(docs, nothing):
     assert not repeats.remove_repeats(nothing, "doc_id", "body").count()
 
 
+def crowd(count):
+    """A passage in a third of the documents, between words of each document's own."""
+    passage = prose(8, 400)
+    return {i: f"{prose(6, 500 + i)}#{i} {passage if i % 3 == 0 else ''} {i}#{prose(6, 900 + i)}" for i in range(count)} | {count: f"{passage} x", count + 1: f"{passage} x"}
+
+
+def test_repeats_of_a_crowded_passage(spark):
+    named = crowd(300)
+    found = repeats.remove_repeats(table(spark, list(named.items())), "doc_id", "body", rule=small_rule(shard_bytes=800))
+    got = [(r["id"], r["n_bytes"], r["n_removed"], len(r["spans"]), hashlib.sha256(r["kept"]).hexdigest()) for r in found.collect()]
+    assert sorted(got) == cut_repeats(named, 12)
+
+
+def test_crowded_keys_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "SAMPLED", 4)
+    spark.conf.set("spark.sql.shuffle.partitions", 16)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        keyed = repeats._keyed(table(spark, list(crowd(600).items())), "doc_id", "body", ())[1]
+        hot, likely = repeats._hot_keys(keyed, small_rule(shard_bytes=2_000))
+        marked = repeats._marked(keyed, small_rule(shard_bytes=2_000), hot, likely)
+        sizes = {(r["key"], r["task"]): r["count"] for r in marked.groupBy("key", F.spark_partition_id().alias("task")).count().collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", 2)
+    # a shard's worth is 2,000 / (2 * 12) segments
+    assert max(sum(n for (k, _), n in sizes.items() if k == key) for key in hot.tolist()) >= 200
+    assert max(sizes.values()) <= 83
+
+
+def test_ranges_grow_with_salts():
+    draw = np.random.default_rng(2)
+    texts = [bytes(draw.integers(97, 123, 40).astype(np.uint8)) for _ in range(200)]
+    for salts, least in ((2, 8), (100, 90)):
+        columns = {"shard": [0] * 200, "salts": [salts] * 200, "key": [7] * 200, "doc": [*range(200)], "tie": [0] * 200, "start": [0] * 200, "text": texts}
+        found = repeats._shard_repeats(small_rule())(pa.table(columns)).to_pylist()
+        ranges = [x["range"] for x in found if x["key"] is not None]
+        assert least <= len(set(ranges)) == len(ranges) <= max(8, salts)
+        assert sum(len(x["prints"]) for x in found if x["key"] is not None) == 8 * 200 * 29
+
+
 def test_suffix_arrays():
     for alphabet in (b"a", b"ab", b"ab\0", bytes(range(256))):
         for size in (0, 1, 2, 7, 8, 9, 60, 200):
