@@ -16,6 +16,8 @@ from tallyweave.llm.tables import written
 
 #: A document is rejected if it is good with a probability below this.
 LEAST_QUALITY = 0.7
+#: Near copies are those of the n-gram join's own contract: three words, similarity 0.9.
+NEAR_COPIES = ngram_join.Join(width=3, share=(90, 100))
 
 
 def _by_row(docs: DataFrame) -> DataFrame:
@@ -38,11 +40,12 @@ def check_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def join_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of n-gram near copies: the first by id; of rows with
-    one id, the first by text. Documents without words are in no group and stay."""
+    """Keep one document of each group of near copies, whose sets of three-word shingles have a
+    Jaccard similarity of 0.9 or more: the first by id; of rows with one id, the first by text.
+    Documents without words are in no group and stay."""
     rows = _by_row(docs)
     order = rows.select("doc_id", F.md5("text").alias("digest"), "stage_row")
-    groups = ngram_join.ngram_components(rows, "stage_row", "text")
+    groups = ngram_join.ngram_components(rows, "stage_row", "text", NEAR_COPIES)
     grouped = groups.join(order, F.col("id") == F.col("stage_row"))
     first = F.min_by("id", F.struct("doc_id", "digest", "id")).alias("id")
     kept = grouped.groupBy("component_id").agg(first).select(F.col("id").alias("stage_row"))

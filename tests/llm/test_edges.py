@@ -470,3 +470,14 @@ def test_near_copies_stand_when_scans_are_dealt_anew(spark, tmp_path, monkeypatc
     finally:
         spark.conf.unset("spark.sql.files.minPartitionNum")
     assert sorted(r["doc_id"] for r in found) == [*range(0, 32, 2), *range(100, 108)]
+
+
+def test_near_copies_are_those_of_three_words_and_nine_tenths(spark):
+    """One word in 50 changed: 45 of 51 three-word shingles shared, 41 of 51 of five words. One in
+    80: 75 of 81."""
+    words = [f"w{i}" for i in range(130)]
+    changed = [x if i not in (25, 90) else f"{x}x" for i, x in enumerate(words)]
+    rows = [(1, words[:50]), (2, changed[:50]), (3, words[50:]), (4, changed[50:])]
+    docs = spark.createDataFrame([(i, " ".join(x)) for i, x in rows], "doc_id long, text string")
+    assert (corpus_pipeline.NEAR_COPIES.width, corpus_pipeline.NEAR_COPIES.share) == (3, (90, 100))
+    assert sorted(r["doc_id"] for r in corpus_pipeline.join_near_copies(spark, docs, "").collect()) == [1, 2, 3]
