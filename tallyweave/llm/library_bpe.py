@@ -3,7 +3,8 @@
 Made for the two layouts whose pretokens depend on nothing but a pattern: byte-level BPE, and
 lower-cased BPE with word ends. Ids of a pretoken come from the library's model and are
 memoised. A text with characters beyond ASCII and Latin-1, where library and Python could
-disagree on classes or normal forms, goes through the library whole.
+disagree on classes or normal forms, goes through the library whole. Added tokens that stand in a
+text, such as ``<|endoftext|>``, are ordinary text: the library's ``encode_special_tokens``.
 """
 
 from __future__ import annotations

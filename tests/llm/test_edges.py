@@ -481,3 +481,16 @@ def test_near_copies_are_those_of_three_words_and_nine_tenths(spark):
     docs = spark.createDataFrame([(i, " ".join(x)) for i, x in rows], "doc_id long, text string")
     assert (corpus_pipeline.NEAR_COPIES.width, corpus_pipeline.NEAR_COPIES.share) == (3, (90, 100))
     assert sorted(r["doc_id"] for r in corpus_pipeline.join_near_copies(spark, docs, "").collect()) == [1, 2, 3]
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_markers_in_texts_are_ordinary_text(name):
+    from tokenizers import Tokenizer
+
+    from tallyweave.llm.library_bpe import LibraryBpe
+
+    plain, coder = Tokenizer.from_file(vocab(name)), LibraryBpe(vocab(name))
+    marker = plain.token_to_id("<|endoftext|>")
+    for text in ("a <|endoftext|> b", "日本語 <|endoftext|>"):
+        assert marker in plain.encode(text, add_special_tokens=False).ids
+        assert marker not in np.frombuffer(coder.encode(text), "<u4")
