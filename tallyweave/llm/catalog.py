@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
@@ -16,6 +16,7 @@ from . import (
     quality_model,
     quality_rules,
     repeats,
+    secret_scan,
     toxicity,
 )
 from .labelled import held_out
@@ -99,6 +100,24 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumnRenamed("id", "doc_id")
 
 
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(_table(spark, sf_dir, "documents"), "doc_id", "text")
+    base = [rule.kind for rule in secret_scan.BASE_RULES]
+
+    def line(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+
+    def of(*kinds: str) -> Column:
+        return F.filter("spans", lambda x: x["kind"].isin(*kinds))
+
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *(F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in base),
+        F.sha2(line(of(*base)), 256).alias("base_sha256"),
+        line(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES = {
     "op1_near_vectors": op1_near_vectors,
     "op2_quality_rules": op2_quality_rules,
@@ -110,6 +129,7 @@ QUERIES = {
     "op8_quality_model": op8_quality_model,
     "op9_repeats": op9_repeats,
     "op10_packing": op10_packing,
+    "op12_secrets": op12_secrets,
 }
 
 ORACLE: dict[str, str] = {}
