@@ -13,6 +13,7 @@ from . import (
     near_vectors,
     ngram_join,
     packing,
+    phrases,
     quality_model,
     quality_rules,
     repeats,
@@ -20,6 +21,7 @@ from . import (
     toxicity,
 )
 from .labelled import held_out
+from .oracle import SQL
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -100,6 +102,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumnRenamed("id", "doc_id")
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"), "text", "lang")
+
+
 def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(_table(spark, sf_dir, "documents"), "doc_id", "text")
     base = [rule.kind for rule in secret_scan.BASE_RULES]
@@ -129,7 +135,8 @@ QUERIES = {
     "op8_quality_model": op8_quality_model,
     "op9_repeats": op9_repeats,
     "op10_packing": op10_packing,
+    "op11_phrases": op11_phrases,
     "op12_secrets": op12_secrets,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = dict(SQL)
