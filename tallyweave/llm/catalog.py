@@ -14,6 +14,7 @@ from . import (
     ngram_join,
     packing,
     phrases,
+    prefix_trie,
     quality_model,
     quality_rules,
     repeats,
@@ -124,6 +125,12 @@ def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = prefix_trie.turns(_table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
+    source, shared = F.col("conv") - F.col("conv") % 100, F.crc32(F.col("conv").cast("string")) % 6
+    return prefix_trie.prefix_trie(*prefix_trie.share_openings(own, source, shared, most=5))
+
+
 QUERIES = {
     "op1_near_vectors": op1_near_vectors,
     "op2_quality_rules": op2_quality_rules,
@@ -137,6 +144,7 @@ QUERIES = {
     "op10_packing": op10_packing,
     "op11_phrases": op11_phrases,
     "op12_secrets": op12_secrets,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLE: dict[str, str] = dict(SQL)
