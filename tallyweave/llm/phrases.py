@@ -32,11 +32,18 @@ BLANKS = b" \t"
 #: Language of documents without one.
 UNKNOWN = "und"
 
-#: Bits of the largest map of frequent phrases (16 MB).
-MOST_BITS = 27
+#: Bits of the largest map of frequent phrases (32 MB).
+MOST_BITS = 28
+#: A phrase has two bits in a map: of its number, and of its number without so many low bits.
+_SHIFT = 6
 _BITS_A_MAP = 32768
 
-_SLICE = 4 << 20
+#: A word, as Spark counts them: what neither breaks pieces nor separates words.
+_WORD = r"[^\x20\x09.,;:!?\x0A-\x0D]+"
+
+#: Phrases that a task adds up before it passes them on, and those that it holds as text.
+_ENTRIES = 1 << 20
+_TEXTS = 250_000
 _CLASSES = np.ones(256, np.uint8)
 _CLASSES[list(BLANKS)] = 0
 _CLASSES[list(BREAKS)] = 2
@@ -79,9 +86,12 @@ def _shard_marks(shards: int) -> np.ndarray:
     return mixed(np.arange(1, shards + 1, dtype=np.uint64))
 
 
-def _in_map(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    cells = keys & np.uint64(8 * len(bits) - 1)
-    return (bits[(cells >> np.uint64(3)).astype(np.int64)] >> (cells & np.uint64(7)).astype(np.uint8)) & 1 > 0
+def _in_map(bits: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    found = np.ones(len(numbers), bool)
+    for cells in (numbers, numbers >> np.uint64(_SHIFT)):
+        cells = cells & np.uint64(8 * len(bits) - 1)
+        found &= (bits[(cells >> np.uint64(3)).astype(np.int64)] >> (cells & np.uint64(7)).astype(np.uint8)) & 1 > 0
+    return found
 
 
 def _phrases(words: _Words, salts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -93,20 +103,97 @@ def _phrases(words: _Words, salts: np.ndarray, length: int) -> tuple[np.ndarray,
     return first, mixed(windows(words.hashes, length)[first] ^ salts[words.owners[first]])
 
 
-def _mined(docs: DataFrame, mining: Mining, lengths: range, parts: int = 0, bits=None) -> DataFrame:
-    """``shard, lang, key, n`` of the phrases of a shard all of whose contiguous phrases of
-    ``parts`` words are in the bit map; of all phrases without a map. Rows are of blocks."""
-    marks = _shard_marks(mining.shards)
+def _sums(codes: np.ndarray, counts: np.ndarray, more: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Counts of equal codes added up, codes ascending; ``more`` is the same for equal codes."""
+    order = np.argsort(codes, kind="stable")
+    codes = codes[order]
+    first = np.flatnonzero(np.append(True, codes[1:] != codes[:-1])) if len(codes) else order
+    return codes[first], np.add.reduceat(counts[order], first) if len(codes) else counts, more[order][first]
+
+
+class _Tally:
+    """Counts of codes, added up whenever too many wait."""
+
+    def __init__(self):
+        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.waiting = 0
+
+    def add(self, codes: np.ndarray, counts: np.ndarray, more: np.ndarray) -> None:
+        self.parts.append((codes, counts, more))
+        self.waiting += len(codes)
+        if self.waiting > 2 * _ENTRIES:
+            self.parts = [self.all()]
+            self.waiting = len(self.parts[0][0])
+
+    def all(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if not self.parts:
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return _sums(*(np.concatenate(x) for x in zip(*self.parts)))
+
+    def full(self) -> bool:
+        return self.waiting > _ENTRIES
+
+
+def _blocks(codes: np.ndarray, counts: np.ndarray, needs: np.ndarray) -> pa.RecordBatch:
+    """Sorted codes by segment: the low halves, the counts and the needs of each."""
+    segments = codes >> np.uint64(32)
+    first = np.flatnonzero(np.append(True, segments[1:] != segments[:-1])) if len(codes) else np.zeros(0, np.int64)
+    low, counts, needs = codes.astype("<u4"), counts.astype("<i8"), needs.astype("<i8")
+    bounds = [*first.tolist(), len(codes)]
+    packed = [b"".join(x[a:b].tobytes() for x in (low, counts, needs)) for a, b in zip(bounds[:-1], bounds[1:])]
+    return pa.RecordBatch.from_arrays([pa.array(segments[first].astype(np.int64)), pa.array(packed, pa.binary())], names=["segment", "entries"])
+
+
+def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Codes of whole segments, which come one after the other, that reach their need."""
+    current, tally = None, _Tally()
+
+    def enough() -> pa.RecordBatch:
+        low, counts, needs = tally.all()
+        found = low[counts >= needs].astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(found + (current or 0) * (1 << 32), pa.int64())], names=["code"])
+
+    for batch in batches:
+        for segment, entries in zip(batch.column("segment").to_pylist(), batch.column("entries").to_pylist()):
+            if segment != current:
+                yield enough()
+                current, tally = segment, _Tally()
+            n = len(entries) // 20
+            low = np.frombuffer(entries, "<u4", n)
+            tally.add(low, np.frombuffer(entries, "<i8", n, 4 * n), np.frombuffer(entries, "<i8", n, 12 * n))
+    yield enough()
+
+
+class _Shards(NamedTuple):
+    """How phrases of shards are numbered: a code holds the shard and the first ``cell_bits`` bits
+    of the key; its upper part, above 32 bits, is its segment."""
+
+    mining: Mining
+    cell_bits: int
+
+    def codes(self, keys: np.ndarray, shards: np.ndarray) -> np.ndarray:
+        return shards.astype(np.uint64) << np.uint64(self.cell_bits) | self.cells(keys)
+
+    def cells(self, keys: np.ndarray) -> np.ndarray:
+        return keys >> np.uint64(64 - self.cell_bits)
+
+
+def _mined(docs: DataFrame, of: _Shards, lengths: range, name: str, parts: int = 0, bits=None) -> tuple[DataFrame, int]:
+    """``code`` of the phrases that are frequent in a shard, and their number: of those phrases all
+    of whose contiguous phrases of ``parts`` words are in the bit map, or of all without a map.
+    Occurrences are added up in each task, travel by segment, and are added up there."""
+    marks = _shard_marks(of.mining.shards)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, "text", _SLICE):
-            langs = batch.column("lang").to_pylist()
-            shards, salts = batch.column("shard").to_numpy(), _salts(langs)
+        tally = _Tally()
+        for batch in text_slices(batches):
+            salts = _salts(batch.column("lang").to_pylist())
+            shards, needs = batch.column("shard").to_numpy(), batch.column("need").to_numpy()
             words = _words(*text_bytes(batch.column("text")))
             allowed = np.zeros(len(words.hashes), bool)
             if bits is not None:
                 first, keys = _phrases(words, salts, parts)
-                allowed[first[_in_map(bits.value, keys ^ marks[shards[words.owners[first]]])]] = True
+                allowed[first[_in_map(bits.value, of.cells(keys) ^ marks[shards[words.owners[first]]])]] = True
             for length in lengths:
                 first, keys = _phrases(words, salts, length)
                 if bits is not None:
@@ -114,27 +201,25 @@ def _mined(docs: DataFrame, mining: Mining, lengths: range, parts: int = 0, bits
                     for i in range(length - parts + 1):
                         inside &= allowed[first + i]
                     first, keys = first[inside], keys[inside]
-                own = shards[words.owners[first]]
-                _, sample, counts = np.unique(keys ^ marks[own], return_index=True, return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(own[sample], pa.int32()),
-                        pa.array(langs, pa.string()).take(pa.array(words.owners[first[sample]])),
-                        pa.array(keys[sample].view(np.int64)),
-                        pa.array(counts, pa.int64()),
-                    ],
-                    names=["shard", "lang", "key", "n"],
-                )
-
-    rows = docs.mapInArrow(run, "shard int, lang string, key long, n long")
-    return rows.groupBy("shard", "lang", "key").agg(F.sum("n").alias("n"))
+                owners = words.owners[first]
+                codes, sample, counts = np.unique(of.codes(keys, shards[owners]), return_index=True, return_counts=True)
+                tally.add(codes, counts, needs[owners[sample]])
+            if tally.full():
+                yield _blocks(*tally.all())
+                tally = _Tally()
+        yield _blocks(*tally.all())
+
+    rows = docs.mapInArrow(run, "segment long, entries binary")
+    segments = rows.repartition("segment").sortWithinPartitions("segment")
+    return stage_counted(segments.mapInArrow(_frequent, "code long"), name)
 
 
 def _bit_map(keys: DataFrame, rows: int) -> np.ndarray:
-    """Bits of the column ``key``: 16 for each row, up to the bound."""
-    n_bits = 1 << min(MOST_BITS, max(15, (16 * rows).bit_length()))
+    """A map of the column ``key``: 64 bits for each row, up to the bound."""
+    n_bits = 1 << min(MOST_BITS, max(15, (64 * rows).bit_length()))
+    both = F.explode(F.array("key", F.shiftrightunsigned("key", _SHIFT))).alias("key")
     cell = F.col("key").bitwiseAND(n_bits - 1) + 1
-    maps = keys.groupBy(F.bitmap_bucket_number(cell).alias("map"))
+    maps = keys.select(both).groupBy(F.bitmap_bucket_number(cell).alias("map"))
     maps = maps.agg(F.bitmap_construct_agg(F.bitmap_bit_position(cell)).alias("bits")).collect()
     bits = np.zeros(n_bits // 8, np.uint8)
     for row in maps:
@@ -143,39 +228,66 @@ def _bit_map(keys: DataFrame, rows: int) -> np.ndarray:
     return bits
 
 
-def _marked(frequent: DataFrame, mining: Mining) -> DataFrame:
-    marks = F.array(*(F.lit(int(x)) for x in _shard_marks(mining.shards).view(np.int64)))
-    return frequent.select(F.col("key").bitwiseXOR(F.get(marks, F.col("shard"))).alias("key"))
-
-
-def _candidates(docs: DataFrame, mining: Mining) -> tuple[DataFrame, DataFrame]:
-    """Keys of what is frequent in any shard, and ``lang, total`` words of each language."""
+def _candidates(docs: DataFrame, mining: Mining) -> tuple[_Shards, object, DataFrame]:
+    """Bit map of what is frequent in any shard, and ``lang, total`` words of each language."""
     share = docs.sparkSession.sparkContext.broadcast
-    words = written(_mined(docs, mining, range(1, 2)), "shard-words")
-    parts = words.groupBy("shard", "lang").agg(F.sum("n").alias("words"))
-    totals = written(parts.groupBy("lang").agg(F.sum("words").alias("total")), "totals")
-    need = F.expr(f"({mining.support} * words + total - 1) div total").alias("need")
-    needs = written(parts.join(totals, "lang").select("shard", "lang", need), "needs")
-
-    def frequent(counted: DataFrame, name: str) -> tuple[DataFrame, int]:
-        enough = counted.join(needs, ["shard", "lang"]).where("n >= need")
-        return stage_counted(enough.select("shard", "key"), name)
+    size = F.regexp_count("text", F.lit(_WORD)).cast("long")
+    parts = written(docs.groupBy("shard", "lang").agg(F.sum(size).alias("words")), "shard-words")
+    totals = written(parts.groupBy("lang").agg(F.sum("words").alias("total")).where("total > 0"), "totals")
+    needs = parts.join(totals, "lang").select("shard", "lang", F.expr(f"({mining.support} * words + total - 1) div total").alias("need"))
+    docs = docs.join(written(needs, "needs"), ["shard", "lang"])
+    words = totals.agg(F.sum("total")).first()[0] or 0
+    segments = mining.longest * words // (mining.shards * _ENTRIES)
+    of = _Shards(mining, 32 + min(max(segments.bit_length(), _SHIFT), 24))
 
-    found = [frequent(words, "frequent-words")]
+    marks = F.array(*(F.lit(int(x)) for x in _shard_marks(mining.shards).view(np.int64)))
+    cell = F.col("code").bitwiseAND((1 << of.cell_bits) - 1)
+    in_shard = cell.bitwiseXOR(F.get(marks, F.shiftright("code", of.cell_bits).cast("int"))).alias("key")
+    found = [_mined(docs, of, range(1, 2), "frequent-words")]
     for parts_of, lengths in ((1, range(2, 3)), (2, range(3, mining.longest + 1))):
         if not lengths or lengths[0] > mining.longest:
             break
-        bits = share(_bit_map(_marked(found[-1][0], mining), found[-1][1]))
-        found.append(frequent(_mined(docs, mining, lengths, parts_of, bits), f"frequent-{lengths[0]}"))
+        bits = share(_bit_map(found[-1][0].select(in_shard), found[-1][1]))
+        found.append(_mined(docs, of, lengths, f"frequent-{lengths[0]}", parts_of, bits))
     every = found[0][0]
     for more, _ in found[1:]:
         every = every.unionByName(more)
-    return share(_bit_map(every, sum(rows for _, rows in found))), totals
-
-
-def _counter(mining: Mining, bits) -> Callable:
+    return of, share(_bit_map(every.select(cell.alias("key")), sum(rows for _, rows in found))), totals
+
+
+class _Counts:
+    """Counts of phrases under their 64-bit keys, and each phrase as text."""
+
+    def __init__(self):
+        self.keys = np.zeros(0, np.uint64)
+        self.rows = np.zeros(0, np.int64)
+        self.counts = np.zeros(0, np.int64)
+        self.texts: list[tuple[str, str, int]] = []
+
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Add counts of distinct keys; returns the places of those that are new, whose texts
+        have to be appended."""
+        places = np.searchsorted(self.keys, keys)
+        known = places < len(self.keys)
+        known[known] = self.keys[places[known]] == keys[known]
+        self.counts[self.rows[places[known]]] += counts[known]
+        new = np.flatnonzero(~known)
+        rows = len(self.counts) + np.arange(len(new))
+        self.keys = np.insert(self.keys, places[new], keys[new])
+        self.rows = np.insert(self.rows, places[new], rows)
+        self.counts = np.concatenate([self.counts, counts[new]])
+        return new
+
+    def batch(self) -> pa.RecordBatch:
+        langs, phrases, lengths = zip(*self.texts) if self.texts else ((), (), ())
+        columns = [pa.array(langs, pa.string()), pa.array(phrases, pa.string()), pa.array(lengths, pa.int32()), pa.array(self.counts)]
+        return pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "words", "n"])
+
+
+def _counter(of: _Shards, bits) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, "text", _SLICE):
+        found = _Counts()
+        for batch in text_slices(batches):
             langs = batch.column("lang").to_pylist()
             salts = _salts(langs)
             raw, offsets = text_bytes(batch.column("text"))
@@ -187,22 +299,23 @@ def _counter(mining: Mining, bits) -> Callable:
             changes = np.flatnonzero(changes)
             ends = changes[np.searchsorted(changes, words.starts, side="right")]
             data = LOWER[raw].tobytes()
-            for length in range(1, mining.longest + 1):
+            allowed = np.ones(len(words.hashes) + 1, bool)
+            for length in range(1, of.mining.longest + 1):
                 first, keys = _phrases(words, salts, length)
-                hits = _in_map(bits.value, keys)
-                _, sample, counts = np.unique(keys[hits], return_index=True, return_counts=True)
-                first = first[hits][sample]
-                places = zip(words.starts[first].tolist(), ends[first + length - 1].tolist())
-                phrases = [b" ".join(data[a:b].split()).decode() for a, b in places]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(langs, pa.string()).take(pa.array(words.owners[first])),
-                        pa.array(phrases, pa.string()),
-                        pa.array(np.full(len(phrases), length, np.int32)),
-                        pa.array(counts, pa.int64()),
-                    ],
-                    names=["lang", "phrase", "words", "n"],
-                )
+                # every part of a frequent phrase is frequent
+                hits = _in_map(bits.value, of.cells(keys)) & allowed[first] & (allowed[first + 1] if length > 1 else True)
+                allowed[:] = False
+                allowed[first[hits]] = True
+                keys, sample, counts = np.unique(keys[hits], return_index=True, return_counts=True)
+                new = found.add(keys, counts)
+                first = first[hits][sample[new]]
+                owners, starts, stops = words.owners[first], words.starts[first], ends[first + length - 1]
+                for i, a, b in zip(owners.tolist(), starts.tolist(), stops.tolist()):
+                    found.texts.append((langs[i], b" ".join(data[a:b].split()).decode(), length))
+            if len(found.texts) > _TEXTS:
+                yield found.batch()
+                found = _Counts()
+        yield found.batch()
 
     return run
 
@@ -213,8 +326,8 @@ def phrase_counts(docs: DataFrame, text_col: str, lang_col: str, mining: Mining
     text, lang = F.coalesce(F.col(text_col), F.lit("")), F.coalesce(F.col(lang_col), F.lit(UNKNOWN))
     shard = F.pmod(F.xxhash64(text), F.lit(mining.shards)).cast("int")
     rows = docs.select(text.alias("text"), lang.alias("lang"), shard.alias("shard"))
-    bits, totals = _candidates(rows, mining)
-    counted = rows.mapInArrow(_counter(mining, bits), "lang string, phrase string, words int, n long")
+    of, bits, totals = _candidates(rows, mining)
+    counted = rows.mapInArrow(_counter(of, bits), "lang string, phrase string, words int, n long")
     counted = counted.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n"))
     return written(counted.where(F.col("n") >= mining.support), "phrases"), totals
 
