@@ -13,6 +13,7 @@ from .itemsets import frequent_itemsets, item_levels, son_candidates, son_itemse
 from .layout import hash_layout, partition_layout
 from .minhash import lsh_buckets, minhash_signatures
 from .pairs import pairs_within
+from .recommend import item_model, mean_ratings, predict_ratings
 from .similarity import similar_pairs, similar_pairs_lsh
 
 __all__ = [
@@ -22,11 +23,14 @@ __all__ = [
     "frequent_itemsets",
     "hash_layout",
     "item_levels",
+    "item_model",
     "key_counts",
     "lsh_buckets",
+    "mean_ratings",
     "minhash_signatures",
     "pairs_within",
     "partition_layout",
+    "predict_ratings",
     "row_count",
     "similar_pairs",
     "similar_pairs_lsh",

@@ -14,10 +14,13 @@ from ..operators import (
     distinct_count,
     frequent_itemsets,
     hash_layout,
+    item_model,
     key_counts,
     lsh_buckets,
+    mean_ratings,
     minhash_signatures,
     partition_layout,
+    predict_ratings,
     row_count,
     similar_pairs,
     similar_pairs_lsh,
@@ -40,7 +43,7 @@ from ..sources import (
     write_report,
     write_similar_pairs,
 )
-from ..staging import staging_path
+from ..staging import stage, staging_path
 from . import parameters as P
 from .reports import busy_report, category_report, exploration_report, itemset_report
 
@@ -394,6 +397,26 @@ def similar_pair_files(spark, sf_dir):
     return spark.read.schema(pairs.schema).json(path)
 
 
+def _part_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(o_custkey, l_partkey, l_quantity)``: the quantity is the customer's rating of the part."""
+    lines = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    orders = _table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    return lines.join(orders, "l_orderkey").select("o_custkey", "l_partkey", "l_quantity")
+
+
+def part_correlations(spark, sf_dir):
+    """The model of item pairs: parts by the customers who bought both."""
+    return item_model(_part_ratings(spark, sf_dir), "o_custkey", "l_partkey", "l_quantity", P.CO_RATERS)
+
+
+def part_predictions(spark, sf_dir):
+    """Every rating predicted from the customer's ratings of other parts."""
+    model = stage(part_correlations(spark, sf_dir), "model")
+    ratings = mean_ratings(_part_ratings(spark, sf_dir), "o_custkey", "l_partkey", "l_quantity")
+    found = predict_ratings(ratings, ratings, model, P.NEIGHBOURS)
+    return found.withColumn("prediction", F.round("prediction", 6))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -432,5 +455,7 @@ QUERIES: dict[str, Query] = {
         busy_report_json,
         itemset_files,
         similar_pair_files,
+        part_correlations,
+        part_predictions,
     )
 }

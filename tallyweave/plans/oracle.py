@@ -219,6 +219,34 @@ FROM averages ORDER BY place LIMIT {P.TOP}"""
 
 _BUSY = f"SELECT l_partkey, count(*) AS count FROM lineitem GROUP BY l_partkey HAVING count(*) > {P.BUSY}"
 
+_MODEL = f"""
+  ratings AS (
+    SELECT o_custkey AS u, l_partkey AS i, avg(l_quantity) AS r
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL),
+  moments AS (
+    SELECT a.i AS item_1, b.i AS item_2, count(*) AS n, sum(a.r) AS sx, sum(b.r) AS sy,
+           sum(a.r * a.r) AS sxx, sum(b.r * b.r) AS syy, sum(a.r * b.r) AS sxy
+    FROM ratings a JOIN ratings b ON a.u = b.u AND a.i < b.i
+    GROUP BY ALL HAVING count(*) >= {P.CO_RATERS}),
+  model AS (
+    SELECT item_1, item_2, n AS co_raters,
+           round((n * sxy - sx * sy) / sqrt((n * sxx - sx * sx) * (n * syy - sy * sy)), 9) AS weight
+    FROM moments WHERE (n * sxx - sx * sx) * (n * syy - sy * sy) > 0)"""
+
+_PREDICTIONS = f"""
+WITH {_MODEL},
+near AS (
+  SELECT w.u, w.i, m.weight, o.r
+  FROM ratings w
+  JOIN (SELECT item_1 AS i, item_2 AS other, weight FROM model UNION ALL SELECT item_2, item_1, weight FROM model) m
+    ON m.i = w.i AND m.weight > 0
+  JOIN ratings o ON o.u = w.u AND o.i = m.other
+  QUALIFY row_number() OVER (PARTITION BY w.u, w.i ORDER BY m.weight DESC, m.other) <= {P.NEIGHBOURS}),
+best AS (SELECT u, i, count(*) AS neighbours, sum(weight * r) / sum(weight) AS p FROM near GROUP BY ALL),
+means AS (SELECT i, avg(r) AS mean FROM ratings GROUP BY i)
+SELECT u AS "user", i AS item, coalesce(neighbours, 0) AS neighbours, round(coalesce(p, mean), 6) AS prediction
+FROM ratings LEFT JOIN best USING (u, i) JOIN means USING (i)"""
+
 ORACLE: dict[str, str] = {
     "review_count": 'SELECT count(*) AS "rows" FROM events',
     "orders_in_year": f'SELECT count(*) AS "rows" FROM orders WHERE year(o_orderdate) = {P.YEAR}',
@@ -273,4 +301,6 @@ UNION ALL SELECT 'partition ' || partition, "rows" FROM ({_hash_layout('lineitem
 SELECT items, size, chunks AS count, 'candidates' AS kind FROM ({_BRAND_CANDIDATES})
 UNION ALL SELECT items, size, support, 'frequent' FROM ({_brand_itemsets(0)})""",
     "similar_pair_files": _SIMILAR_ALL,
+    "part_correlations": f"WITH {_MODEL} SELECT * FROM model",
+    "part_predictions": _PREDICTIONS,
 }

@@ -14,5 +14,7 @@ SIMILARITY = 0.22
 BANDS = 50
 BAND_ROWS = 2
 SEED = 7
+CO_RATERS = 3
+NEIGHBOURS = 3
 ITEM_SEPARATOR = "|"
 STOPWORDS = ("the", "of", "and", "la", "le", "de", "el", "der", "die", "und")
