@@ -13,6 +13,11 @@ to grow by. A basket with more than ``crowded`` frequent items is never one arra
 in blocks of neighbouring numbers, at most ``crowded`` to a block, and each pair of its
 blocks is a row of its own when it grows. The limit is fixed; it bounds rows and changes
 no support.
+
+From the third level on, rows are first cut down to candidates: itemsets of which every subset
+with one item less is frequent. Where baskets are short, so that all their subsets are few times
+their pairs, no level is needed: all subsets of all baskets are counted in one aggregation.
+Which way is taken follows from counted sizes; supports are the same.
 """
 
 from __future__ import annotations
@@ -29,6 +34,9 @@ from .pairs import largest_group
 CROWDED_BASKET = 200
 # Items a prefix may grow by before they are matched by join instead of as one array.
 WIDE_PREFIX = 4096
+# Subsets for each pair up to which all subsets are counted at once, and the longest basket then.
+SUBSETS_A_PAIR = 8
+SHORT_BASKET = 14
 # Levels between two written basket tables; in between they are derived again.
 STAGE_EVERY = 3
 
@@ -169,32 +177,75 @@ def _first_pass(df, basket, item, min_support, n_chunks, min_basket_size, chunk,
     singles = _numbered(
         counts.join(some, "item", "left_semi").groupBy("item").agg(F.expr("sum(support) AS support"))
     )
-    grouped = _grouped(rows, singles, crowded)
     ones = counts.filter(F.col("support") >= need).join(singles.select("item", "number"), "item")
     candidates = ones.selectExpr("chunk", "array(number) AS numbers")
+    grouped = _grouped(rows, singles, crowded)
     levels = _mine(grouped, need, wide)
+    deepest = 1
     for level in levels:
         candidates = candidates.unionByName(level.select("chunk", "numbers"))
-    return _Mined(singles, grouped, candidates, len(levels) + 1)
+    if levels:
+        deepest = candidates.agg(F.max(F.size("numbers"))).first()[0]
+    return _Mined(singles, grouped, candidates, deepest)
+
+
+def _short(baskets: _Baskets) -> bool:
+    """Whether all subsets of all baskets are few beside their pairs."""
+    if baskets.crowded is not None:
+        return False
+    sizes = baskets.light.select(F.size("lasts").cast("double").alias("n"))
+    sums = sizes.agg(F.max("n").alias("longest"), F.sum(F.pow(F.lit(2.0), "n")).alias("subsets"), F.sum(F.expr("n * n")).alias("pairs")).first()
+    return (sums["longest"] or 0) <= SHORT_BASKET and (sums["subsets"] or 0) <= SUBSETS_A_PAIR * (sums["pairs"] or 0)
+
+
+def _all_subsets(light: DataFrame, *chunk: str) -> DataFrame:
+    """``(numbers, support)`` of every subset of two items or more, in one aggregation."""
+    masks = light.select(*chunk, "lasts", "weight", F.explode(F.expr("sequence(3, (1 << size(lasts)) - 1)")).alias("mask"))
+    several = masks.filter("bit_count(mask) > 1")
+    numbers = F.filter("lasts", lambda x, i: F.getbit("mask", i) == 1).alias("numbers")
+    return several.select(*chunk, numbers, "weight").groupBy(*chunk, "numbers").agg(F.expr("sum(weight) AS support"))
+
+
+def _candidates(level: DataFrame, size: int) -> DataFrame:
+    """``(chunk, numbers)`` of ``size`` numbers, ascending, all of whose subsets with one less are
+    in ``level``."""
+    parts = level.selectExpr("chunk", f"slice(numbers, 1, {size - 2}) AS prefix", f"numbers[{size - 2}] AS last")
+    later = parts.selectExpr("chunk", "prefix", "last AS later")
+    grown = parts.join(later, ["chunk", "prefix"]).filter("last < later")
+    grown = grown.selectExpr("chunk", "concat(prefix, array(last, later)) AS numbers")
+    if size == 2:
+        return grown
+    # without the last or the last but one it is known to be there
+    left_out = f"explode(sequence(1, {size - 2})) AS at"
+    subsets = grown.selectExpr("chunk", "numbers", left_out)
+    subsets = subsets.selectExpr("chunk", "numbers AS whole", f"concat(slice(numbers, 1, at - 1), slice(numbers, at + 1, {size})) AS numbers")
+    there = subsets.join(level.select("chunk", "numbers"), ["chunk", "numbers"], "left_semi")
+    complete = there.groupBy("chunk", "whole").agg(F.count("*").alias("_subsets"))
+    return complete.filter(F.col("_subsets") == size - 2).selectExpr("chunk", "whole AS numbers")
 
 
 def _mine(baskets: _Baskets, need: Column, wide: int) -> list[DataFrame]:
-    """For each size from 2 on, while there are any, the staged ``(chunk, numbers, prefix, last,
-    support)`` that reach the need of their chunk."""
-    found, grown, size = [], baskets, 1
+    """Staged ``(chunk, numbers, support)`` of two items or more that reach the need of their
+    chunk: all at once where baskets are short, or else one table for each size."""
+    if _short(baskets):
+        every, n_found = stage_counted(_all_subsets(baskets.light, "chunk").filter(F.col("support") >= need), "itemsets")
+        return [every] if n_found else []
+    found, grown, level, size = [], baskets, None, 1
     while True:
         size += 1
         longer = _lengthen(grown)
-        level, n_found = stage_counted(
-            _count_lasts(longer, size).filter(F.col("support") >= need).withColumn("numbers", F.concat("prefix", F.array("last"))),
-            f"level-{size}",
-        )
+        if level is not None:
+            candidates, n_candidates = stage_counted(_candidates(level, size), f"candidates-{size}")
+            allowed = candidates.selectExpr("chunk", f"slice(numbers, 1, {size - 1}) AS prefix", f"numbers[{size - 1}] AS last")
+            longer = _cut_down(longer, allowed, n_candidates, wide, size, 1)
+        counted = _count_lasts(longer, size).filter(F.col("support") >= need)
+        level, n_found = stage_counted(counted.select("chunk", F.concat("prefix", F.array("last")).alias("numbers"), "support"), f"level-{size}")
         if n_found:
             found.append(level)
         # A larger frequent itemset has size + 1 subsets of this size, all frequent.
         if n_found <= size:
             return found
-        grown = _cut_down(longer, level.select("chunk", "prefix", "last"), n_found, wide, size)
+        grown = longer
 
 
 def _numbered(singles: DataFrame) -> DataFrame:
@@ -334,6 +385,9 @@ def _recount(mined: _Mined, wide: int) -> DataFrame:
     found = ones.join(mined.singles, "number").select("numbers", "support")
     light, crowded = mined.baskets
     whole = light.drop("chunk").groupBy("prefix", "lasts").agg(F.expr("sum(weight) AS weight"))
+    if _short(mined.baskets):
+        # one pass for all sizes
+        return found.unionByName(_all_subsets(whole).join(wanted, "numbers", "left_semi"))
     grown = _Baskets(
         whole.withColumn("chunk", F.lit(0)),
         crowded if crowded is None else crowded.withColumn("chunk", F.lit(0)),

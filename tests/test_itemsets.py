@@ -8,6 +8,7 @@ import pytest
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import functions as F
 
+from tallyweave.operators import itemsets
 from tallyweave.operators import frequent_itemsets, item_levels, son_candidates, son_itemsets
 
 
@@ -130,3 +131,47 @@ def test_every_subset_of_a_frequent_itemset_is_frequent(spark, rows_of):
     for items, n in supports.items():
         for part in combinations(items, len(items) - 1):
             assert not part or supports[part] >= n
+
+
+@pytest.mark.parametrize("short", [0, 14])
+def test_all_subsets_at_once_or_level_by_level(spark, rows_of, monkeypatch, short):
+    monkeypatch.setattr(itemsets, "SHORT_BASKET", short)
+    monkeypatch.setattr(itemsets, "_mine", counted_calls(itemsets._mine, calls := []))
+    rows = [("long", f"i{n}") for n in range(7)] * 2 + random_rows(31, baskets=50, items=7)
+    assert rows_of(frequent_itemsets(frame(spark, rows), "basket", "item", 3, 1)) == brute(rows, 3, 1)
+    assert rows_of(son_itemsets(frame(spark, rows), "basket", "item", 4, 2, 1)) == brute(rows, 4, 1)
+    assert [len(x) == 1 for x in calls] == [short > 0] * 2
+
+
+def counted_calls(function, calls):
+    def call(*args):
+        calls.append(function(*args))
+        return calls[-1]
+
+    return call
+
+
+def test_long_baskets_are_not_expanded(spark):
+    def baskets(*sizes):
+        rows = [(0, [], list(range(n)), 1) for n in sizes]
+        light = spark.createDataFrame(rows, "chunk int, prefix array<bigint>, lasts array<bigint>, weight bigint")
+        return itemsets._Baskets(light, None)
+
+    assert itemsets._short(baskets(7, 7, 3)) and itemsets._short(baskets())
+    assert not itemsets._short(baskets(12, 12)) and not itemsets._short(baskets(15, *[8] * 9999))
+    assert not itemsets._short(itemsets._Baskets(baskets(3).light, baskets(3).light))
+
+
+def test_a_candidate_needs_all_its_subsets(spark, rows_of, monkeypatch):
+    """Of {1,2,4}, prefix and last are frequent, but {2,4} is not: it is never counted."""
+    level = spark.createDataFrame([(0, [1, 2]), (0, [1, 3]), (0, [1, 4]), (0, [2, 3]), (1, [2, 4])], "chunk int, numbers array<bigint>")
+    assert rows_of(itemsets._candidates(level, 3)) == [(0, (1, 2, 3))]
+    threes = [[1, 2, 3], [1, 2, 4], [1, 3, 4], [2, 3, 4], [2, 3, 5], [2, 4, 5]]
+    level = spark.createDataFrame([(0, x) for x in threes], "chunk int, numbers array<bigint>")
+    assert rows_of(itemsets._candidates(level, 4)) == [(0, (1, 2, 3, 4))]
+    # the same in a run: only candidates reach the count
+    monkeypatch.setattr(itemsets, "SHORT_BASKET", 0)
+    monkeypatch.setattr(itemsets, "_count_lasts", counted_calls(itemsets._count_lasts, calls := []))
+    rows = [(f"{n}{i}", x) for n, items in enumerate(("abd", "abc", "ab", "ad", "bc", "ac")) for i in range(2) for x in items]
+    assert rows_of(frequent_itemsets(frame(spark, rows), "basket", "item", 3)) == brute(rows, 3)
+    assert calls[1].count() == 1
