@@ -3,14 +3,16 @@
 Made for the two layouts whose pretokens depend on nothing but a pattern: byte-level BPE, and
 lower-cased BPE with word ends. Ids of a pretoken come from the library's model and are
 memoised. A text with characters beyond ASCII and Latin-1, where library and Python could
-disagree on classes or normal forms, goes through the library whole. Added tokens that stand in a
-text, such as ``<|endoftext|>``, are ordinary text: the library's ``encode_special_tokens``.
+disagree on classes or normal forms, goes through the library whole, and so does one that holds an
+added token, such as ``<|endoftext|>``: it gets that token's id, as the plain call gives it. With
+``markers_as_text`` such a marker is ordinary text, so no document can end another one.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import re
 
 import numpy as np
 
@@ -21,7 +23,7 @@ BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N
 
 
 def _byte_letters() -> dict[int, str]:
-    """The printable character that byte-level vocabularies write for each byte."""
+    """The printable character that byte-level vocabularies write for each byte: fixed values."""
     kept = {*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
     others = iter(range(256, 512))
     return {byte: chr(byte if byte in kept else next(others)) for byte in range(256)}
@@ -30,14 +32,17 @@ def _byte_letters() -> dict[int, str]:
 class LibraryBpe:
     """``encode(text)`` gives the ids of a text as bytes of little-endian ``dtype``."""
 
-    def __init__(self, path: str, dtype: str = "<u4"):
+    def __init__(self, path: str, dtype: str = "<u4", *, markers_as_text: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer, self.dtype = Tokenizer.from_file(path), dtype
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = markers_as_text
         with open(path, encoding="utf-8") as file:
             layout = json.load(file)
+        markers = [] if markers_as_text else [re.escape(x["content"]) for x in layout.get("added_tokens") or []]
+        # the library may look for them in the text as it is or as it is normalised
+        self.holds_marker = re.compile("|".join(markers), re.IGNORECASE).search if markers else lambda text: None
         steps = layout["pre_tokenizer"]
         self.lower = drops_space = False
         if steps["type"] == "ByteLevel" and layout["normalizer"] is None and not steps["add_prefix_space"]:
@@ -56,7 +61,7 @@ class LibraryBpe:
         return np.array([token.id for token in self.model.tokenize(word)], self.dtype).tobytes()
 
     def encode(self, text: str) -> bytes:
-        if self.pretokens is None or not PLAIN.fullmatch(text):
+        if self.pretokens is None or not PLAIN.fullmatch(text) or self.holds_marker(text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
         return self.pretokens.encode(text.lower() if self.lower else text)
 

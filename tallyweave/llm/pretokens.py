@@ -1,10 +1,10 @@
 """Texts cut into pretokens, with memos on the way.
 
 In a text of ASCII and Latin-1 characters, whose classes every library agrees on, a space
-between two visible characters always begins a pretoken of a byte-level pattern. Such a text
-is cut at its spaces, and what stands between them is looked up whole; a part that is not
-known is cut by the pattern, and its pretokens are looked up. Other texts are cut by the
-pattern alone.
+between two visible characters always begins a pretoken of a byte-level pattern, and a line end
+between two is one. Such a text is cut there, and what stands between is looked up whole; a part
+that is not known is cut by the pattern, and its pretokens are looked up. Stretches with other
+white space, and other texts, are cut by the pattern alone.
 """
 
 from __future__ import annotations
@@ -15,14 +15,15 @@ from collections.abc import Callable
 import regex
 
 #: Pretokens and space-separated parts that a worker keeps before it starts anew.
-PIECE_ENTRIES = 600_000
-PART_ENTRIES = 600_000
+PIECE_ENTRIES = 100_000
+PART_ENTRIES = 300_000
 
 #: Memos keep keys of at most so many characters.
 LONGEST_KEY = 48
 
 PLAIN = re.compile("[ -~\n\t¡-ÿ]*")
 _LOOSE_SPACES = ("  ", " \n", "\n ", " \t", "\t ")
+_LINE_END = re.compile(r"(?<=\S)\n(?=\S)")
 
 
 class Memo(dict):
@@ -53,14 +54,22 @@ class Pretokens:
         self.pieces = Memo(encode_piece, PIECE_ENTRIES)
         lead = "" if drops_space else " "
         self.parts = Memo(lambda part: self.by_pattern(lead + part), PART_ENTRIES)
+        self.cuts_lines = all(self.findall(f"{x}\n{y}") == [x, "\n", y] for x in "aZ1.'" for y in "aZ1.'")
 
     def by_pattern(self, text: str) -> bytes:
         return b"".join(map(self.pieces.__getitem__, self.findall(text)))
 
     def encode(self, text: str) -> bytes:
+        if not PLAIN.fullmatch(text):
+            return self.by_pattern(text)
         if self.drops_space:
-            return b"".join(map(self.parts.__getitem__, text.split(" ")))
+            return b"".join(map(self.parts.__getitem__, text.split()))
+        if not self.cuts_lines:
+            return self._stretch(text)
+        return self.pieces["\n"].join(map(self._stretch, _LINE_END.split(text))) if text else b""
+
+    def _stretch(self, text: str) -> bytes:
         first, *rest = text.split(" ")
-        if not rest or not first or not rest[-1] or not PLAIN.fullmatch(text) or any(x in text for x in _LOOSE_SPACES):
+        if not rest or not first or not rest[-1] or any(x in text for x in _LOOSE_SPACES):
             return self.by_pattern(text)
         return self.by_pattern(first) + b"".join(map(self.parts.__getitem__, rest))

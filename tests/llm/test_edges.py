@@ -484,12 +484,12 @@ def test_near_copies_are_those_of_three_words_and_nine_tenths(spark):
 
 
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
-def test_markers_in_texts_are_ordinary_text(name):
+def test_markers_in_texts_are_ordinary_text_on_demand(name):
     from tokenizers import Tokenizer
 
     from tallyweave.llm.library_bpe import LibraryBpe
 
-    plain, coder = Tokenizer.from_file(vocab(name)), LibraryBpe(vocab(name))
+    plain, coder = Tokenizer.from_file(vocab(name)), LibraryBpe(vocab(name), markers_as_text=True)
     marker = plain.token_to_id("<|endoftext|>")
     for text in ("a <|endoftext|> b", "日本語 <|endoftext|>"):
         assert marker in plain.encode(text, add_special_tokens=False).ids

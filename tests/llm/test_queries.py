@@ -31,7 +31,6 @@ def rows(df, *columns):
 
 def tokenizer(name):
     found = Tokenizer.from_file(public_tokenizers.path(name))
-    found.encode_special_tokens = True
     return lambda text: np.array(found.encode(text or "", add_special_tokens=False).ids + [1], "<u4")
 
 
