@@ -13,6 +13,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 
 import numpy as np
 
@@ -29,6 +30,18 @@ def _byte_letters() -> dict[int, str]:
     return {byte: chr(byte if byte in kept else next(others)) for byte in range(256)}
 
 
+class _Packed:
+    """Ids of a piece as bytes; the layouts of the usual counts are kept."""
+
+    def __init__(self, dtype: str):
+        kind = {"<u4": "I", "<u2": "H"}[dtype]
+        self.pack = [struct.Struct(f"<{n}{kind}").pack for n in range(64)]
+        self.dtype = dtype
+
+    def __call__(self, *ids: int) -> bytes:
+        return self.pack[len(ids)](*ids) if len(ids) < len(self.pack) else np.array(ids, self.dtype).tobytes()
+
+
 class LibraryBpe:
     """``encode(text)`` gives the ids of a text as bytes of little-endian ``dtype``."""
 
@@ -53,12 +66,16 @@ class LibraryBpe:
             self.lower = any(x["type"] == "Lowercase" for x in layout["normalizer"]["normalizers"])
         else:
             pattern = None
+        self.packed, self.space = _Packed(self.dtype), _byte_letters()[32]
         self.model, self.letters = self.tokenizer.model, _byte_letters()
         self.pretokens = pattern and Pretokens(pattern, self._piece, drops_space=drops_space)
 
     def _piece(self, piece: str) -> bytes:
-        word = piece.encode("utf-8").decode("latin-1").translate(self.letters)
-        return np.array([token.id for token in self.model.tokenize(word)], self.dtype).tobytes()
+        if piece.isascii() and piece[1:].isalpha():
+            word = piece if piece[0] != " " else self.space + piece[1:]
+        else:
+            word = piece.encode("utf-8").decode("latin-1").translate(self.letters)
+        return self.packed(*[token.id for token in self.model.tokenize(word)])
 
     def encode(self, text: str) -> bytes:
         if self.pretokens is None or not PLAIN.fullmatch(text) or self.holds_marker(text):

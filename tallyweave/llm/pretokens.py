@@ -16,27 +16,32 @@ import regex
 
 #: Pretokens and space-separated parts that a worker keeps before it starts anew.
 PIECE_ENTRIES = 100_000
-PART_ENTRIES = 300_000
+PART_ENTRIES = 800_000
 
 #: Memos keep keys of at most so many characters.
 LONGEST_KEY = 48
 
 PLAIN = re.compile("[ -~\n\t¡-ÿ]*")
 _LOOSE_SPACES = ("  ", " \n", "\n ", " \t", "\t ")
+_SIGNS = (".", ",", ";", ":", "!", "?")
 _LINE_END = re.compile(r"(?<=\S)\n(?=\S)")
 
 
 class Memo(dict):
-    """A dict that computes what it lacks and forgets all when it is full."""
+    """A dict that computes what it lacks. When half of its entries are new since the last time,
+    those that were not asked for since then are forgotten."""
 
     def __init__(self, compute: Callable[[str], bytes], entries: int):
         super().__init__()
-        self.compute, self.entries = compute, entries
+        self.compute, self.half, self.old = compute, entries // 2, {}
 
     def __missing__(self, key: str) -> bytes:
-        value = self.compute(key)
+        value = self.old.get(key)
+        if value is None:
+            value = self.compute(key)
         if len(key) <= LONGEST_KEY:
-            if len(self) >= self.entries:
+            if len(self) >= self.half:
+                self.old = dict(self)
                 self.clear()
             self[key] = value
         return value
@@ -52,10 +57,21 @@ class Pretokens:
         self.findall = regex.compile(pattern).findall
         self.drops_space = drops_space
         self.pieces = Memo(encode_piece, PIECE_ENTRIES)
-        lead = "" if drops_space else " "
-        self.parts = Memo(lambda part: self.by_pattern(lead + part), PART_ENTRIES)
+        self.encode_piece, self.lead = encode_piece, "" if drops_space else " "
+        self.parts = Memo(self._part, PART_ENTRIES)
+        # a run of letters is one pretoken, and one sign after it another
+        samples = [(f"{self.lead}{x}", sign) for x in ("a", "Ab", "éß") for sign in _SIGNS]
+        self.cuts_signs = all(self.findall(x + sign) == [x, sign] and self.findall(x) == [x] for x, sign in samples)
         self.cuts_lines = all(self.findall(f"{x}\n{y}") == [x, "\n", y] for x in "aZ1.'" for y in "aZ1.'")
 
+    def _part(self, part: str) -> bytes:
+        if self.cuts_signs:
+            if part.isalpha():
+                return self.encode_piece(self.lead + part)
+            if part[-1:] in _SIGNS and part[:-1].isalpha():
+                return self.parts[part[:-1]] + self.pieces[part[-1]]
+        return self.by_pattern(self.lead + part)
+
     def by_pattern(self, text: str) -> bytes:
         return b"".join(map(self.pieces.__getitem__, self.findall(text)))
 
