@@ -1,8 +1,10 @@
 """Toxic passages by maximum-scoring segment search.
 
-1. Tokens are words in lower case and their beginnings of 4 and 6 bytes, so that inflected
-   forms of a stem count together. Their log-odds between toxic and clean labelled documents
-   use a Dirichlet prior whose shape is the token's share of the whole corpus.
+1. Tokens are whole words in lower case, of any length, and their beginnings of 4 and 6
+   letters, so that inflected forms of a stem count together. In scripts that are written
+   without spaces each character is a word, and its tokens are the two and the three
+   characters that start with it. The log-odds of tokens between toxic and clean labelled
+   documents use a Dirichlet prior whose shape is the token's share of the whole corpus.
 2. A word scores the largest of its tokens' significant log-odds, else a small negative
    drift. One linear scan finds all maximal scoring segments of a text.
 3. Under the drift, maxima follow an extreme-value law: a segment of score S in a text of n
@@ -19,19 +21,17 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from .labelled import labelled_sample
 from .tables import text_bytes, text_slices, written
-from .words import LETTER_CLASSES, LOWER, Runs, mixed, runs
+from .words import LETTER_CLASSES, Runs, mixed, runs, span_hashes
 
 #: Labelled rows that log-odds and calibration are fitted on, at most.
 SAMPLE_ROWS = 12_000
-#: Tokens kept for the corpus prior and in the model, at most.
-PRIOR_TOKENS = 200_000
-MODEL_TOKENS = 20_000
 PRIOR_WEIGHT = 500.0
 LEAST_Z = 3.0
 LEAST_ODDS = 1.5
@@ -40,33 +40,66 @@ DRIFT = 0.25
 #: The constant K of the extreme-value law, and the surprise up to which a segment is chance.
 SEGMENT_K = 0.1
 LEAST_SURPRISE = 3.0
+#: Letters of a word's beginnings, and characters of the tokens of scripts without spaces.
 BEGINNINGS = (4, 6)
-LONGEST_WHOLE = 8
+NEIGHBOURS = (2, 3)
+#: Code points of scripts written without spaces (Thai and Lao, Burmese, Khmer, Han and kana).
+UNSPACED = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x2E80, 0x2FDF), (0x3040, 0x30FF), (0x3400, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x323AF))
+
+
+def lower_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes and offsets of the texts in lower case."""
+    return text_bytes(pc.utf8_lower(texts))
+
+
+def _unspaced(raw: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+    """Of the characters that start at ``firsts``, which are of a script without spaces."""
+    out = np.zeros(len(firsts), bool)
+    for lead, size in ((0xE0, 3), (0xF0, 4)):
+        wide = np.flatnonzero((raw[firsts] >= lead) & (raw[firsts] < lead + 16))
+        points = (raw[firsts[wide]] & (0xFF >> (size + 1))).astype(np.int64)
+        for i in range(1, size):
+            points = points << 6 | raw[firsts[wide] + i] & 0x3F
+        for low, high in UNSPACED:
+            out[wide] |= (points >= low) & (points <= high)
+    return out
 
 
 def _tokens(raw: np.ndarray, offsets: np.ndarray) -> tuple[Runs, list[tuple[np.ndarray, np.ndarray]]]:
     """Words, and for each kind of token the words that have it and its hash."""
-    words = runs(raw, offsets, LETTER_CLASSES, lower=True)
-    ends = np.flatnonzero(np.diff(np.append(LETTER_CLASSES[raw], 0).astype(np.int8)) < 0) + 1
-    cuts = np.concatenate([ends, offsets[1:]])
-    cuts.sort()
-    lengths = cuts[np.searchsorted(cuts, words.starts, side="right")] - words.starts if len(words.starts) else words.starts
+    firsts = np.flatnonzero((raw & 0xC0) != 0x80)
+    ends = np.append(firsts, len(raw))[1:]
+    single = _unspaced(raw, firsts)
+    words = runs(raw, offsets, LETTER_CLASSES, cuts=np.concatenate([firsts[single], ends[single]]))
+    # places of characters: the first of each word, and the first behind it
+    breaks = np.flatnonzero(np.diff(np.append(LETTER_CLASSES[raw], 0).astype(np.int8)) < 0) + 1
+    stops = np.unique(np.concatenate([words.starts, breaks, offsets[1:], ends[single]]))
+    stops = stops[np.searchsorted(stops, words.starts, side="right")]
+    at, last = np.searchsorted(firsts, words.starts), np.searchsorted(firsts, stops)
+    edges = np.append(firsts, len(raw))
+    alone = single[at]
     out = []
     for size in BEGINNINGS:
-        own = np.flatnonzero(lengths >= size)
-        hashes = np.full(len(own), size, np.uint64)
-        for i in range(size):
-            hashes = hashes * np.uint64(257) + LOWER[raw[words.starts[own] + i]]
-        out.append((own, mixed(hashes)))
-    own = np.flatnonzero(lengths <= LONGEST_WHOLE)
+        own = np.flatnonzero((last - at >= size) & ~alone)
+        out.append((own, mixed(span_hashes(raw, words.starts[own], edges[at[own] + size]) + np.uint64(size))))
+    own = np.flatnonzero(~alone)
     out.append((own, mixed(words.hashes[own] + np.uint64(1))))
+    owners = words.owners()
+    for size in NEIGHBOURS:
+        own = np.flatnonzero(alone[: len(at) - size + 1])
+        ahead = own + size - 1
+        together = (at[ahead] - at[own] == size - 1) & (owners[ahead] == owners[own])
+        for i in range(1, size):
+            together &= alone[own + i]
+        own, ahead = own[together], ahead[together]
+        out.append((own, mixed(span_hashes(raw, words.starts[own], stops[ahead]) + np.uint64(100 + size))))
     return words, out
 
 
 def _sample_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per slice: ``token``, its uses in toxic and clean texts, and the texts it is in."""
     for batch in text_slices(batches):
-        words, kinds = _tokens(*text_bytes(batch.column("text")))
+        words, kinds = _tokens(*lower_bytes(batch.column("text")))
         toxic = batch.column("label").to_numpy()[words.owners()] == 1
         owners = words.owners().astype(np.uint64)
         for own, hashes in kinds:
@@ -180,18 +213,19 @@ def fit(
     docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, learn: Column, *, rows: int = SAMPLE_ROWS
 ) -> ToxicModel:
     """Log-odds and calibration from at most ``rows`` labelled documents for which ``learn``
-    holds; the prior from all of ``docs``. Without labels every text scores one half at most."""
+    holds; the prior from all of ``docs``. Without labels every text scores one half at most.
+
+    The vocabulary is that of the sample: every token that leans to the toxic side and is in
+    three of its texts, none left out. Its size is bounded by the sample, not by the corpus."""
     sample = written(labelled_sample(docs, labels, id_col, text_col, label_col, learn, rows), "toxic-sample")
     counts = sample.mapInArrow(_sample_counts, "token long, toxic long, clean long, texts long")
     counts = counts.groupBy("token").agg(*(F.sum(x).alias(x) for x in ("toxic", "clean", "texts")))
     counts = written(counts, "toxic-counts")
     totals = counts.agg(F.sum("toxic"), F.sum("clean")).first()
     n_toxic, n_clean = (float(x or 0) for x in totals)
-    # only tokens that lean to the toxic side can score; the largest leanings first, bounded
+    # only tokens that lean to the toxic side can score
     leaning = counts.where((F.col("texts") >= 3) & (F.col("toxic") * n_clean > F.col("clean") * n_toxic))
-    order = F.col("toxic") * n_clean - F.col("clean") * n_toxic
-    # PRIOR_TOKENS rows at most
-    chosen = leaning.orderBy(order.desc(), "token").limit(PRIOR_TOKENS).select("token", "toxic", "clean").toArrow()
+    chosen = leaning.select("token", "toxic", "clean").toArrow()
     tokens = chosen["token"].to_numpy().view(np.uint64)
     sort = np.argsort(tokens)
     tokens = tokens[sort]
@@ -200,7 +234,7 @@ def fit(
     def corpus_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         uses, seen = np.zeros(len(tokens), np.int64), 0
         for batch in text_slices(batches):
-            for own, hashes in _tokens(*text_bytes(batch.column("text")))[1]:
+            for own, hashes in _tokens(*lower_bytes(batch.column("text")))[1]:
                 seen += len(own)
                 at = np.minimum(np.searchsorted(tokens, hashes), len(tokens) - 1)
                 uses += np.bincount(at[tokens[at] == hashes], minlength=len(tokens))
@@ -221,8 +255,7 @@ def fit(
     z = odds / np.sqrt(1 / (toxic + prior) + 1 / (clean + prior)) if len(tokens) else odds
     # a token never seen in clean texts has a variance that says little: its uses decide
     sure = (odds >= LEAST_ODDS) & ((z >= LEAST_Z) | ((clean == 0) & (toxic >= 8)))
-    best = np.flatnonzero(sure)[np.argsort(-(odds * np.log1p(toxic))[sure], kind="stable")[:MODEL_TOKENS]]
-    best.sort()
+    best = np.flatnonzero(sure)
     model = ToxicModel(tokens[best], np.minimum(odds[best], MOST_ODDS), 1.0, (0.0, 0.0))
 
     bins = np.arange(-1, int(4 * MOST_ODDS) + 1) / 4
@@ -230,7 +263,7 @@ def fit(
     def score_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = np.zeros(len(bins), np.int64)
         for batch in text_slices(batches):
-            words, scores = _word_scores(*text_bytes(batch.column("text")), model.tokens, model.scores)
+            words, scores = _word_scores(*lower_bytes(batch.column("text")), model.tokens, model.scores)
             clean_words = scores[batch.column("label").to_numpy()[words.owners()] == 0]
             found += np.bincount(np.clip(np.round(clean_words * 4).astype(np.int64) + 1, 0, len(bins) - 1), minlength=len(bins))
         yield pa.RecordBatch.from_arrays([pa.array(bins), pa.array(found)], names=["score", "words"])
@@ -244,7 +277,7 @@ def fit(
 
     def surprises(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
-            values = [_surprise(x) for x in _passages(*text_bytes(batch.column("text")), model)[1]]
+            values = [_surprise(x) for x in _passages(*lower_bytes(batch.column("text")), model)[1]]
             yield pa.RecordBatch.from_arrays([pa.array(values, pa.float64()), batch.column("label")], names=["value", "label"])
 
     # at most ``rows`` rows of two numbers; sorted, so that the order of tasks has no effect
@@ -257,7 +290,7 @@ def fit(
 def score(docs: DataFrame, model: ToxicModel, id_col: str, text_col: str) -> DataFrame:
     """``id, score, passages`` for every row; ``score`` is the probability of label 1, and
     ``passages`` holds each significant toxic passage as its first and last word (runs of
-    letters, counted from 0) and its surprise.
+    letters, or single characters of a script without spaces, counted from 0) and its surprise.
 
     Null and empty texts have no passage and the score that goes with none. Null ids and
     repeated rows are scored like any other; other columns are not read, whatever their names.
@@ -271,7 +304,7 @@ def score(docs: DataFrame, model: ToxicModel, id_col: str, text_col: str) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
-            found = _passages(*text_bytes(batch.column("text")), model)[1]
+            found = _passages(*lower_bytes(batch.column("text")), model)[1]
             values = np.array([_surprise(x) for x in found])
             scores = 1 / (1 + np.exp(-np.clip(bias + slope * values, -35, 35)))
             listed = [[{"first": a, "last": b, "surprise": c} for a, b, c in x] for x in found]

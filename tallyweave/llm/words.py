@@ -69,8 +69,10 @@ class Runs(NamedTuple):
         return np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds))
 
 
-def runs(raw: np.ndarray, offsets: np.ndarray, classes: np.ndarray, *, lower: bool = False, digits_alike: bool = False) -> Runs:
-    """Maximal runs of one class, class 0 left out; a run never crosses texts."""
+def runs(
+    raw: np.ndarray, offsets: np.ndarray, classes: np.ndarray, *, lower: bool = False, digits_alike: bool = False, cuts: np.ndarray | None = None
+) -> Runs:
+    """Maximal runs of one class, class 0 left out; a run never crosses texts, nor the places ``cuts``."""
     kinds = classes[raw]
     starts_run = np.empty(len(raw), bool)
     if len(raw):
@@ -78,6 +80,8 @@ def runs(raw: np.ndarray, offsets: np.ndarray, classes: np.ndarray, *, lower: bo
         np.not_equal(kinds[1:], kinds[:-1], out=starts_run[1:])
         first = offsets[:-1]
         starts_run[first[first < len(raw)]] = True
+        if cuts is not None:
+            starts_run[cuts[cuts < len(raw)]] = True
     all_starts = np.flatnonzero(starts_run)
     if not len(all_starts):
         empty = np.zeros(0, np.int64)
@@ -95,6 +99,13 @@ def runs(raw: np.ndarray, offsets: np.ndarray, classes: np.ndarray, *, lower: bo
     return Runs(hashes, kinds[starts], starts, np.searchsorted(starts, offsets))
 
 
+def span_hashes(raw: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """Hash of the bytes of each span, the same as that of an equal run."""
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(_VALUES[raw] * _powers_of(_FACTOR, len(raw)), out=sums[1:])
+    return mixed((sums[stops] - sums[starts]) * _powers_of(_INVERSE, len(raw) + 1)[starts])
+
+
 def totals(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Sum of ``flags`` in each stretch ``offsets[i]:offsets[i + 1]``."""
     sums = np.zeros(len(flags) + 1, np.int64)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 
 import numpy as np
 import public_tokenizers
@@ -217,6 +218,68 @@ def test_toxic_passages_are_found(spark):
             assert any(p["first"] <= 23 and p["last"] >= 20 for p in r["passages"])
 
 
+def test_long_words_are_told_apart(spark):
+    """Words of more than eight letters with one beginning, in two scripts, and a script without spaces."""
+    rows, known = [], []
+    for i in range(240):
+        words = prose(80, 500 + i).split()
+        pair = [("understandable", "understatement"), ("противность", "противоречие"), ("这是很坏的话。", "这是很好的话。")][i % 3]
+        words[20:20] = [pair[i % 2]] * 4
+        rows.append((i, " ".join(words)))
+        known.append((i, i % 2))
+    docs = table(spark, rows)
+    model = toxicity.fit(docs, spark.createDataFrame(known, "doc_id long, label int"), "doc_id", "body", "label", F.lit(True))
+    found = {r["id"]: r["score"] >= 0.5 for r in toxicity.score(docs, model, "doc_id", "body").collect()}
+    assert found == {i: bool(label) for i, label in known}
+
+
+def test_toxic_tokens_against_plain_ones():
+    cases = ["", "Ab abcdef ABCDEFG é", "Äöüß Äöüßen, не Нет-нет", "这是x坏 的话", "xไทย", "a1b 𠀀𠀁𠀂", "日"]
+    raw, offsets = toxicity.lower_bytes(pa.array([*cases, None]))
+    words, kinds = toxicity._tokens(raw, offsets)
+    data = raw.tobytes()
+    expected = [[] for _ in kinds]
+    nth = 0
+    for text in cases:
+        units = []
+        for x in re.finditer(r"[^\W\d_]+|[\u0e00-\u0eff]+", text.lower()):
+            wide = re.compile("[\u0e00-\u0eff\u2e80-\u9fff\U00020000-\U000323af]|[^\u0e00-\u0eff\u2e80-\u9fff\U00020000-\U000323af]+")
+            units += [(y.group(), bool(wide.match(y.group()) and ord(y.group()[0]) > 0xDFF), x.start() + y.start()) for y in wide.finditer(x.group())]
+        for i, (unit, alone, at) in enumerate(units):
+            for kind, size in enumerate((4, 6)):
+                if not alone and len(unit) >= size:
+                    expected[kind].append((nth + i, unit[:size]))
+            if not alone:
+                expected[2].append((nth + i, unit))
+            for kind, size in enumerate((2, 3), 3):
+                group = units[i : i + size]
+                if len(group) == size and all(y[1] for y in group) and group[-1][2] - at == size - 1:
+                    expected[kind].append((nth + i, "".join(y[0] for y in group)))
+        nth += len(units)
+    assert nth == len(words.starts) and len(data) == offsets[-1]
+    seen = {}
+    for (own, hashes), plain in zip(kinds, expected):
+        assert own.tolist() == [x[0] for x in plain]
+        for token, (_, name) in zip(hashes.tolist(), plain):
+            assert seen.setdefault((len(plain), name), token) == token
+    assert len(set(seen.values())) == len(seen)
+
+
+def test_rest_of_a_text_is_judged():
+    """A rest too short for a chunk joins the one before it."""
+    sizes = []
+
+    def compress(part):
+        sizes.append(len(part))
+        return part[: len(part) // 2]
+
+    bands = quality_rules.Bands()
+    for length, expected in ((100, [100]), (2048, [2048]), (2148, [2148]), (2600, [2600, 2048, 552]), (4196, [4196, 2048, 2148])):
+        sizes.clear()
+        quality_rules._compression(b"x" * length, compress, bands)
+        assert sizes == expected
+
+
 def test_maximal_segments_against_definition():
     """Recursion: the best stretch, then the best of what lies on either side."""
 
