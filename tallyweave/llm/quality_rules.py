@@ -28,8 +28,9 @@ _WHITE_SIGNS = " \t\n\x0b\x0c\r"
 
 class Bands(NamedTuple):
     """``limits``: rows (bytes from, least ratio, most ratio), ascending; the first starts at 0.
-    Of the chunks of ``chunk_bytes``, those of ``least_chunk`` bytes or more count; of a text's
-    bytes in them at most the share ``most_bad`` may lie outside ``chunk_limits``."""
+    A text is cut into chunks of ``chunk_bytes``; a rest of less than ``least_chunk`` bytes joins
+    the chunk before it. Of a text's bytes at most the share ``most_bad`` may lie in chunks
+    outside ``chunk_limits``. A text below ``least_chunk`` is judged as a whole only."""
 
     limits: tuple[tuple[int, float, float], ...] = (
         (0, 0.30, 2.00),
@@ -55,14 +56,14 @@ def _compression(text: bytes, compress, bands: Bands) -> tuple[float | None, flo
         return None, 0.0, False
     whole = len(compress(text)) / len(text)
     low, high = next((low, high) for start, low, high in reversed(bands.limits) if len(text) >= start)
-    bad = seen = 0
-    for start in range(0, len(text), bands.chunk_bytes):
-        chunk = text[start : start + bands.chunk_bytes]
-        if len(chunk) >= bands.least_chunk:
-            ratio = whole if len(chunk) == len(text) else len(compress(chunk)) / len(chunk)
-            seen += len(chunk)
-            bad += len(chunk) * (not bands.chunk_limits[0] <= ratio <= bands.chunk_limits[1])
-    share = bad / seen if seen else 0.0
+    cuts = list(range(0, len(text), bands.chunk_bytes))
+    if len(text) - cuts[-1] < bands.least_chunk:
+        cuts.pop()
+    bad = 0
+    for start, stop in zip(cuts, [*cuts[1:], len(text)]):
+        ratio = whole if stop - start == len(text) else len(compress(text[start:stop])) / (stop - start)
+        bad += (stop - start) * (not bands.chunk_limits[0] <= ratio <= bands.chunk_limits[1])
+    share = bad / len(text)
     return whole, share, low <= whole <= high and share <= bands.most_bad
 
 
