@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import zlib
+from html.parser import HTMLParser
 
 import numpy as np
 import public_tokenizers
@@ -58,6 +59,42 @@ def test_byte_bpe(spark):
     assert rows(QUERIES["op3_byte_bpe"](spark, SMALL), "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == sorted(expected)
 
 
+class Article(HTMLParser):
+    """Blocks of the one article of a page, by the parser of the standard library."""
+
+    def __init__(self):
+        super().__init__()
+        self.blocks, self.inside, self.barred = [[]], False, 0
+
+    def handle_starttag(self, tag, attrs):
+        self.inside |= tag == "article"
+        self.barred += tag in ("script", "style", "form", "aside", "section") or ("class", "ad") in attrs
+        if tag == "br":
+            self.blocks[-1].append(" ")
+        elif tag not in ("a", "b", "i", "em", "strong", "span"):
+            self.blocks.append([])
+
+    def handle_endtag(self, tag):
+        self.inside &= tag != "article"
+        self.barred -= bool(self.barred and tag in ("script", "style", "form", "aside", "section", "div"))
+        if tag not in ("a", "b", "i", "em", "strong", "span"):
+            self.blocks.append([])
+
+    def handle_data(self, data):
+        if self.inside and not self.barred:
+            self.blocks[-1].append(data)
+
+
+def test_main_text_against_a_plain_parser(spark):
+    found = {r["page_id"]: r["text"] for r in QUERIES["op4_main_text"](spark, LARGER).collect()}
+    for r in pq.read_table(f"{LARGER}/pages.parquet").to_pylist():
+        plain = Article()
+        plain.feed(r["html"])
+        plain.close()
+        texts = [" ".join("".join(x).split()) for x in plain.blocks]
+        assert found[r["page_id"]] == "\n".join(x for x in texts if x)
+
+
 def test_main_text(spark):
     found = {r["page_id"]: r for r in QUERIES["op4_main_text"](spark, SMALL).collect()}
     pages = {r["page_id"]: r for r in pq.read_table(f"{SMALL}/pages.parquet").to_pylist()}
