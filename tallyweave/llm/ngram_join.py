@@ -11,10 +11,13 @@ every order.
 2. Prefix tokens under the first order are the join keys; those of one set only are dropped.
    The smaller set of a pair needs but half as long a prefix, as the overlap of a pair is a
    larger share of it.
-3. Sets that share a key become candidates, and stay if their prefixes under the other orders
-   meet, too. Only then are whole sets compared.
+3. Sets that share a key become candidates if their sizes, the places of the key in both, and
+   bitmaps of them allow it; they stay if their prefixes under the other orders meet, too. Only
+   then are whole sets compared. A bitmap holds for each cell of a token's hash whether an odd
+   number of tokens lies in it: where two bitmaps differ, one token at least is in one set only.
 4. As components are asked for, a large group of near copies is first linked to its most
-   frequent partners. What is left to test are pairs of different components, all of them.
+   frequent partners. What is left to test are pairs of different components, all of them. Two
+   components are first compared as such, by the bits that all of their sets with the key agree on.
 
 No cap is set anywhere: a key with very many sets is paired by component, and members of two
 components only with each other.
@@ -28,7 +31,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -46,6 +49,8 @@ class Join(NamedTuple):
     cell_bits: int = 25
     segment_bits: int = 19
     other_orders: int = 2
+    #: Longs of 64 bits of a set's bitmap. Twice as many are a method that Java no longer compiles.
+    bitmap_longs: int = 8
 
     def orders(self) -> list[str]:
         return [f"order{i}" for i in range(2, self.other_orders + 2)]
@@ -166,17 +171,24 @@ def _prefix(tokens: np.ndarray, order: int, levels: np.ndarray, join: Join) -> n
     return drawn if count >= len(drawn) else np.partition(drawn, count - 1)[:count]
 
 
+def _bitmap(tokens: np.ndarray, join: Join) -> np.ndarray:
+    """For each cell of the tokens' last bits whether an odd number of tokens is in it."""
+    size = 64 * join.bitmap_longs
+    odd = np.bincount((tokens % np.uint64(size)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8)).view("<i8")
+
+
 def _prefixes(join: Join, levels: np.ndarray):
     """Prefixes of each set: under the first order as its keys, under the others as halves of
-    hashes, since meeting too often does no harm there. A set seen before in this task is
-    passed over, as far as it is remembered."""
-    names = ["print", "n", "short", "keys", *join.orders()]
+    hashes, since meeting too often does no harm there; and its bitmap. A set seen before in this
+    task is passed over, as far as it is remembered."""
+    names = ["print", "n", "short", "bits", "keys", *join.orders()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in text_slices(batches):
-            prints, sizes, shorts = [], [], []
-            prefixes: list[list[np.ndarray]] = [[] for _ in names[3:]]
+            prints, sizes, shorts, bitmaps = [], [], [], []
+            prefixes: list[list[np.ndarray]] = [[] for _ in names[4:]]
             for found in shingle_sets(*text_bytes(batch.column("text")), join.width):
                 own = _print(found)
                 if own is None or own in seen:
@@ -190,8 +202,10 @@ def _prefixes(join: Join, levels: np.ndarray):
                     prefix = _prefix(found, order, levels, join)
                     out.append(np.sort(prefix).view(np.int64) if order == 1 else prefix.view(np.int64).astype(np.int32))
                 shorts.append(join.short_prefix(len(found)))
+                bitmaps.append(_bitmap(found, join))
             kinds = [pa.list_(pa.int64()), *[pa.list_(pa.int32())] * join.other_orders]
-            columns = [pa.array(prints, pa.int64()), pa.array(sizes, pa.int64()), pa.array(shorts, pa.int64()), *(pa.array(x, kind) for x, kind in zip(prefixes, kinds))]
+            columns = [*(pa.array(x, pa.int64()) for x in (prints, sizes, shorts)), pa.array(bitmaps, pa.list_(pa.int64()))]
+            columns += [pa.array(x, kind) for x, kind in zip(prefixes, kinds)]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
@@ -228,30 +242,57 @@ def _linked(share: tuple[int, int]):
     return run
 
 
+def _only_one_has(join: Join, one: tuple[str, str], two: tuple[str, str]) -> Column:
+    """Cells of which the bitmaps on one side all have the bit and on the other none. Each side is
+    given as the bits that all of its bitmaps have and those that any has."""
+    cells = []
+    for i in range(join.bitmap_longs):
+        first, second = (F.col(x[0])[i].bitwiseAND(F.bitwise_not(F.col(y[1])[i])) for x, y in ((one, two), (two, one)))
+        cells.append(F.bit_count(first.bitwiseOR(second) if one[0] != one[1] else F.col(one[0])[i].bitwiseXOR(F.col(two[0])[i])))
+    return sum(cells[1:], cells[0])
+
+
+def _differences_allow(join: Join, apart: Column, most: Column) -> Column:
+    """Whether sets of ``most`` tokens together can be similar with ``apart`` tokens in only one."""
+    least, whole = join.share
+    return apart * (whole + least) <= most * (whole - least)
+
+
+def _bits_allow(join: Join) -> Column:
+    return _differences_allow(join, _only_one_has(join, ("bits_a", "bits_a"), ("bits_b", "bits_b")), F.col("n_a") + F.col("n_b"))
+
+
 class _Verifier:
-    """Candidate pairs to links: the filters of the other orders first, then whole sets."""
+    """Candidate pairs to links: bitmaps and the filters of the other orders first, then whole sets."""
 
     def __init__(self, texts: DataFrame, prefixes: DataFrame, join: Join):
         self.texts, self.join = texts, join
-        self.prefixes = prefixes.select("print", *join.orders())
+        self.prefixes = prefixes.select("print", "n", "bits", *join.orders())
 
     def links(self, pairs: DataFrame, name: str) -> DataFrame:
-        a, b = (self.prefixes.select(F.col("print").alias(x), *(F.col(o).alias(f"{o}_{x}") for o in self.join.orders())) for x in "ab")
-        met = pairs.join(a, "a").join(b, "b")
+        columns = ("n", "bits", *self.join.orders())
+        a, b = (self.prefixes.select(F.col("print").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in columns)) for x in "ab")
+        met = pairs.join(a, "a").join(b, "b").where(_bits_allow(self.join))
         for order in self.join.orders():
             met = met.where(F.arrays_overlap(f"{order}_a", f"{order}_b"))
         met = written(met.select("a", "b"), name)
-        wanted = met.select(F.explode(F.array("a", "b")).alias("print")).distinct()
-        whole = self.texts.join(wanted.withColumnRenamed("print", "first_print"), "first_print").select(F.col("first_print").alias("print"), "text")
+        wanted = met.select("a").union(met.select("b")).distinct()
+        whole = self.texts.join(wanted.withColumnRenamed("a", "first_print"), "first_print").select(F.col("first_print").alias("print"), "text")
         tokens = written(whole.mapInArrow(_whole_sets(self.join), "print long, tokens binary"), f"{name}-sets")
         a, b = (tokens.select(F.col("print").alias(x), F.col("tokens").alias(f"tokens_{x}")) for x in "ab")
         return written(met.join(a, "a").join(b, "b").mapInArrow(_linked(self.join.share), "a long, b long"), f"{name}-links")
 
 
-def _sizes_allow(share: tuple[int, int], a: str, b: str):
+def _sizes_allow(share: tuple[int, int], a: str, b: str) -> Column:
     return (F.col(a) * share[1] >= F.col(b) * share[0]) & (F.col(b) * share[1] >= F.col(a) * share[0])
 
 
+def _places_allow(share: tuple[int, int], least: Column, rest_a: str, rest_b: str) -> Column:
+    """Whether sets of ``least`` tokens together can be similar if the first token that they share
+    has ``rest_a`` and ``rest_b`` tokens behind it."""
+    return (F.least(rest_a, rest_b) + 1) * sum(share) >= least * share[0]
+
+
 def ngram_components(docs: DataFrame, id_col: str, text_col: str, join: Join = Join()) -> DataFrame:
     """One row per input row: ``id, n_shingles, component_id``.
 
@@ -267,13 +308,13 @@ def ngram_components(docs: DataFrame, id_col: str, text_col: str, join: Join = J
     levels = _cell_levels(rows.select("text"), join)
 
     columns = ", ".join(f"{order} array<int>" for order in join.orders())
-    prefixes = rows.select("text").mapInArrow(_prefixes(join, levels), f"print long, n long, short long, keys array<long>, {columns}")
+    prefixes = rows.select("text").mapInArrow(_prefixes(join, levels), f"print long, n long, short long, bits array<long>, keys array<long>, {columns}")
     prefixes = written(prefixes.dropDuplicates(["print"]), "prefixes")
-    by_token = Window.partitionBy("token")
+    # ``rest``: tokens of the set that come after this one
     shared = prefixes.select("print", "n", "short", F.posexplode("keys").alias("at", "token"))
-    shared = shared.select("print", "n", "token", (F.col("at") < F.col("short")).alias("short"))
-    sets = {"sets": F.count(F.lit(1)).over(by_token), "some": F.max("short").over(by_token)}
-    shared = written(shared.withColumns(sets).where("sets > 1 and some").drop("sets", "some"), "shared-tokens")
+    shared = shared.select("print", "n", "token", (F.col("at") < F.col("short")).alias("short"), (F.col("n") - F.col("at") - 1).alias("rest"))
+    several = shared.groupBy("token").agg(F.count(F.lit(1)).alias("sets"), F.max("short").alias("some"))
+    shared = written(shared.join(several.where("sets > 1 and some").select("token"), "token", "left_semi"), "shared-tokens")
 
     # whole sets are taken from one document each
     one = F.min(F.struct(F.col("id").isNull(), "id", "digest")).alias("first")
@@ -292,15 +333,29 @@ def ngram_components(docs: DataFrame, id_col: str, text_col: str, join: Join = J
     components = connected_components(firsts, "a", "b").select(F.col("node").alias("print"), "root")
 
     # every pair of sets of different components that shares a token, the smaller set first
-    member = shared.join(components, "print", "left").select("token", "print", "n", "short", F.coalesce("root", "print").alias("root"))
+    member = shared.join(components, "print", "left").withColumn("root", F.coalesce("root", "print"))
+    split = member.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("token")
+    member = member.join(split, "token", "left_semi").join(prefixes.select("print", "bits"), "print")
     member = written(member, "token-members")
-    roots = member.groupBy("token", "root").agg(F.max("short").alias("short"))
-    one = roots.where("short").select("token", F.col("root").alias("root_a"))
-    two = roots.select("token", F.col("root").alias("root_b"))
-    apart = one.join(two, "token").where("root_a <> root_b")
-    one, two = (member.select("token", "short", *(F.col(c).alias(f"{c}_{x}") for c in ("root", "print", "n"))) for x in "ab")
-    pairs = apart.join(one.where("short").drop("short"), ["token", "root_a"]).join(two.drop("short"), ["token", "root_b"])
-    pairs = pairs.where((F.col("n_a") <= F.col("n_b")) & _sizes_allow(join.share, "n_a", "n_b"))
+    places = range(join.bitmap_longs)
+    roots = member.groupBy("token", "root").agg(
+        F.max("short").alias("short"), F.min("n").alias("least"), F.max("n").alias("most"), F.max("rest").alias("rest"),
+        F.array(*(F.bit_and(F.col("bits")[i]) for i in places)).alias("all"), F.array(*(F.bit_or(F.col("bits")[i]) for i in places)).alias("any"),
+    )
+    columns = ("root", "least", "most", "rest", "all", "any")
+    one, two = (table.select("token", *(F.col(c).alias(f"{c}_{x}") for c in columns)) for x, table in (("a", roots.where("short")), ("b", roots)))
+    apart = one.withColumnRenamed("token", "token_a").join(
+        two,
+        (F.col("token_a") == F.col("token")) & (F.col("root_a") != F.col("root_b"))
+        & (F.col("least_a") <= F.col("most_b")) & (F.col("most_a") * join.share[1] >= F.col("least_b") * join.share[0])
+        & _places_allow(join.share, F.col("least_a") + F.col("least_b"), "rest_a", "rest_b")
+        & _differences_allow(join, _only_one_has(join, ("all_a", "any_a"), ("all_b", "any_b")), F.col("most_a") + F.col("most_b")),
+    ).select("token", "root_a", "root_b")
+    columns = ("root", "print", "n", "rest", "bits")
+    one, two = (table.select("token", *(F.col(c).alias(f"{c}_{x}") for c in columns)) for x, table in (("a", member.where("short")), ("b", member)))
+    fits = (F.col("n_a") <= F.col("n_b")) & _sizes_allow(join.share, "n_a", "n_b") & _bits_allow(join)
+    fits &= _places_allow(join.share, F.col("n_a") + F.col("n_b"), "rest_a", "rest_b")
+    pairs = apart.join(one, ["token", "root_a"]).join(two, ["token", "root_b"]).where(fits)
     pairs = pairs.select(F.least("print_a", "print_b").alias("a"), F.greatest("print_a", "print_b").alias("b")).distinct()
     links = firsts.union(verifier.links(pairs, "other-pairs"))
 
