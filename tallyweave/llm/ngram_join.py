@@ -248,7 +248,7 @@ def _only_one_has(join: Join, one: tuple[str, str], two: tuple[str, str]) -> Col
     cells = []
     for i in range(join.bitmap_longs):
         first, second = (F.col(x[0])[i].bitwiseAND(F.bitwise_not(F.col(y[1])[i])) for x, y in ((one, two), (two, one)))
-        cells.append(F.bit_count(first.bitwiseOR(second) if one[0] != one[1] else F.col(one[0])[i].bitwiseXOR(F.col(two[0])[i])))
+        cells.append(F.bit_count(first.bitwiseOR(second) if (one[0], two[0]) != (one[1], two[1]) else F.col(one[0])[i].bitwiseXOR(F.col(two[0])[i])))
     return sum(cells[1:], cells[0])
 
 
@@ -265,8 +265,8 @@ def _bits_allow(join: Join) -> Column:
 class _Verifier:
     """Candidate pairs to links: bitmaps and the filters of the other orders first, then whole sets."""
 
-    def __init__(self, texts: DataFrame, prefixes: DataFrame, join: Join):
-        self.texts, self.join = texts, join
+    def __init__(self, rows: DataFrame, first: DataFrame, prefixes: DataFrame, join: Join):
+        self.rows, self.first, self.join = rows, first, join
         self.prefixes = prefixes.select("print", "n", "bits", *join.orders())
 
     def links(self, pairs: DataFrame, name: str) -> DataFrame:
@@ -277,7 +277,10 @@ class _Verifier:
             met = met.where(F.arrays_overlap(f"{order}_a", f"{order}_b"))
         met = written(met.select("a", "b"), name)
         wanted = met.select("a").union(met.select("b")).distinct()
-        whole = self.texts.join(wanted.withColumnRenamed("a", "first_print"), "first_print").select(F.col("first_print").alias("print"), "text")
+        # the few documents that are wanted are told before any text moves
+        first = self.first.join(wanted.withColumnRenamed("a", "first_print"), "first_print")
+        meant = (F.col("digest") == F.col("first_digest")) & F.col("id").eqNullSafe(F.col("first_id"))
+        whole = self.rows.join(first, meant).select(F.col("first_print").alias("print"), "text")
         tokens = written(whole.mapInArrow(_whole_sets(self.join), "print long, tokens binary"), f"{name}-sets")
         a, b = (tokens.select(F.col("print").alias(x), F.col("tokens").alias(f"tokens_{x}")) for x in "ab")
         return written(met.join(a, "a").join(b, "b").mapInArrow(_linked(self.join.share), "a long, b long"), f"{name}-links")
@@ -320,9 +323,7 @@ def ngram_components(docs: DataFrame, id_col: str, text_col: str, join: Join = J
     one = F.min(F.struct(F.col("id").isNull(), "id", "digest")).alias("first")
     first = told.where("print is not null").groupBy(F.col("print").alias("first_print")).agg(one)
     first = written(first.select("first_print", F.col("first.id").alias("first_id"), F.col("first.digest").alias("first_digest")), "first-documents")
-    meant = (F.col("digest") == F.col("first_digest")) & F.col("id").eqNullSafe(F.col("first_id"))
-    texts = rows.join(first, meant).select("first_print", "text")
-    verifier = _Verifier(texts, prefixes, join)
+    verifier = _Verifier(rows, first, prefixes, join)
 
     # a set and those it shares most tokens with, among the outermost of each token's sets
     ends = shared.groupBy("token").agg(F.min("print").alias("low"), F.max("print").alias("high"))
@@ -350,12 +351,18 @@ def ngram_components(docs: DataFrame, id_col: str, text_col: str, join: Join = J
         & (F.col("least_a") <= F.col("most_b")) & (F.col("most_a") * join.share[1] >= F.col("least_b") * join.share[0])
         & _places_allow(join.share, F.col("least_a") + F.col("least_b"), "rest_a", "rest_b")
         & _differences_allow(join, _only_one_has(join, ("all_a", "any_a"), ("all_b", "any_b")), F.col("most_a") + F.col("most_b")),
-    ).select("token", "root_a", "root_b")
+    ).select("token", "root_a", *(f"{c}_b" for c in columns))
     columns = ("root", "print", "n", "rest", "bits")
     one, two = (table.select("token", *(F.col(c).alias(f"{c}_{x}") for c in columns)) for x, table in (("a", member.where("short")), ("b", member)))
+    # a member on its own against the other component, before it meets the members of that
+    hopeful = (F.col("n_a") <= F.col("most_b")) & (F.col("n_a") * join.share[1] >= F.col("least_b") * join.share[0])
+    hopeful &= _differences_allow(join, _only_one_has(join, ("all_b", "any_b"), ("bits_a", "bits_a")), F.col("n_a") + F.col("most_b"))
+    hopeful &= _places_allow(join.share, F.col("n_a") + F.col("least_b"), "rest_a", "most_rest_b")
+    apart = apart.withColumnRenamed("rest_b", "most_rest_b")
+    one = apart.join(one, ["token", "root_a"]).where(hopeful).select("token", "root_b", "print_a", "n_a", "rest_a", "bits_a")
     fits = (F.col("n_a") <= F.col("n_b")) & _sizes_allow(join.share, "n_a", "n_b") & _bits_allow(join)
     fits &= _places_allow(join.share, F.col("n_a") + F.col("n_b"), "rest_a", "rest_b")
-    pairs = apart.join(one, ["token", "root_a"]).join(two, ["token", "root_b"]).where(fits)
+    pairs = one.join(two, ["token", "root_b"]).where(fits)
     pairs = pairs.select(F.least("print_a", "print_b").alias("a"), F.greatest("print_a", "print_b").alias("b")).distinct()
     links = firsts.union(verifier.links(pairs, "other-pairs"))
 
