@@ -277,8 +277,8 @@ class _Verifier:
             met = met.where(F.arrays_overlap(f"{order}_a", f"{order}_b"))
         met = written(met.select("a", "b"), name)
         wanted = met.select("a").union(met.select("b")).distinct()
-        # the few documents that are wanted are told before any text moves
-        first = self.first.join(wanted.withColumnRenamed("a", "first_print"), "first_print")
+        # which documents are wanted is written first, so that texts stay where they are if it is little
+        first = written(self.first.join(wanted.withColumnRenamed("a", "first_print"), "first_print"), f"{name}-wanted")
         meant = (F.col("digest") == F.col("first_digest")) & F.col("id").eqNullSafe(F.col("first_id"))
         whole = self.rows.join(first, meant).select(F.col("first_print").alias("print"), "text")
         tokens = written(whole.mapInArrow(_whole_sets(self.join), "print long, tokens binary"), f"{name}-sets")
