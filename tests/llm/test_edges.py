@@ -557,3 +557,12 @@ def test_markers_in_texts_are_ordinary_text_on_demand(name):
     for text in ("a <|endoftext|> b", "日本語 <|endoftext|>"):
         assert marker in plain.encode(text, add_special_tokens=False).ids
         assert marker not in np.frombuffer(coder.encode(text), "<u4")
+
+
+def test_one_bitmap_against_those_of_a_component(spark):
+    join = ngram_join.Join(bitmap_longs=1)
+    # the component's sets have 0b0011 in common and 0b0111 in all; the single set has 0b1001
+    row = spark.sql("select array(9L) as bits_a, array(3L) as all_b, array(7L) as any_b, array(5L) as bits_b")
+    one, two, three = ("bits_a", "bits_a"), ("all_b", "any_b"), ("bits_b", "bits_b")
+    cells = [ngram_join._only_one_has(join, *x) for x in ((one, two), (two, one), (one, three), (two, two))]
+    assert list(row.select(*(c.alias(str(i)) for i, c in enumerate(cells))).first()) == [2, 2, 2, 0]
