@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 
 # Rows of one group that one join cell may hold on each side.
 CELL_ROWS = 2000
+# Pairs that one task may hold apart when they come together by their first id.
+PAIRS_A_TASK = 1_500_000
+# Rows of an id above which its pairs are dealt over several tasks.
+HOT_ID = 100_000
 
 
 def largest_group(rows: DataFrame, *group: str) -> int:
@@ -17,6 +21,79 @@ def largest_group(rows: DataFrame, *group: str) -> int:
     return sizes.agg(F.max("_rows")).first()[0] or 0
 
 
+def lists_within(
+    rows: DataFrame, group: Sequence[str], id_col: str, carry: Sequence[str] = (), cell_rows: int = CELL_ROWS, largest: int | None = None
+) -> DataFrame:
+    """``(group, {id}_1, {carry}_1, {id}_2, {carry}_2)``: what ``pairs_within`` returns, with the second
+    sides of a row in arrays. A pair is 8 bytes an id or carried number here, before compression."""
+    columns = [id_col, *carry]
+    if largest is None:
+        largest = largest_group(rows, *group)
+    each = F.array_sort(F.collect_list(F.struct(*columns))).alias("_all")
+
+    def listed(held: DataFrame) -> DataFrame:
+        whole = held.groupBy(*group).agg(each).select(*group, "_all", F.posexplode("_all").alias("_at", "_row"))
+        return whole.filter(F.col("_at") + 1 < F.size("_all")).select(
+            *group,
+            *(F.col(f"_row.{c}").alias(f"{c}_1") for c in columns),
+            *(F.slice(F.col(f"_all.{c}"), F.col("_at") + 2, F.size("_all")).alias(f"{c}_2") for c in columns),
+        )
+
+    if largest <= cell_rows:
+        return listed(rows)
+    parts = F.ceil(F.count("*") / cell_rows).cast("int").alias("_parts")
+    hot = rows.groupBy(*group).agg(parts).filter(F.col("_parts") > 1)
+    placed = rows.join(hot, list(group)).withColumn("_part", F.pmod(F.xxhash64(id_col), "_parts").cast("int"))
+    cells = placed.groupBy(*group, "_part").agg(each)
+    # every row meets all parts of its group and keeps the ids above its own
+    left = placed.withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).join(cells, [*group, "_part"])
+    above = left.withColumn("_all", F.filter("_all", lambda other: other[id_col] > F.col(id_col))).filter("size(_all) > 0")
+    heavy = above.select(
+        *group,
+        *(F.col(c).alias(f"{c}_1") for c in columns),
+        *(F.col(f"_all.{c}").alias(f"{c}_2") for c in columns),
+    )
+    return listed(rows.join(hot, list(group), "left_anti")).unionByName(heavy)
+
+
+def dealt_by_first(lists: DataFrame, first: str, n_pairs: int, hottest: int, *salt: str) -> DataFrame:
+    """Lists that begin with the same id, in the same task; an aggregation by the id and what is
+    listed needs no further shuffle. Of an id in very many rows they lie in several tasks, and
+    the aggregation adds them up. The number of tasks follows from that of the pairs."""
+    least = int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(least, -(-n_pairs // PAIRS_A_TASK))
+    if hottest <= HOT_ID:
+        return lists.repartition(tasks, first)
+    return lists.repartition(tasks, F.col(first), F.pmod(F.xxhash64(*salt), F.lit(-(-hottest // HOT_ID))))
+
+
+def pairs_by_first(
+    rows: DataFrame,
+    group: Sequence[str],
+    id_col: str,
+    carry: Sequence[str] = (),
+    keep: Callable[[Sequence[Column], Sequence[Column]], Column] | None = None,
+    cell_rows: int = CELL_ROWS,
+) -> DataFrame:
+    """The pairs of ``pairs_within``, for an aggregation by ``{id}_1`` and ``{id}_2``: rows travel as
+    lists to the task of their first id, and pairs are made there."""
+    sizes = rows.groupBy(*group).agg(F.count("*").alias("_rows"))
+    sums = sizes.agg(F.max("_rows").alias("largest"), F.sum(F.expr("_rows * (_rows - 1) / 2")).cast("bigint").alias("pairs")).first()
+    lists = lists_within(rows, group, id_col, carry, cell_rows, sums["largest"] or 0)
+    lists = dealt_by_first(lists, f"{id_col}_1", sums["pairs"] or 0, largest_group(rows, id_col), *group)
+    columns = [id_col, *carry]
+    at = F.posexplode(f"{id_col}_2").alias("_at", "_id")
+    pairs = lists.select(*group, *(f"{c}_1" for c in columns), *(F.col(f"{c}_2").alias(f"_{c}_all") for c in carry), at).select(
+        *group,
+        *(f"{c}_1" for c in columns),
+        F.col("_id").alias(f"{id_col}_2"),
+        *(F.get(f"_{c}_all", "_at").alias(f"{c}_2") for c in carry),
+    )
+    if keep is not None:
+        pairs = pairs.filter(keep(*([F.col(f"{c}_{side}") for c in carry] for side in (1, 2))))
+    return pairs
+
+
 def pairs_within(
     rows: DataFrame,
     group: Sequence[str],
@@ -25,6 +102,7 @@ def pairs_within(
     keep: Callable[[Sequence[Column], Sequence[Column]], Column] | None = None,
     cell_rows: int = CELL_ROWS,
     largest: int | None = None,
+    by_first: bool = False,
 ) -> DataFrame:
     """Each unordered pair of ids that share a group, once per shared group.
 
@@ -35,7 +113,11 @@ def pairs_within(
     A group of more than ``cell_rows`` rows is cut into parts, and each pair of parts is
     a join key of its own: no task sees more than about ``cell_rows`` rows of a group on a
     side. ``largest`` is the row count of the largest group, where the caller knows it.
+    With ``by_first`` all pairs of an ``{id}_1`` are made in one task, for an aggregation by
+    both ids.
     """
+    if by_first:
+        return pairs_by_first(rows, group, id_col, carry, keep, cell_rows)
     columns = [id_col, *carry]
     if largest is None:
         largest = largest_group(rows, *group)

@@ -61,7 +61,7 @@ def item_model(
     apart = stage(apart.select("user"), "heavy-raters")
     n_apart = apart.count()
     light = ratings.join(apart, "user", "left_anti") if n_apart else ratings
-    pairs = pairs_within(light, ["user"], "item", ["rating"])
+    pairs = pairs_within(light, ["user"], "item", ["rating"], by_first=True)
     found = _sums(pairs.selectExpr("item_1", "item_2", "rating_1 AS x", "rating_2 AS y"))
     found = found.filter(F.col("n") >= min_co_raters - n_apart)
     if n_apart:

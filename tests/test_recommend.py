@@ -128,3 +128,9 @@ def test_ties_go_to_the_smaller_item(spark):
     ratings = spark.createDataFrame([("u", "a", 1.0), ("u", "b", 2.0), ("u", "c", 9.0)], "user string, item string, rating double")
     wanted = spark.createDataFrame([("u", "x")], "user string, item string")
     assert predict_ratings(wanted, ratings, model, 2).first()["prediction"] == 1.5
+
+
+def test_ratings_travel_as_lists(spark):
+    """Pairs are made in the task of their first item, so that no pair is shuffled."""
+    plan = item_model(frame(spark, ROWS + HOT), "who", "what", "stars", 3)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" in plan and "Exchange" not in plan[: plan.index("Generate")]

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyweave.functions import HASH_PRIME, draw_hash_params
+from tallyweave.operators import pairs
 from tallyweave.operators import (
     lsh_buckets,
     minhash_signatures,
@@ -164,3 +165,34 @@ def test_pairs_within(spark, rows_of, cell_rows):
     got = pairs_within(df, ["g"], "id", ["w"], lambda l, r: F.abs(l[0] - r[0]) <= 2, cell_rows)
     assert got.columns == ["g", "id_1", "w_1", "id_2", "w_2"]
     assert rows_of(got) == want
+
+
+@pytest.mark.parametrize("hot_id", [100_000, 5])
+@pytest.mark.parametrize("cell_rows", [2_000, 3])
+def test_pairs_by_first(spark, rows_of, monkeypatch, cell_rows, hot_id):
+    monkeypatch.setattr(pairs, "HOT_ID", hot_id)
+    rows = frame(spark, random_rows(4)).distinct().withColumn("n", F.length("k"))
+    plain = pairs_within(rows, ["m"], "k", ["n"], cell_rows=cell_rows)
+    by_first = pairs_within(rows, ["m"], "k", ["n"], cell_rows=cell_rows, by_first=True)
+    assert by_first.columns == plain.columns
+    assert rows_of(by_first) == rows_of(plain) != []
+    counts = [p.groupBy("k_1", "k_2").count() for p in (by_first, plain)]
+    assert rows_of(counts[0]) == rows_of(counts[1])
+
+
+def exchanges_above_pairs(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" in plan
+    return plan[: plan.index("Generate")].count("Exchange")
+
+
+def test_pairs_are_not_shuffled(spark):
+    rows = frame(spark, random_rows(4)).distinct()
+    counted = pairs_within(rows, ["m"], "k", by_first=True).groupBy("k_1", "k_2").count()
+    assert exchanges_above_pairs(counted) == 0
+
+
+def test_tasks_follow_the_number_of_pairs(spark, monkeypatch):
+    monkeypatch.setattr(pairs, "PAIRS_A_TASK", 10)
+    rows = frame(spark, [(f"k{k}", m) for k in range(10) for m in range(4)])
+    assert pairs_within(rows, ["m"], "k", by_first=True).rdd.getNumPartitions() == 18
