@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyweave.functions import HASH_PRIME, draw_hash_params
-from tallyweave.operators import pairs
+from tallyweave.operators import pairs, similarity
 from tallyweave.operators import (
     lsh_buckets,
     minhash_signatures,
@@ -196,3 +196,32 @@ def test_tasks_follow_the_number_of_pairs(spark, monkeypatch):
     monkeypatch.setattr(pairs, "PAIRS_A_TASK", 10)
     rows = frame(spark, [(f"k{k}", m) for k in range(10) for m in range(4)])
     assert pairs_within(rows, ["m"], "k", by_first=True).rdd.getNumPartitions() == 18
+
+
+def test_lsh_overlap_counted_over_shared_members(spark, rows_of, monkeypatch):
+    """Of long sets with few common members, only the common ones are counted, unless the
+    candidates hold fewer; the pairs are the same."""
+    rows = random_rows(7)
+    want = brute_lsh(rows, 0.3, 20, 1, 7)
+    for few in (True, False):
+        monkeypatch.setattr(similarity, "_fewer_shared", lambda sized, n: few)
+        compared = []
+        plain = similarity._count_overlap
+        monkeypatch.setattr(similarity, "_count_overlap", lambda *args: compared.append(1) or plain(*args))
+        assert rows_of(similar_pairs_lsh(frame(spark, rows), "k", "m", 0.3, 20, 1, 7)) == want
+        assert bool(compared) != few
+        monkeypatch.setattr(similarity, "_count_overlap", plain)
+    monkeypatch.undo()
+    long = frame(spark, [(f"k{k}", m) for k in range(5) for m in [0, *range(100 * k + 1, 100 * k + 50)]])
+    sized = long.toDF("key", "member")
+    assert similarity._fewer_shared(sized, 10) and not similarity._fewer_shared(sized, 0)
+
+
+def test_equal_sets_meet_nothing_else(spark, rows_of, monkeypatch):
+    """At threshold 1 sets that are not equal are never compared, however many bands they share."""
+    compared = []
+    plain = similarity._count_overlap
+    monkeypatch.setattr(similarity, "_count_overlap", lambda *args: compared.append(1) or plain(*args))
+    rows = [(f"k{k}", m) for k in range(8) for m in [*range(40), 100 + k]] + [("copy", m) for m in [*range(40), 100]]
+    found = similar_pairs_lsh(frame(spark, rows), "k", "m", 1.0, 4, 1, 3)
+    assert rows_of(found) == [("copy", "k0", 1.0)] and not compared
