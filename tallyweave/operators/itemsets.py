@@ -28,7 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..staging import spread, stage, stage_counted
-from .pairs import largest_group
+from . import pairs as pairing
+from .pairs import dealt_by_first, largest_group, pairs_within
 
 # Frequent items a basket may hold as one array; above it, it lies in blocks of as many.
 CROWDED_BASKET = 200
@@ -37,6 +38,8 @@ WIDE_PREFIX = 4096
 # Subsets for each pair up to which all subsets are counted at once, and the longest basket then.
 SUBSETS_A_PAIR = 8
 SHORT_BASKET = 14
+# Baskets that a pair of items must share within one part of the baskets, where pairs are found by them.
+SHARED_IN_PART = 3
 # Levels between two written basket tables; in between they are derived again.
 STAGE_EVERY = 3
 
@@ -121,10 +124,13 @@ def item_levels(itemsets: DataFrame) -> DataFrame:
 
 class _Baskets(NamedTuple):
     """Light baskets ``(chunk, prefix, lasts, weight)``, and crowded ones in blocks: the same
-    with ``basket`` and ``block``. ``crowded`` is None where no basket is."""
+    with ``basket`` and ``block``. ``crowded`` is None where no basket is. Where one is, ``ranked`` holds
+    the staged ``(chunk, basket, number)`` of all baskets, and ``limit`` the items of a light one."""
 
     light: DataFrame
     crowded: DataFrame | None
+    ranked: DataFrame | None = None
+    limit: int = CROWDED_BASKET
 
 
 def _check(min_support: int) -> None:
@@ -231,14 +237,25 @@ def _mine(baskets: _Baskets, need: Column, wide: int) -> list[DataFrame]:
         every, n_found = stage_counted(_all_subsets(baskets.light, "chunk").filter(F.col("support") >= need), "itemsets")
         return [every] if n_found else []
     found, grown, level, size = [], baskets, None, 1
+    held = _parts_of(baskets.ranked, need) if baskets.crowded is not None else None
+    if held is not None:
+        level, n_found = stage_counted(_frequent_pairs(baskets.ranked, held, need), "level-2")
+        found, size = ([level] if n_found else []), 2
+        # A frequent itemset of three has three frequent pairs.
+        if n_found <= size:
+            return found
+        grown = _cut_down(_lengthen(_held(baskets, level)), _by_prefix(level, size), n_found, wide, size, 1)
     while True:
         size += 1
         longer = _lengthen(grown)
         if level is not None:
             candidates, n_candidates = stage_counted(_candidates(level, size), f"candidates-{size}")
-            allowed = candidates.selectExpr("chunk", f"slice(numbers, 1, {size - 1}) AS prefix", f"numbers[{size - 1}] AS last")
+            if not n_candidates:
+                return found
+            allowed = _by_prefix(candidates, size)
             longer = _cut_down(longer, allowed, n_candidates, wide, size, 1)
-        counted = _count_lasts(longer, size).filter(F.col("support") >= need)
+        dealt = _Baskets(_dealt(longer.light), None) if size == 2 and longer.crowded is None else longer
+        counted = _count_lasts(dealt, size).filter(F.col("support") >= need)
         level, n_found = stage_counted(counted.select("chunk", F.concat("prefix", F.array("last")).alias("numbers"), "support"), f"level-{size}")
         if n_found:
             found.append(level)
@@ -248,6 +265,10 @@ def _mine(baskets: _Baskets, need: Column, wide: int) -> list[DataFrame]:
         grown = longer
 
 
+def _by_prefix(itemsets: DataFrame, size: int) -> DataFrame:
+    return itemsets.selectExpr("chunk", f"slice(numbers, 1, {size - 1}) AS prefix", f"numbers[{size - 1}] AS last")
+
+
 def _numbered(singles: DataFrame) -> DataFrame:
     """Staged ``(item, support, number)``; numbers rise with the support, then the item."""
     ordered = singles.select("item", "support").orderBy("support", "item")
@@ -267,12 +288,16 @@ def _named(found: DataFrame, singles: DataFrame, measure: str) -> DataFrame:
 
 def _grouped(rows: DataFrame, singles: DataFrame, crowded: int) -> _Baskets:
     """Baskets of numbered items. Equal light baskets are one row with a weight."""
-    ranked = rows.join(singles.select("item", "number"), "item").select("chunk", "basket", "number")
+    return _in_blocks(rows.join(singles.select("item", "number"), "item").select("chunk", "basket", "number"), crowded)
+
+
+def _in_blocks(ranked: DataFrame, crowded: int) -> _Baskets:
     sizes = ranked.groupBy("chunk", "basket").agg(F.count("*").alias("_items"))
     crowds = stage(sizes.filter(F.col("_items") > crowded).select("chunk", "basket"), "crowds")
     light, blocks = ranked, None
     none = "CAST(array() AS array<bigint>) AS prefix"
     if not crowds.isEmpty():
+        ranked = stage(ranked, "ranked")
         light = ranked.join(crowds, ["chunk", "basket"], "left_anti")
         # numbers rise one by one within the upper 31 bits, so a block has ``crowded`` at most
         block = F.col("number") - F.col("number").bitwiseAND(F.lit((1 << 33) - 1)) % F.lit(crowded)
@@ -290,7 +315,56 @@ def _grouped(rows: DataFrame, singles: DataFrame, crowded: int) -> _Baskets:
         .agg(F.expr("count(*) AS weight"))
         .selectExpr("chunk", none, "lasts", "weight")
     )
-    return _Baskets(stage(spread(merged, "lasts"), "grown-1"), blocks)
+    return _Baskets(stage(spread(merged, "lasts"), "grown-1"), blocks, None if blocks is None else ranked, crowded)
+
+
+def _held(baskets: _Baskets, itemsets: DataFrame) -> _Baskets:
+    """Baskets without the items that are in none of ``itemsets`` ``(chunk, numbers)``."""
+    held = itemsets.select("chunk", F.explode("numbers").alias("number")).distinct()
+    return _in_blocks(baskets.ranked.join(held, ["chunk", "number"], "left_semi"), baskets.limit)
+
+
+def _parts_of(ranked: DataFrame, need: Column) -> DataFrame | None:
+    """``(chunk, number, part, baskets)``: the baskets of each item, in as many parts as
+    make a frequent pair share ``SHARED_IN_PART`` of one part, or None where baskets have fewer pairs
+    of items than items have such groups of baskets."""
+    needs = ranked.select("chunk", need.alias("need"))
+    if (needs.agg(F.min("need")).first()[0] or 0) < SHARED_IN_PART:
+        return None
+    parts = ranked.withColumn("need", need).withColumn("parts", F.expr(f"need div {SHARED_IN_PART}"))
+    parts = parts.withColumn("part", F.pmod(F.xxhash64("basket"), "parts"))
+    held = parts.groupBy("chunk", "number", "part").agg(F.sort_array(F.collect_set("basket")).alias("baskets"))
+    held = stage(held.filter(F.size("baskets") >= SHARED_IN_PART), "item-baskets")
+    n = F.size("baskets").cast("double")
+    groups = held.agg(F.sum(n * (n - 1) * (n - 2) / 6)).first()[0] or 0.0
+    sizes = ranked.groupBy("chunk", "basket").agg(F.count("*").cast("double").alias("n"))
+    pairs = sizes.agg(F.sum(F.expr("n * (n - 1) / 2"))).first()[0] or 0.0
+    return held if groups <= pairs else None
+
+
+def _frequent_pairs(ranked: DataFrame, held: DataFrame, need: Column) -> DataFrame:
+    """``(chunk, numbers, support)`` of the pairs that reach the need of their chunk.
+
+    A pair that shares ``need`` baskets shares, whatever the parts they are in, no fewer groups of
+    three baskets of one part than if they were dealt evenly. Few pairs share so many
+    groups by chance; these are counted over their baskets.
+    """
+    ones = held.select("chunk", "number", "baskets", F.posexplode("baskets").alias("at", "b1"))
+    ones = ones.selectExpr("chunk", "number", "b1", "slice(baskets, at + 2, size(baskets)) AS baskets")
+    twos = ones.select("chunk", "number", "b1", "baskets", F.posexplode("baskets").alias("at", "b2"))
+    threes = twos.selectExpr("chunk", "number", "b1", "b2", "explode(slice(baskets, at + 2, size(baskets))) AS b3")
+    shared = pairs_within(threes, ["chunk", "b1", "b2", "b3"], "number", by_first=True)
+    shared = shared.groupBy("chunk", "number_1", "number_2").agg(F.count("*").alias("shared"))
+    shared = shared.withColumn("need", need).withColumn("parts", F.expr(f"need div {SHARED_IN_PART}"))
+    evenly = F.expr("""
+        (parts - need % parts) * ((need div parts) * ((need div parts) - 1) * ((need div parts) - 2) div 6)
+        + (need % parts) * (((need div parts) + 1) * (need div parts) * ((need div parts) - 1) div 6)""")
+    likely = stage(shared.filter(F.col("shared") >= evenly).select("chunk", "number_1", "number_2"), "likely-pairs")
+    for side in (1, 2):
+        on = ["chunk", f"number_{side}"] + ["basket"] * (side == 2)
+        likely = likely.join(ranked.withColumnRenamed("number", f"number_{side}"), on)
+    counted = likely.groupBy("chunk", "number_1", "number_2").agg(F.expr("count(*) AS support"))
+    return counted.filter(F.col("support") >= need).select("chunk", F.array("number_1", "number_2").alias("numbers"), "support")
 
 
 def _lengthen(grown: _Baskets) -> _Baskets:
@@ -333,6 +407,18 @@ def _count_lasts(longer: _Baskets, size: int) -> DataFrame:
     return counted.withColumn("prefix", F.array("prefix")) if size == 2 else counted
 
 
+def _dealt(light: DataFrame) -> DataFrame:
+    """Rows of one prefix in one task, if they hold more different pairs than a task may hold: else
+    counting before the shuffle leaves few rows."""
+    each = light.groupBy(F.col("prefix")[0].alias("first")).agg(F.count("*").alias("_rows"), F.sum(F.size("lasts")).alias("_pairs"))
+    sums = each.agg(F.count("*").alias("items"), F.max("_rows").alias("hottest"), F.sum("_pairs").alias("pairs")).first()
+    if (sums["items"] or 0) ** 2 / 2 <= pairing.PAIRS_A_TASK:
+        return light
+    first = light.withColumn("first", F.col("prefix")[0])
+    dealt = dealt_by_first(first, "first", sums["pairs"], sums["hottest"], "lasts")
+    return dealt.withColumn("prefix", F.array("first")).drop("first")
+
+
 def _cut_down(longer: _Baskets, level: DataFrame, n_level: int, wide: int, size: int, least: int = 2) -> _Baskets:
     """Keep of ``lasts`` what makes an itemset of ``level`` with the prefix, and of light rows
     those with ``least`` items left."""
@@ -383,9 +469,17 @@ def _recount(mined: _Mined, wide: int) -> DataFrame:
     wanted, n_wanted = stage_counted(mined.candidates.select("numbers").distinct(), "candidates")
     ones = wanted.filter("size(numbers) = 1").selectExpr("numbers", "numbers[0] AS number")
     found = ones.join(mined.singles, "number").select("numbers", "support")
-    light, crowded = mined.baskets
+    baskets = mined.baskets
+    if baskets.crowded is not None:
+        if mined.deepest == 1:
+            return found
+        # items that are in no larger candidate are not walked over
+        larger = wanted.filter("size(numbers) > 1").select("numbers")
+        chunks = baskets.ranked.select("chunk").distinct()
+        baskets = _held(baskets, larger.crossJoin(chunks))
+    light, crowded = baskets.light, baskets.crowded
     whole = light.drop("chunk").groupBy("prefix", "lasts").agg(F.expr("sum(weight) AS weight"))
-    if _short(mined.baskets):
+    if _short(baskets):
         # one pass for all sizes
         return found.unionByName(_all_subsets(whole).join(wanted, "numbers", "left_semi"))
     grown = _Baskets(

@@ -175,3 +175,34 @@ def test_a_candidate_needs_all_its_subsets(spark, rows_of, monkeypatch):
     rows = [(f"{n}{i}", x) for n, items in enumerate(("abd", "abc", "ab", "ad", "bc", "ac")) for i in range(2) for x in items]
     assert rows_of(frequent_itemsets(frame(spark, rows), "basket", "item", 3)) == brute(rows, 3)
     assert calls[1].count() == 1
+
+
+def crowded_rows():
+    draw = random.Random(11)
+    rows = [(b, f"i{draw.randrange(40)}") for b in range(30) for _ in range(12)]
+    return rows + [(b, f"i{i}") for b in range(12) for i in (1, 2, 3)]
+
+
+def test_pairs_of_crowded_baskets_by_shared_groups(spark, rows_of, monkeypatch):
+    """Pairs are found by groups of baskets that items share, so pairs of a crowded basket's items are
+    not formed; which ones are found does not depend on it."""
+    df = spark.createDataFrame(crowded_rows(), "b int, i string")
+    monkeypatch.setattr(itemsets, "_lengthen", counted_calls(itemsets._lengthen, calls := []))
+    support = 8
+    found = rows_of(frequent_itemsets(df, "b", "i", support, crowded=3))
+    assert any(size == 3 for _, size, _ in found)
+    assert rows_of(son_itemsets(df, "b", "i", support, 2, crowded=3)) == found
+    calls.clear()
+    # no pair is in 25 baskets: nothing is lengthened
+    assert all(size == 1 for _, size, _ in rows_of(frequent_itemsets(df, "b", "i", 25, crowded=3))) and not calls
+    monkeypatch.setattr(itemsets, "_parts_of", lambda ranked, need: None)
+    assert rows_of(frequent_itemsets(df, "b", "i", support, crowded=3)) == found
+
+
+def test_lists_of_pairs_are_dealt_by_prefix(spark, rows_of, monkeypatch):
+    df = spark.createDataFrame(crowded_rows(), "b int, i string")
+    monkeypatch.setattr(itemsets, "SHORT_BASKET", 0)
+    plain = rows_of(frequent_itemsets(df, "b", "i", 8))
+    monkeypatch.setattr(itemsets.pairing, "PAIRS_A_TASK", 5)
+    monkeypatch.setattr(itemsets, "dealt_by_first", counted_calls(itemsets.dealt_by_first, calls := []))
+    assert rows_of(frequent_itemsets(df, "b", "i", 8)) == plain and calls
