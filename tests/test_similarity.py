@@ -225,3 +225,38 @@ def test_equal_sets_meet_nothing_else(spark, rows_of, monkeypatch):
     rows = [(f"k{k}", m) for k in range(8) for m in [*range(40), 100 + k]] + [("copy", m) for m in [*range(40), 100]]
     found = similar_pairs_lsh(frame(spark, rows), "k", "m", 1.0, 4, 1, 3)
     assert rows_of(found) == [("copy", "k0", 1.0)] and not compared
+
+
+def _near_copies(seed, n_sets, sizes, common):
+    """Sets of rare and very common members, some of them a changed copy of an earlier one."""
+    rng, sets = random.Random(seed), {}
+    for key in range(n_sets):
+        size = rng.choice(sizes)
+        if sets and rng.random() < 0.4:
+            members = list(sets[rng.choice(list(sets))])
+            members = members[: max(1, int(len(members) * rng.uniform(0.45, 1)))] + [f"{key}-{i}" for i in range(rng.randrange(1 + len(members) // 3))]
+        else:
+            members = [f"c{rng.randrange(common)}" for _ in range(size // 2)] + [f"{key}-{i}" for i in range(size // 2)]
+        sets[key] = set(members)
+    return sets
+
+
+@pytest.mark.parametrize(("seed", "threshold", "part"), [(1, 0.5, 8), (2, 0.3, 16), (3, 0.9, 4), (4, 0.5, 96), (5, 1.0, 8)])
+def test_candidates_by_parts(spark, rows_of, monkeypatch, seed, threshold, part):
+    monkeypatch.setattr(similarity, "PART_MEMBERS", part)
+    sets = _near_copies(seed, 60, [2, 10, 40, 150], 60)
+    rows = [(key, member) for key, members in sets.items() for member in members]
+    df = spark.createDataFrame(rows, "k long, m string")
+    wanted = [(a, b, len(sets[a] & sets[b]) / len(sets[a] | sets[b])) for a in sets for b in sets if a < b]
+    wanted = sorted(x for x in wanted if x[2] >= threshold)
+    assert rows_of(similar_pairs(df, "k", "m", threshold, hot_member=3, cell_rows=7, chunk_members=16)) == wanted
+
+
+def test_sets_of_common_members_are_no_candidates(spark):
+    """Random sets of common members meet very often; hardly a pair of them leaves its task."""
+    rng = random.Random(6)
+    sets = [{rng.randrange(400) for _ in range(130)} for _ in range(200)]
+    rows = [(key, member, len(members)) for key, members in enumerate(sets) for member in members]
+    sized, n_rows = similarity._numbered(spark.createDataFrame(rows, "key long, member long, n long"))
+    meet = sum(1 for a in range(200) for b in range(a) if sets[a] & sets[b])
+    assert similarity._alike_in_part(sized, n_rows, 0.5, 2000).count() < meet / 20
