@@ -4,9 +4,9 @@ Documents are dealt to a fixed number of shards by the hash of their text; each
 by all tasks that hold a part of it. A phrase that occurs ``support`` times in a language occurs
 in at least one shard so often as the shard's share of the language's words demands. So every
 shard is mined completely at that lowered support (words, then pairs of frequent words, then
-longer phrases of frequent pairs), and what is frequent in any shard is counted over all
-documents, as text. The first pass compares 64-bit hashes, which can only add candidates; counts
-and results come from the second. Sets of frequent phrases reach the tasks as bit maps of bounded
+longer phrases of frequent pairs). What is frequent in any shard is counted over all documents
+by hashes, and what then reaches the support is counted as text. Hashes can only add
+candidates; counts and results come from the texts. Sets of frequent phrases reach the tasks as bit maps of bounded
 size, whose false hits add rows to count and change no result.
 """
 
@@ -209,11 +209,45 @@ def _mined(docs: DataFrame, of: _Shards, lengths: range, name: str, parts: int =
                 tally = _Tally()
         yield _blocks(*tally.all())
 
-    rows = docs.mapInArrow(run, "segment long, entries binary")
+    return _added_up(docs.mapInArrow(run, "segment long, entries binary"), name)
+
+
+def _added_up(rows: DataFrame, name: str) -> tuple[DataFrame, int]:
     segments = rows.repartition("segment").sortWithinPartitions("segment")
     return stage_counted(segments.mapInArrow(_frequent, "code long"), name)
 
 
+def _hits(words: _Words, salts: np.ndarray, of: _Shards, bits: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Length, first words and keys of the phrases that are in the map with all of their parts."""
+    allowed = np.ones(len(words.hashes) + 1, bool)
+    for length in range(1, of.mining.longest + 1):
+        first, keys = _phrases(words, salts, length)
+        # every part of a frequent phrase is frequent
+        hits = _in_map(bits, of.cells(keys)) & allowed[first] & (allowed[first + 1] if length > 1 else True)
+        allowed[:] = False
+        allowed[first[hits]] = True
+        yield length, first[hits], keys[hits]
+
+
+def _everywhere(docs: DataFrame, of: _Shards, bits) -> tuple[DataFrame, int]:
+    """``code`` of the cells of phrases in the map that reach the support over all documents, and
+    their number. Phrases that share a cell are counted together, which only adds some."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tally = _Tally()
+        for batch in text_slices(batches):
+            words = _words(*text_bytes(batch.column("text")))
+            for _, _, keys in _hits(words, _salts(batch.column("lang").to_pylist()), of, bits.value):
+                codes, counts = np.unique(of.cells(keys), return_counts=True)
+                tally.add(codes, counts, np.full(len(codes), of.mining.support))
+            if tally.full():
+                yield _blocks(*tally.all())
+                tally = _Tally()
+        yield _blocks(*tally.all())
+
+    return _added_up(docs.mapInArrow(run, "segment long, entries binary"), "frequent-everywhere")
+
+
 def _bit_map(keys: DataFrame, rows: int) -> np.ndarray:
     """A map of the column ``key``: 64 bits for each row, up to the bound."""
     n_bits = 1 << min(MOST_BITS, max(15, (64 * rows).bit_length()))
@@ -229,7 +263,8 @@ def _bit_map(keys: DataFrame, rows: int) -> np.ndarray:
 
 
 def _candidates(docs: DataFrame, mining: Mining) -> tuple[_Shards, object, DataFrame]:
-    """Bit map of what is frequent in any shard, and ``lang, total`` words of each language."""
+    """Bit map of what is frequent in any shard and over all documents, by the hashes of both passes,
+    and ``lang, total`` words of each language."""
     share = docs.sparkSession.sparkContext.broadcast
     size = F.regexp_count("text", F.lit(_WORD)).cast("long")
     parts = written(docs.groupBy("shard", "lang").agg(F.sum(size).alias("words")), "shard-words")
@@ -252,7 +287,9 @@ def _candidates(docs: DataFrame, mining: Mining) -> tuple[_Shards, object, DataF
     every = found[0][0]
     for more, _ in found[1:]:
         every = every.unionByName(more)
-    return of, share(_bit_map(every.select(cell.alias("key")), sum(rows for _, rows in found))), totals
+    bits = share(_bit_map(every.select(cell.alias("key")), sum(rows for _, rows in found)))
+    kept, n_kept = _everywhere(docs, of, bits)
+    return of, share(_bit_map(kept.select(F.col("code").alias("key")), n_kept)), totals
 
 
 class _Counts:
@@ -299,16 +336,10 @@ def _counter(of: _Shards, bits) -> Callable:
             changes = np.flatnonzero(changes)
             ends = changes[np.searchsorted(changes, words.starts, side="right")]
             data = LOWER[raw].tobytes()
-            allowed = np.ones(len(words.hashes) + 1, bool)
-            for length in range(1, of.mining.longest + 1):
-                first, keys = _phrases(words, salts, length)
-                # every part of a frequent phrase is frequent
-                hits = _in_map(bits.value, of.cells(keys)) & allowed[first] & (allowed[first + 1] if length > 1 else True)
-                allowed[:] = False
-                allowed[first[hits]] = True
-                keys, sample, counts = np.unique(keys[hits], return_index=True, return_counts=True)
+            for length, first, keys in _hits(words, salts, of, bits.value):
+                keys, sample, counts = np.unique(keys, return_index=True, return_counts=True)
                 new = found.add(keys, counts)
-                first = first[hits][sample[new]]
+                first = first[sample[new]]
                 owners, starts, stops = words.owners[first], words.starts[first], ends[first + length - 1]
                 for i, a, b in zip(owners.tolist(), starts.tolist(), stops.tolist()):
                     found.texts.append((langs[i], b" ".join(data[a:b].split()).decode(), length))

@@ -99,3 +99,17 @@ def test_scores_pass_64_bits(spark):
     row = spark.createDataFrame([(a, n, a, a)], "a long, n long, l long, r long")
     score = row.select(F.expr("cast(a as decimal(17)) * cast(n as decimal(17)) * 1000bd div (cast(l as decimal(19)) * cast(r as decimal(19)))"))
     assert score.first()[0] == 1000 * a * n // (a * a)
+
+
+def test_only_phrases_frequent_everywhere_are_counted_as_text(spark):
+    """With a support of one in each shard every phrase is a candidate; few texts leave the tasks."""
+    rng = random.Random(8)
+    texts = [" ".join(f"w{rng.randrange(500)}" for _ in range(30)) for _ in range(200)]
+    docs = spark.createDataFrame([(x + " one two three", "en") for x in texts], "text string, lang string").repartition(2)
+    mining = phrases.Mining(support=40, shards=40)
+    rows = docs.withColumn("shard", F.pmod(F.xxhash64("text"), F.lit(mining.shards)).cast("int"))
+    of, bits, _ = phrases._candidates(rows, mining)
+    counted = rows.mapInArrow(phrases._counter(of, bits), "lang string, phrase string, words int, n long")
+    assert {"one", "two three", "one two three"} <= {r["phrase"] for r in counted.collect()}
+    every = sum(len({tuple(x.split()[i : i + k]) for x in texts for i in range(31 - k)}) for k in range(1, 6))
+    assert counted.count() < every / 20
