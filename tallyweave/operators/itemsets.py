@@ -18,6 +18,10 @@ From the third level on, rows are first cut down to candidates: itemsets of whic
 with one item less is frequent. Where baskets are short, so that all their subsets are few times
 their pairs, no level is needed: all subsets of all baskets are counted in one aggregation.
 Which way is taken follows from counted sizes; supports are the same.
+
+Where there are few different items, a basket is one integer with a bit for each. Rows are then
+merged by basket before the shuffle, and equal baskets right after it. Subsets are integers too,
+and are counted for a range of sizes at a time until no larger one can be frequent.
 """
 
 from __future__ import annotations
@@ -38,6 +42,12 @@ WIDE_PREFIX = 4096
 # Subsets for each pair up to which all subsets are counted at once, and the longest basket then.
 SUBSETS_A_PAIR = 8
 SHORT_BASKET = 14
+# Different items up to which a basket is one integer, and what holds in place of the limits above then.
+FEW_ITEMS = 62
+FEW_SUBSETS_A_PAIR = 64
+FEW_TIMES_LONGER = 1.7
+# Sizes of subsets that are counted in one aggregation there.
+SIZES_AT_ONCE = 5
 # Baskets that a pair of items must share within one part of the baskets, where pairs are found by them.
 SHARED_IN_PART = 3
 # Levels between two written basket tables; in between they are derived again.
@@ -60,11 +70,18 @@ def frequent_itemsets(
     repeat in a basket once only; rows with a null basket or item are skipped.
     """
     _check(min_support)
-    rows = _basket_rows(df, basket, item, min_basket_size, F.lit(0))
-    counts = rows.groupBy("item").agg(F.expr("count(*) AS support"))
-    singles = _numbered(counts.filter(F.col("support") >= int(min_support)))
     need = F.lit(int(min_support)).cast("bigint")
-    levels = _mine(_grouped(rows, singles, crowded), need, wide)
+    few = _few_items(df, item)
+    if few is not None:
+        masks = _masks(df, basket, item, few, min_basket_size, F.lit(0))
+        singles = _numbered_few(_mask_counts(masks, few).filter(F.col("support") >= need))
+        grouped = _grouped_masks(masks, singles, few)
+    else:
+        rows = _basket_rows(df, basket, item, min_basket_size, F.lit(0))
+        counts = rows.groupBy("item").agg(F.expr("count(*) AS support"))
+        singles = _numbered(counts.filter(F.col("support") >= int(min_support)))
+        grouped = _grouped(rows, singles, crowded)
+    levels = _mine(grouped, need, wide)
     found = singles.selectExpr("array(number) AS numbers", "support")
     for level in levels:
         found = found.unionByName(level.select("numbers", "support"))
@@ -125,12 +142,14 @@ def item_levels(itemsets: DataFrame) -> DataFrame:
 class _Baskets(NamedTuple):
     """Light baskets ``(chunk, prefix, lasts, weight)``, and crowded ones in blocks: the same
     with ``basket`` and ``block``. ``crowded`` is None where no basket is. Where one is, ``ranked`` holds
-    the staged ``(chunk, basket, number)`` of all baskets, and ``limit`` the items of a light one."""
+    the staged ``(chunk, basket, number)`` of all baskets, and ``limit`` the items of a light one.
+    ``few`` tells that all numbers are less than ``FEW_ITEMS``."""
 
     light: DataFrame
     crowded: DataFrame | None
     ranked: DataFrame | None = None
     limit: int = CROWDED_BASKET
+    few: bool = False
 
 
 def _check(min_support: int) -> None:
@@ -154,6 +173,52 @@ def _basket_rows(
     return stage(rows.select(chunk.cast("int").alias("chunk"), "basket", "item"), "baskets")
 
 
+def _few_items(df: DataFrame, item: str) -> DataFrame | None:
+    """Staged ``(item, bit)``, or None where there are more than ``FEW_ITEMS`` different items."""
+    items = df.select(F.col(item).alias("item")).dropna().distinct().limit(FEW_ITEMS + 1).coalesce(1)
+    few, n_items = stage_counted(items.withColumn("bit", F.monotonically_increasing_id().cast("int")), "few-items")
+    return few if n_items <= FEW_ITEMS else None
+
+
+def _masks(
+    df: DataFrame, basket: str, item: str, few: DataFrame, min_basket_size: int, chunk: Column
+) -> DataFrame:
+    """Staged ``(chunk, mask, weight)``: the different baskets that count, and how many there are of each."""
+    rows = df.select(F.col(basket).alias("basket"), F.col(item).alias("item")).dropna()
+    bits = rows.join(F.broadcast(few), "item").selectExpr("basket", "shiftleft(1L, bit) AS mask")
+    whole = bits.groupBy("basket").agg(F.bit_or("mask").alias("mask"))
+    if min_basket_size > 0:
+        whole = whole.filter(F.bit_count("mask") > min_basket_size)
+    merged = whole.select(chunk.cast("int").alias("chunk"), "mask").groupBy("chunk", "mask")
+    return stage(merged.agg(F.expr("count(*) AS weight")), "masks")
+
+
+def _mask_counts(masks: DataFrame, few: DataFrame, *chunk: str) -> DataFrame:
+    """``(item, bit, support)`` of the single items, of each chunk if asked."""
+    bits = F.filter(F.sequence(F.lit(0), F.lit(FEW_ITEMS - 1)), lambda i: F.getbit("mask", i) == 1)
+    ones = masks.select(*chunk, "weight", F.explode(bits).alias("bit"))
+    counts = ones.groupBy(*chunk, "bit").agg(F.expr("sum(weight) AS support"))
+    return counts.join(F.broadcast(few), "bit")
+
+
+def _numbered_few(singles: DataFrame) -> DataFrame:
+    """As ``_numbered``, with ``bit``, for few items: numbers rise one by one from 0."""
+    ordered = singles.select("item", "support", "bit").coalesce(1).sortWithinPartitions("support", "item")
+    return stage(ordered.withColumn("number", F.monotonically_increasing_id()), "items")
+
+
+def _grouped_masks(masks: DataFrame, singles: DataFrame, few: DataFrame) -> _Baskets:
+    """As ``_grouped``. The driver sees the bits of the items, few by construction."""
+    bits = [row["bit"] for row in singles.select("number", "bit").orderBy("number").collect()]
+    rest = masks.selectExpr("chunk", f"mask & {sum(1 << bit for bit in bits)}L AS mask", "weight")
+    rest = rest.filter("bit_count(mask) > 1").groupBy("chunk", "mask").agg(F.expr("sum(weight) AS weight"))
+    places = F.array(*(F.lit(bit) for bit in bits)) if bits else F.array(F.lit(0))
+    numbers = F.sequence(F.lit(0).cast("bigint"), F.lit(max(0, len(bits) - 1)).cast("bigint"))
+    lasts = F.filter(numbers, lambda i: F.getbit("mask", F.get(places, i.cast("int"))) == 1).alias("lasts")
+    light = rest.select("chunk", F.expr("CAST(array() AS array<bigint>) AS prefix"), lasts, "weight")
+    return _Baskets(stage(spread(light, "lasts"), "grown-1"), None, few=True)
+
+
 class _Mined(NamedTuple):
     """What both passes share: numbered items, baskets of them, candidates of all chunks as
     ``(chunk, numbers)``, and the size of the largest."""
@@ -170,22 +235,30 @@ def _first_pass(df, basket, item, min_support, n_chunks, min_basket_size, chunk,
     _check(min_support)
     if chunk is None:
         chunk = F.pmod(F.xxhash64("basket"), F.lit(n_chunks))
-    rows = _basket_rows(df, basket, item, min_basket_size, chunk)
-    sizes = rows.select("chunk", "basket").distinct().groupBy("chunk").agg(F.expr("count(*) AS baskets"))
+    few = _few_items(df, item)
+    if few is not None:
+        rows = _masks(df, basket, item, few, min_basket_size, chunk)
+        sizes = rows.groupBy("chunk").agg(F.expr("sum(weight) AS baskets"))
+    else:
+        rows = _basket_rows(df, basket, item, min_basket_size, chunk)
+        sizes = rows.select("chunk", "basket").distinct().groupBy("chunk").agg(F.expr("count(*) AS baskets"))
     baskets = {row["chunk"]: row["baskets"] for row in sizes.collect()}
     total = sum(baskets.values())
     needs = {number: -(-int(min_support) * count // total) for number, count in baskets.items()}
     need = F.lit(None).cast("bigint")
     for number, least in needs.items():
         need = F.when(F.col("chunk") == number, F.lit(least).cast("bigint")).otherwise(need)
-    counts = stage(rows.groupBy("chunk", "item").agg(F.expr("count(*) AS support")), "chunk-items")
+    if few is not None:
+        counts, key = _mask_counts(rows, few, "chunk"), ["item", "bit"]
+    else:
+        counts, key = rows.groupBy("chunk", "item").agg(F.expr("count(*) AS support")), ["item"]
+    counts = stage(counts, "chunk-items")
     some = counts.filter(F.col("support") >= need).select("item").distinct()
-    singles = _numbered(
-        counts.join(some, "item", "left_semi").groupBy("item").agg(F.expr("sum(support) AS support"))
-    )
+    each = counts.join(some, "item", "left_semi").groupBy(*key).agg(F.expr("sum(support) AS support"))
+    singles = _numbered(each) if few is None else _numbered_few(each)
     ones = counts.filter(F.col("support") >= need).join(singles.select("item", "number"), "item")
     candidates = ones.selectExpr("chunk", "array(number) AS numbers")
-    grouped = _grouped(rows, singles, crowded)
+    grouped = _grouped(rows, singles, crowded) if few is None else _grouped_masks(rows, singles, few)
     levels = _mine(grouped, need, wide)
     deepest = 1
     for level in levels:
@@ -201,7 +274,10 @@ def _short(baskets: _Baskets) -> bool:
         return False
     sizes = baskets.light.select(F.size("lasts").cast("double").alias("n"))
     sums = sizes.agg(F.max("n").alias("longest"), F.sum(F.pow(F.lit(2.0), "n")).alias("subsets"), F.sum(F.expr("n * n")).alias("pairs")).first()
-    return (sums["longest"] or 0) <= SHORT_BASKET and (sums["subsets"] or 0) <= SUBSETS_A_PAIR * (sums["pairs"] or 0)
+    longest, a_pair = SHORT_BASKET, SUBSETS_A_PAIR
+    if baskets.few:
+        longest, a_pair = FEW_TIMES_LONGER * SHORT_BASKET, FEW_SUBSETS_A_PAIR
+    return (sums["longest"] or 0) <= longest and (sums["subsets"] or 0) <= a_pair * (sums["pairs"] or 0)
 
 
 def _all_subsets(light: DataFrame, *chunk: str) -> DataFrame:
@@ -212,6 +288,39 @@ def _all_subsets(light: DataFrame, *chunk: str) -> DataFrame:
     return several.select(*chunk, numbers, "weight").groupBy(*chunk, "numbers").agg(F.expr("sum(weight) AS support"))
 
 
+def _few_subsets(light: DataFrame, least: int, most: int, *chunk: str) -> DataFrame:
+    """``(mask, support)`` of every subset of ``least`` to ``most`` few items, in one aggregation. Subsets of
+    either half of a basket are met row by row, so that none is one array with all of them."""
+    subsets = """aggregate({}, array(0L), (subsets, number) ->
+        concat(subsets, transform(subsets, x -> x | shiftleft(1L, CAST(number AS int)))))"""
+    first, second = "slice(lasts, 1, size(lasts) div 2)", "slice(lasts, 1 + size(lasts) div 2, size(lasts))"
+    some = light.selectExpr(*chunk, "lasts", "weight", f"explode({subsets.format(first)}) AS some")
+    all_ = some.selectExpr(*chunk, "some", "weight", f"explode({subsets.format(second)}) AS rest")
+    masks = all_.selectExpr(*chunk, "some | rest AS mask", "weight").filter(f"bit_count(mask) BETWEEN {least} AND {most}")
+    return masks.groupBy(*chunk, "mask").agg(F.expr("sum(weight) AS support"))
+
+
+def _mask_numbers() -> Column:
+    """The numbers of ``mask``, ascending."""
+    numbers = F.sequence(F.lit(0).cast("bigint"), F.lit(FEW_ITEMS - 1).cast("bigint"))
+    return F.filter(numbers, lambda i: F.getbit("mask", i.cast("int")) == 1).alias("numbers")
+
+
+def _mine_few(light: DataFrame, need: Column) -> list[DataFrame]:
+    """As ``_mine``, by all subsets of as many sizes at once as are likely to be needed."""
+    found, size = [], 2
+    while True:
+        largest = size + SIZES_AT_ONCE - 1
+        counted = _few_subsets(light, size, largest, "chunk").filter(F.col("support") >= need)
+        some, n_found = stage_counted(counted.select("chunk", _mask_numbers(), "support"), "itemsets")
+        if n_found:
+            found.append(some)
+        # A larger frequent itemset has largest + 1 subsets of the largest size, all frequent.
+        if n_found <= largest or some.filter(F.size("numbers") == largest).count() <= largest:
+            return found
+        size = largest + 1
+
+
 def _candidates(level: DataFrame, size: int) -> DataFrame:
     """``(chunk, numbers)`` of ``size`` numbers, ascending, all of whose subsets with one less are
     in ``level``."""
@@ -234,6 +343,8 @@ def _mine(baskets: _Baskets, need: Column, wide: int) -> list[DataFrame]:
     """Staged ``(chunk, numbers, support)`` of two items or more that reach the need of their
     chunk: all at once where baskets are short, or else one table for each size."""
     if _short(baskets):
+        if baskets.few:
+            return _mine_few(baskets.light, need)
         every, n_found = stage_counted(_all_subsets(baskets.light, "chunk").filter(F.col("support") >= need), "itemsets")
         return [every] if n_found else []
     found, grown, level, size = [], baskets, None, 1
@@ -481,6 +592,13 @@ def _recount(mined: _Mined, wide: int) -> DataFrame:
     whole = light.drop("chunk").groupBy("prefix", "lasts").agg(F.expr("sum(weight) AS weight"))
     if _short(baskets):
         # one pass for all sizes
+        if baskets.few:
+            mask = F.expr("aggregate(numbers, 0L, (mask, number) -> mask | shiftleft(1L, CAST(number AS int)))")
+            masks = wanted.filter("size(numbers) > 1").select(mask.alias("mask"))
+            # written first, or the join would be moved below the count, to every subset of every basket
+            counted = _few_subsets(stage(spread(whole, "lasts"), "whole"), 2, mined.deepest)
+            counted = stage(counted, "recounted").join(masks, "mask", "left_semi")
+            return found.unionByName(counted.select(_mask_numbers(), "support"))
         return found.unionByName(_all_subsets(whole).join(wanted, "numbers", "left_semi"))
     grown = _Baskets(
         whole.withColumn("chunk", F.lit(0)),

@@ -206,3 +206,44 @@ def test_lists_of_pairs_are_dealt_by_prefix(spark, rows_of, monkeypatch):
     monkeypatch.setattr(itemsets.pairing, "PAIRS_A_TASK", 5)
     monkeypatch.setattr(itemsets, "dealt_by_first", counted_calls(itemsets.dealt_by_first, calls := []))
     assert rows_of(frequent_itemsets(df, "b", "i", 8)) == plain and calls
+
+
+def long_rows(baskets, items):
+    """Baskets of up to 17 of few items, rows repeated, null baskets and items among them."""
+    rng = random.Random(5)
+    rows = [("long", f"i{n}") for n in range(17)] + [(None, "i1"), ("b0", None), (None, "rare")]
+    for basket in range(baskets):
+        for _ in range(rng.randint(1, 5)):
+            rows += [(f"b{basket}", f"i{min(rng.randrange(items), rng.randrange(items))}")] * rng.randint(1, 2)
+    return rows
+
+
+def test_baskets_of_few_items_are_not_walked_level_by_level(spark, rows_of, monkeypatch):
+    def walked(*_):
+        raise AssertionError("a level was walked")
+
+    monkeypatch.setattr(itemsets, "_lengthen", walked)
+    rows = long_rows(50, 12)
+    want = brute(rows, 4)
+    assert rows_of(frequent_itemsets(frame(spark, rows), "basket", "item", 4)) == want
+    assert rows_of(son_itemsets(frame(spark, rows), "basket", "item", 4, 2)) == want
+
+
+def test_sizes_of_few_items_are_counted_until_none_is_frequent(spark, rows_of, monkeypatch):
+    monkeypatch.setattr(itemsets, "SIZES_AT_ONCE", 2)
+    rows = [(f"b{basket}", f"i{n}") for basket in range(4) for n in range(7 - basket % 2)]
+    for support in (2, 3, 5):
+        assert rows_of(frequent_itemsets(frame(spark, rows), "basket", "item", support, 1)) == brute(rows, support, 1)
+
+
+@pytest.mark.parametrize("most", [0, 17, 62])
+def test_few_and_many_items_agree(spark, rows_of, monkeypatch, most):
+    monkeypatch.setattr(itemsets, "SHORT_BASKET", 2)
+    monkeypatch.setattr(itemsets, "FEW_ITEMS", most)
+    rows = long_rows(40, 9) + [("wide", f"w{n}") for n in range(45)]
+    small = [row for row in rows if row[0] != "long"]
+    # no item of the wide basket is frequent
+    want = brute([row for row in small if row[0] != "wide"], 3, 1)
+    got = frequent_itemsets(frame(spark, small), "basket", "item", 3, 1, crowded=3, wide=2)
+    assert rows_of(got) == want
+    assert rows_of(son_itemsets(frame(spark, small), "basket", "item", 3, 2, 1, crowded=3, wide=2)) == want
