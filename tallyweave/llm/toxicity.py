@@ -28,7 +28,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from .labelled import labelled_sample
 from .tables import text_bytes, text_slices, written
-from .words import LETTER_CLASSES, Runs, mixed, runs, span_hashes
+from .words import LETTER_CLASSES, Runs, hash_sums, mixed, runs, span_hashes
 
 #: Labelled rows that log-odds and calibration are fitted on, at most.
 SAMPLE_ROWS = 12_000
@@ -67,21 +67,29 @@ def _unspaced(raw: np.ndarray, firsts: np.ndarray) -> np.ndarray:
 
 def _tokens(raw: np.ndarray, offsets: np.ndarray) -> tuple[Runs, list[tuple[np.ndarray, np.ndarray]]]:
     """Words, and for each kind of token the words that have it and its hash."""
-    firsts = np.flatnonzero((raw & 0xC0) != 0x80)
+    starts_char = (raw & 0xC0) != 0x80
+    firsts = np.flatnonzero(starts_char)
     ends = np.append(firsts, len(raw))[1:]
     single = _unspaced(raw, firsts)
     words = runs(raw, offsets, LETTER_CLASSES, cuts=np.concatenate([firsts[single], ends[single]]))
     # places of characters: the first of each word, and the first behind it
     breaks = np.flatnonzero(np.diff(np.append(LETTER_CLASSES[raw], 0).astype(np.int8)) < 0) + 1
-    stops = np.unique(np.concatenate([words.starts, breaks, offsets[1:], ends[single]]))
-    stops = stops[np.searchsorted(stops, words.starts, side="right")]
-    at, last = np.searchsorted(firsts, words.starts), np.searchsorted(firsts, stops)
+    marks = np.zeros(len(raw) + 1, bool)
+    for places in (words.starts, breaks, offsets[1:], ends[single]):
+        marks[places] = True
+    stops = np.flatnonzero(marks)
+    stops = stops[np.cumsum(marks)[words.starts]]
+    # characters that start before each byte
+    before = np.zeros(len(raw) + 1, np.int64)
+    np.cumsum(starts_char, out=before[1:])
+    at, last = before[words.starts], before[stops]
+    sums = hash_sums(raw)
     edges = np.append(firsts, len(raw))
     alone = single[at]
     out = []
     for size in BEGINNINGS:
         own = np.flatnonzero((last - at >= size) & ~alone)
-        out.append((own, mixed(span_hashes(raw, words.starts[own], edges[at[own] + size]) + np.uint64(size))))
+        out.append((own, mixed(span_hashes(raw, words.starts[own], edges[at[own] + size], sums) + np.uint64(size))))
     own = np.flatnonzero(~alone)
     out.append((own, mixed(words.hashes[own] + np.uint64(1))))
     owners = words.owners()
@@ -92,7 +100,7 @@ def _tokens(raw: np.ndarray, offsets: np.ndarray) -> tuple[Runs, list[tuple[np.n
         for i in range(1, size):
             together &= alone[own + i]
         own, ahead = own[together], ahead[together]
-        out.append((own, mixed(span_hashes(raw, words.starts[own], stops[ahead]) + np.uint64(100 + size))))
+        out.append((own, mixed(span_hashes(raw, words.starts[own], stops[ahead], sums) + np.uint64(100 + size))))
     return words, out
 
 

@@ -99,10 +99,16 @@ def runs(
     return Runs(hashes, kinds[starts], starts, np.searchsorted(starts, offsets))
 
 
-def span_hashes(raw: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
-    """Hash of the bytes of each span, the same as that of an equal run."""
+def hash_sums(raw: np.ndarray) -> np.ndarray:
+    """What ``span_hashes`` of these bytes are taken from."""
     sums = np.zeros(len(raw) + 1, np.uint64)
     np.cumsum(_VALUES[raw] * _powers_of(_FACTOR, len(raw)), out=sums[1:])
+    return sums
+
+
+def span_hashes(raw: np.ndarray, starts: np.ndarray, stops: np.ndarray, sums: np.ndarray | None = None) -> np.ndarray:
+    """Hash of the bytes of each span, the same as that of an equal run."""
+    sums = hash_sums(raw) if sums is None else sums
     return mixed((sums[stops] - sums[starts]) * _powers_of(_INVERSE, len(raw) + 1)[starts])
 
 
