@@ -12,11 +12,12 @@ every order.
    The smaller set of a pair needs but half as long a prefix, as the overlap of a pair is a
    larger share of it.
 3. Sets that share a key become candidates if their sizes, the places of the key in both, and
-   bitmaps of them allow it; they stay if their prefixes under the other orders meet, too. Only
+   bitmaps of them allow it, and not where the key before is the same in both, by which they have
+   met already; they stay if their prefixes under the other orders meet, too. Only
    then are whole sets compared. A bitmap holds for each cell of a token's hash whether an odd
    number of tokens lies in it: where two bitmaps differ, one token at least is in one set only.
 4. As components are asked for, a large group of near copies is first linked to its most
-   frequent partners. What is left to test are pairs of different components, all of them. Two
+   frequent partners, then to those that were linked most. What is left to test are pairs of different components, all of them. Two
    components are first compared as such, by the bits that all of their sets with the key agree on.
 
 No cap is set anywhere: a key with very many sets is paired by component, and members of two
@@ -35,7 +36,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from ..staging import stage_counted
 from .components import connected_components
+from .phrases import _bit_map, _in_map
 from .tables import text_bytes, text_slices, written
 from .words import WORD_CLASSES, mixed, runs, windows
 
@@ -211,17 +214,58 @@ def _prefixes(join: Join, levels: np.ndarray):
     return run
 
 
-def _whole_sets(join: Join):
-    """Sets of the wanted documents, those of repeated rows once in a task."""
+def _map_of(keys: DataFrame, name: str):
+    """Bit map of the column ``key``, of bounded size, for all tasks."""
+    counted, rows = stage_counted(keys, name)
+    return keys.sparkSession.sparkContext.broadcast(_bit_map(counted, rows))
+
+
+def _in_mapped(batch: pa.RecordBatch, column: str, bits) -> np.ndarray:
+    return _in_map(bits.value, batch.column(column).to_numpy(zero_copy_only=False).view(np.uint64))
+
+
+def _likely(df: DataFrame, column: str, keys: DataFrame, name: str) -> DataFrame:
+    """Rows of which ``column`` is among ``keys``, and a few others, so that the rest is not shuffled."""
+    bits = _map_of(keys, name)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_in_mapped(batch, column, bits), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
+def _several_tokens(bits):
+    """Rows of tokens in the bit map, which are those of several sets and a few others; ``prev`` is the
+    set's token before, of these, or the token itself where none is known."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = batch.filter(pa.array(_in_mapped(batch, "token", bits), pa.bool_()))
+            prints, tokens = (batch.column(x).to_numpy() for x in ("print", "token"))
+            before = tokens.copy()
+            before[1:] = np.where(prints[1:] == prints[:-1], tokens[:-1], tokens[1:])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(before)], names=[*batch.schema.names, "prev"])
+
+    return run
+
+
+def _whole_sets(join: Join, bits):
+    """Sets of the documents in the bit map, those of repeated sets once in a task: the wanted ones
+    and a few others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for batch in text_slices(batches):
-            sets = shingle_sets(*text_bytes(batch.column("text")), join.width)
-            prints = batch.column("print")
-            meant = [own not in seen and not seen.add(own) for own in prints.to_pylist()]
-            whole = pa.RecordBatch.from_arrays([prints, pa.array([x.tobytes() for x in sets], pa.binary())], names=["print", "tokens"])
-            yield whole.filter(pa.array(meant, pa.bool_()))
+        for batch in batches:
+            for part in text_slices(iter([batch.filter(pa.array(_in_mapped(batch, "key", bits), pa.bool_()))])):
+                prints, whole = [], []
+                for found in shingle_sets(*text_bytes(part.column("text")), join.width):
+                    own = _print(found)
+                    if own is not None and own not in seen:
+                        seen.add(own)
+                        prints.append(own)
+                        whole.append(found.tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array(prints, pa.int64()), pa.array(whole, pa.binary())], names=["print", "tokens"])
 
     return run
 
@@ -271,17 +315,20 @@ class _Verifier:
 
     def links(self, pairs: DataFrame, name: str) -> DataFrame:
         columns = ("n", "bits", *self.join.orders())
-        a, b = (self.prefixes.select(F.col("print").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in columns)) for x in "ab")
+        pairs = written(pairs, f"{name}-met")
+        either = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+        prefixes = _likely(self.prefixes, "print", either, f"{name}-prints")
+        a, b = (prefixes.select(F.col("print").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in columns)) for x in "ab")
         met = pairs.join(a, "a").join(b, "b").where(_bits_allow(self.join))
         for order in self.join.orders():
             met = met.where(F.arrays_overlap(f"{order}_a", f"{order}_b"))
         met = written(met.select("a", "b"), name)
         wanted = met.select("a").union(met.select("b")).distinct()
-        # which documents are wanted is written first, so that texts stay where they are if it is little
-        first = written(self.first.join(wanted.withColumnRenamed("a", "first_print"), "first_print"), f"{name}-wanted")
-        meant = (F.col("digest") == F.col("first_digest")) & F.col("id").eqNullSafe(F.col("first_id"))
-        whole = self.rows.join(first, meant).select(F.col("first_print").alias("print"), "text")
-        tokens = written(whole.mapInArrow(_whole_sets(self.join), "print long, tokens binary"), f"{name}-sets")
+        # texts stay where they are; what is not wanted meets no pair, and a set that comes twice links the same
+        first = self.first.join(wanted.withColumnRenamed("a", "first_print"), "first_print")
+        bits = _map_of(first.select(F.xxhash64("first_id", "first_digest").alias("key")), f"{name}-wanted")
+        texts = self.rows.select(F.xxhash64("id", "digest").alias("key"), "text")
+        tokens = written(texts.mapInArrow(_whole_sets(self.join, bits), "print long, tokens binary"), f"{name}-sets")
         a, b = (tokens.select(F.col("print").alias(x), F.col("tokens").alias(f"tokens_{x}")) for x in "ab")
         return written(met.join(a, "a").join(b, "b").mapInArrow(_linked(self.join.share), "a long, b long"), f"{name}-links")
 
@@ -296,6 +343,13 @@ def _places_allow(share: tuple[int, int], least: Column, rest_a: str, rest_b: st
     return (F.least(rest_a, rest_b) + 1) * sum(share) >= least * share[0]
 
 
+def _new_here(last: str) -> Column:
+    """False if each set on one side and each on the other has the same token before ``token``, by which
+    they meet, too, with no less behind it. ``prev`` and ``last`` are the ends of these tokens."""
+    same = [F.col(f"{x}_{side}") == F.col("prev_a") for x, side in (("prev", "b"), (last, "a"), (last, "b"))]
+    return ~(same[0] & same[1] & same[2] & (F.col("prev_a") != F.col("token")))
+
+
 def ngram_components(docs: DataFrame, id_col: str, text_col: str, join: Join = Join()) -> DataFrame:
     """One row per input row: ``id, n_shingles, component_id``.
 
@@ -317,7 +371,10 @@ def ngram_components(docs: DataFrame, id_col: str, text_col: str, join: Join = J
     shared = prefixes.select("print", "n", "short", F.posexplode("keys").alias("at", "token"))
     shared = shared.select("print", "n", "token", (F.col("at") < F.col("short")).alias("short"), (F.col("n") - F.col("at") - 1).alias("rest"))
     several = shared.groupBy("token").agg(F.count(F.lit(1)).alias("sets"), F.max("short").alias("some"))
-    shared = written(shared.join(several.where("sets > 1 and some").select("token"), "token", "left_semi"), "shared-tokens")
+    several = written(several.where("sets > 1 and some").select("token"), "several-tokens")
+    hits = _several_tokens(_map_of(several.withColumnRenamed("token", "key"), "several-keys"))
+    shared = shared.mapInArrow(hits, "print long, n long, token long, short boolean, rest long, prev long")
+    shared = written(shared.join(several, "token", "left_semi"), "shared-tokens")
 
     # whole sets are taken from one document each
     one = F.min(F.struct(F.col("id").isNull(), "id", "digest")).alias("first")
@@ -331,6 +388,17 @@ def ngram_components(docs: DataFrame, id_col: str, text_col: str, join: Join = J
     ranked = near.groupBy("print", "to").agg(F.count(F.lit(1)).alias("tokens"))
     best = ranked.groupBy("print").agg(F.max_by("to", F.struct("tokens", "to")).alias("to"))
     firsts = verifier.links(best.select(F.least("print", "to").alias("a"), F.greatest("print", "to").alias("b")).distinct(), "first-pairs")
+    # then those with most links so far among the sets with one of its tokens, and with its rarest: copies
+    # with few changes are alike even where those with many are not, and have been linked by some
+    degrees = firsts.select(F.explode(F.array("a", "b")).alias("print")).groupBy("print").agg(F.count(F.lit(1)).alias("degree"))
+    hubs = shared.join(degrees, "print").groupBy("token").agg(
+        F.max(F.struct("degree", F.col("print").alias("to"))).alias("hub"), F.count(F.lit(1)).alias("linked")
+    )
+    ranked = shared.join(hubs, "token").where("print <> hub.to").groupBy("print")
+    best = ranked.agg(F.max("hub").alias("most"), F.min(F.struct("linked", "hub")).alias("rare"))
+    best = best.select("print", F.explode(F.array_distinct(F.array("most.to", "rare.hub.to"))).alias("to"))
+    seconds = best.select(F.least("print", "to").alias("a"), F.greatest("print", "to").alias("b")).distinct()
+    firsts = firsts.union(verifier.links(seconds.join(firsts, ["a", "b"], "left_anti"), "second-pairs"))
     components = connected_components(firsts, "a", "b").select(F.col("node").alias("print"), "root")
 
     # every pair of sets of different components that shares a token, the smaller set first
@@ -341,28 +409,30 @@ def ngram_components(docs: DataFrame, id_col: str, text_col: str, join: Join = J
     places = range(join.bitmap_longs)
     roots = member.groupBy("token", "root").agg(
         F.max("short").alias("short"), F.min("n").alias("least"), F.max("n").alias("most"), F.max("rest").alias("rest"),
+        F.min("prev").alias("prev"), F.max("prev").alias("last_prev"),
         F.array(*(F.bit_and(F.col("bits")[i]) for i in places)).alias("all"), F.array(*(F.bit_or(F.col("bits")[i]) for i in places)).alias("any"),
     )
-    columns = ("root", "least", "most", "rest", "all", "any")
+    # all pairs that meet at a token have met before if all sets have the same token before it
+    columns = ("root", "least", "most", "rest", "all", "any", "prev", "last_prev")
     one, two = (table.select("token", *(F.col(c).alias(f"{c}_{x}") for c in columns)) for x, table in (("a", roots.where("short")), ("b", roots)))
     apart = one.withColumnRenamed("token", "token_a").join(
         two,
-        (F.col("token_a") == F.col("token")) & (F.col("root_a") != F.col("root_b"))
+        (F.col("token_a") == F.col("token")) & (F.col("root_a") != F.col("root_b")) & _new_here("last_prev")
         & (F.col("least_a") <= F.col("most_b")) & (F.col("most_a") * join.share[1] >= F.col("least_b") * join.share[0])
         & _places_allow(join.share, F.col("least_a") + F.col("least_b"), "rest_a", "rest_b")
         & _differences_allow(join, _only_one_has(join, ("all_a", "any_a"), ("all_b", "any_b")), F.col("most_a") + F.col("most_b")),
-    ).select("token", "root_a", *(f"{c}_b" for c in columns))
-    columns = ("root", "print", "n", "rest", "bits")
+    ).select("token", "root_a", *(f"{c}_b" for c in columns[:6]))
+    columns = ("root", "print", "n", "rest", "bits", "prev")
     one, two = (table.select("token", *(F.col(c).alias(f"{c}_{x}") for c in columns)) for x, table in (("a", member.where("short")), ("b", member)))
     # a member on its own against the other component, before it meets the members of that
     hopeful = (F.col("n_a") <= F.col("most_b")) & (F.col("n_a") * join.share[1] >= F.col("least_b") * join.share[0])
     hopeful &= _differences_allow(join, _only_one_has(join, ("all_b", "any_b"), ("bits_a", "bits_a")), F.col("n_a") + F.col("most_b"))
     hopeful &= _places_allow(join.share, F.col("n_a") + F.col("least_b"), "rest_a", "most_rest_b")
     apart = apart.withColumnRenamed("rest_b", "most_rest_b")
-    one = apart.join(one, ["token", "root_a"]).where(hopeful).select("token", "root_b", "print_a", "n_a", "rest_a", "bits_a")
+    one = apart.join(one, ["token", "root_a"]).where(hopeful).select("token", "root_b", "print_a", "n_a", "rest_a", "bits_a", "prev_a")
     fits = (F.col("n_a") <= F.col("n_b")) & _sizes_allow(join.share, "n_a", "n_b") & _bits_allow(join)
     fits &= _places_allow(join.share, F.col("n_a") + F.col("n_b"), "rest_a", "rest_b")
-    pairs = one.join(two, ["token", "root_b"]).where(fits)
+    pairs = one.join(two, ["token", "root_b"]).where(fits & _new_here("prev"))
     pairs = pairs.select(F.least("print_a", "print_b").alias("a"), F.greatest("print_a", "print_b").alias("b")).distinct()
     links = firsts.union(verifier.links(pairs, "other-pairs"))
 

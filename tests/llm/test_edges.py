@@ -566,3 +566,31 @@ def test_one_bitmap_against_those_of_a_component(spark):
     one, two, three = ("bits_a", "bits_a"), ("all_b", "any_b"), ("bits_b", "bits_b")
     cells = [ngram_join._only_one_has(join, *x) for x in ((one, two), (two, one), (one, three), (two, two))]
     assert list(row.select(*(c.alias(str(i)) for i, c in enumerate(cells))).first()) == [2, 2, 2, 0]
+
+
+def test_pairs_are_made_at_the_first_of_the_tokens_that_they_share_in_a_row(spark):
+    """Tokens that are not shared are passed over; a set's first one stands for itself."""
+    bits = ngram_join._map_of(spark.createDataFrame([(x,) for x in (2, 3, 4)], "key long"), "keys")
+    rows = [(p, 9, x, True, 9 - x) for p, tokens in ((1, (1, 2, 3, 4)), (2, (2, 3, 4)), (3, (2, 4))) for x in tokens]
+    kinds = "print long, n long, token long, short boolean, rest long"
+    found = spark.createDataFrame(rows, kinds).coalesce(1).mapInArrow(ngram_join._several_tokens(bits), f"{kinds}, prev long").where("token in (2, 3, 4)")
+    assert sorted((r["print"], r["token"], r["prev"]) for r in found.collect() if r["print"] > 1) == [(2, 2, 2), (2, 3, 2), (2, 4, 3), (3, 2, 2), (3, 4, 2)]
+    a, b = (found.select("token", *(F.col(c).alias(f"{c}_{x}") for c in ("print", "prev"))) for x in "ab")
+    made = a.join(b, "token").where("print_a < print_b").where(ngram_join._new_here("prev"))
+    assert sorted((r["print_a"], r["print_b"], r["token"]) for r in made.collect()) == [(1, 2, 2), (1, 3, 2), (1, 3, 4), (2, 3, 2), (2, 3, 4)]
+
+
+def test_near_copies_with_changes_in_common(spark, monkeypatch):
+    """Most are linked through a few; few pairs are left to be made, and each of them once or so."""
+    made, plain = {}, ngram_join.written
+    monkeypatch.setattr(ngram_join, "written", lambda df, name: made.setdefault(name, plain(df, name)))
+    base, named = [f"w{i}" for i in range(150)], {}
+    for n in range(160):
+        words = list(base)
+        for k in DRAW.sample(range(1, 149), DRAW.choice([1, 1, 2, 2, 3, 4])):
+            words[k] = f"x{k}y{DRAW.randrange(3)}"
+        named[n] = " ".join(words)
+    docs = spark.createDataFrame(list(named.items()), "id long, text string")
+    found = ngram_join.ngram_components(docs, "id", "text").collect()
+    assert sorted((r["id"], r["n_shingles"], r["component_id"]) for r in found) == shingle_components(named)
+    assert made["second-pairs-links"].count() and made["other-pairs-met"].count() < 160 * 159 / 8
