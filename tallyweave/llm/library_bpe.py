@@ -67,7 +67,9 @@ class LibraryBpe:
         else:
             pattern = None
         self.packed, self.space = _Packed(self.dtype), _byte_letters()[32]
-        self.model, self.letters = self.tokenizer.model, _byte_letters()
+        # pieces are memoised here, so the model of its own that they go through keeps none
+        self.model, self.letters = Tokenizer.from_file(path).model, _byte_letters()
+        self.model._resize_cache(0)
         self.pretokens = pattern and Pretokens(pattern, self._piece, drops_space=drops_space)
 
     def _piece(self, piece: str) -> bytes:
