@@ -26,12 +26,13 @@ and are counted for a range of sizes at a time until no larger one can be freque
 
 from __future__ import annotations
 
+import math
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..staging import spread, stage, stage_counted
+from ..staging import discard, first_row, shuffles_dropped, spread, stage, stage_counted
 from . import pairs as pairing
 from .pairs import dealt_by_first, largest_group, pairs_within
 
@@ -50,6 +51,10 @@ FEW_TIMES_LONGER = 1.7
 SIZES_AT_ONCE = 5
 # Baskets that a pair of items must share within one part of the baskets, where pairs are found by them.
 SHARED_IN_PART = 3
+# Parts of the baskets there: so many that a pair with ``need`` of them still shares two groups or more, from need 6 on.
+PARTS = "greatest(1L, (need - 2) div 2)"
+# Groups of baskets that are met at a time.
+GROUPS_A_ROUND = 40_000_000
 # Levels between two written basket tables; in between they are derived again.
 STAGE_EVERY = 3
 
@@ -242,7 +247,8 @@ def _first_pass(df, basket, item, min_support, n_chunks, min_basket_size, chunk,
     else:
         rows = _basket_rows(df, basket, item, min_basket_size, chunk)
         sizes = rows.select("chunk", "basket").distinct().groupBy("chunk").agg(F.expr("count(*) AS baskets"))
-    baskets = {row["chunk"]: row["baskets"] for row in sizes.collect()}
+    with shuffles_dropped(df.sparkSession):
+        baskets = {row["chunk"]: row["baskets"] for row in sizes.collect()}
     total = sum(baskets.values())
     needs = {number: -(-int(min_support) * count // total) for number, count in baskets.items()}
     need = F.lit(None).cast("bigint")
@@ -264,7 +270,7 @@ def _first_pass(df, basket, item, min_support, n_chunks, min_basket_size, chunk,
     for level in levels:
         candidates = candidates.unionByName(level.select("chunk", "numbers"))
     if levels:
-        deepest = candidates.agg(F.max(F.size("numbers"))).first()[0]
+        deepest = first_row(candidates.agg(F.max(F.size("numbers"))))[0]
     return _Mined(singles, grouped, candidates, deepest)
 
 
@@ -273,7 +279,7 @@ def _short(baskets: _Baskets) -> bool:
     if baskets.crowded is not None:
         return False
     sizes = baskets.light.select(F.size("lasts").cast("double").alias("n"))
-    sums = sizes.agg(F.max("n").alias("longest"), F.sum(F.pow(F.lit(2.0), "n")).alias("subsets"), F.sum(F.expr("n * n")).alias("pairs")).first()
+    sums = first_row(sizes.agg(F.max("n").alias("longest"), F.sum(F.pow(F.lit(2.0), "n")).alias("subsets"), F.sum(F.expr("n * n")).alias("pairs")))
     longest, a_pair = SHORT_BASKET, SUBSETS_A_PAIR
     if baskets.few:
         longest, a_pair = FEW_TIMES_LONGER * SHORT_BASKET, FEW_SUBSETS_A_PAIR
@@ -436,37 +442,68 @@ def _held(baskets: _Baskets, itemsets: DataFrame) -> _Baskets:
 
 
 def _parts_of(ranked: DataFrame, need: Column) -> DataFrame | None:
-    """``(chunk, number, part, baskets)``: the baskets of each item, in as many parts as
-    make a frequent pair share ``SHARED_IN_PART`` of one part, or None where baskets have fewer pairs
-    of items than items have such groups of baskets."""
+    """Staged ``(chunk, number, part, baskets)``: the baskets of each item, in as many parts as
+    make a frequent pair share groups of ``SHARED_IN_PART`` of one part, two groups where it can, or None where
+    baskets have fewer pairs of items than items have such groups of baskets. The parts have a hash of
+    their own, as chunks go by that of the basket."""
     needs = ranked.select("chunk", need.alias("need"))
-    if (needs.agg(F.min("need")).first()[0] or 0) < SHARED_IN_PART:
+    if (first_row(needs.agg(F.min("need")))[0] or 0) < SHARED_IN_PART:
         return None
-    parts = ranked.withColumn("need", need).withColumn("parts", F.expr(f"need div {SHARED_IN_PART}"))
-    parts = parts.withColumn("part", F.pmod(F.xxhash64("basket"), "parts"))
+    parts = ranked.withColumn("need", need).withColumn("parts", F.expr(PARTS))
+    parts = parts.withColumn("part", F.pmod(F.xxhash64(F.lit("part"), "basket"), "parts"))
     held = parts.groupBy("chunk", "number", "part").agg(F.sort_array(F.collect_set("basket")).alias("baskets"))
     held = stage(held.filter(F.size("baskets") >= SHARED_IN_PART), "item-baskets")
-    n = F.size("baskets").cast("double")
-    groups = held.agg(F.sum(n * (n - 1) * (n - 2) / 6)).first()[0] or 0.0
     sizes = ranked.groupBy("chunk", "basket").agg(F.count("*").cast("double").alias("n"))
-    pairs = sizes.agg(F.sum(F.expr("n * (n - 1) / 2"))).first()[0] or 0.0
-    return held if groups <= pairs else None
+    pairs = first_row(sizes.agg(F.sum(F.expr("n * (n - 1) / 2"))))[0] or 0.0
+    return held if _groups(held) <= pairs else None
 
 
-def _frequent_pairs(ranked: DataFrame, held: DataFrame, need: Column) -> DataFrame:
-    """``(chunk, numbers, support)`` of the pairs that reach the need of their chunk.
+def _groups(held: DataFrame) -> float:
+    """How many groups of baskets of one part the items have."""
+    n = F.size("baskets").cast("double")
+    return first_row(held.agg(F.sum(n * (n - 1) * (n - 2) / 6)))[0] or 0.0
 
-    A pair that shares ``need`` baskets shares, whatever the parts they are in, no fewer groups of
-    three baskets of one part than if they were dealt evenly. Few pairs share so many
-    groups by chance; these are counted over their baskets.
+
+def _shared_groups(held: DataFrame, n_groups: float, rounds: int, turn: int) -> DataFrame:
+    """Staged ``(chunk, number_1, number_2, shared)``: pairs of items and how many groups of baskets they
+    share, of the groups whose first basket has this turn.
+
+    A group travels as its hash, and those of one item stay where they arrive. Where two hashes are
+    equal, ``shared`` is too large, never too small.
     """
     ones = held.select("chunk", "number", "baskets", F.posexplode("baskets").alias("at", "b1"))
+    ones = ones.filter(F.pmod(F.xxhash64(F.lit("turn"), "b1"), F.lit(rounds)) == turn)
     ones = ones.selectExpr("chunk", "number", "b1", "slice(baskets, at + 2, size(baskets)) AS baskets")
     twos = ones.select("chunk", "number", "b1", "baskets", F.posexplode("baskets").alias("at", "b2"))
     threes = twos.selectExpr("chunk", "number", "b1", "b2", "explode(slice(baskets, at + 2, size(baskets))) AS b3")
-    shared = pairs_within(threes, ["chunk", "b1", "b2", "b3"], "number", by_first=True)
-    shared = shared.groupBy("chunk", "number_1", "number_2").agg(F.count("*").alias("shared"))
-    shared = shared.withColumn("need", need).withColumn("parts", F.expr(f"need div {SHARED_IN_PART}"))
+    groups = threes.select("chunk", "number", F.xxhash64("b1", "b2", "b3").alias("group"))
+    least = int(held.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = groups.repartition(max(least, math.ceil(n_groups / rounds / pairing.PAIRS_A_TASK)), "chunk", "group")
+    meet = dealt.withColumn("items", F.count("*").over(Window.partitionBy("chunk", "group")))
+    meet = stage(meet.filter("items > 1").select("chunk", "group", "number"), "shared-groups")
+    shared = pairs_within(meet, ["chunk", "group"], "number", by_first=True).filter("number_1 < number_2")
+    shared = stage(shared.groupBy("chunk", "number_1", "number_2").agg(F.expr("count(*) AS shared")), "shared-pairs")
+    discard(meet)
+    return shared
+
+
+def _frequent_pairs(ranked: DataFrame, held: DataFrame, need: Column) -> DataFrame:
+    """``(chunk, numbers, support)`` of the pairs that reach the need of their chunk.
+
+    A pair that shares ``need`` baskets shares, whatever the parts they are in, no fewer groups of
+    three baskets of one part than if they were dealt evenly. Few pairs share so many
+    groups by chance; these are counted over their baskets. Groups are met in as many turns as keep those of
+    one turn on disk few.
+    """
+    n_groups = _groups(held)
+    rounds = max(1, math.ceil(n_groups / GROUPS_A_ROUND))
+    shared = _shared_groups(held, n_groups, rounds, 0)
+    for turn in range(1, rounds):
+        shared = shared.unionByName(_shared_groups(held, n_groups, rounds, turn))
+    discard(held)
+    if rounds > 1:
+        shared = shared.groupBy("chunk", "number_1", "number_2").agg(F.sum("shared").alias("shared"))
+    shared = shared.withColumn("need", need).withColumn("parts", F.expr(PARTS))
     evenly = F.expr("""
         (parts - need % parts) * ((need div parts) * ((need div parts) - 1) * ((need div parts) - 2) div 6)
         + (need % parts) * (((need div parts) + 1) * (need div parts) * ((need div parts) - 1) div 6)""")
@@ -522,7 +559,7 @@ def _dealt(light: DataFrame) -> DataFrame:
     """Rows of one prefix in one task, if they hold more different pairs than a task may hold: else
     counting before the shuffle leaves few rows."""
     each = light.groupBy(F.col("prefix")[0].alias("first")).agg(F.count("*").alias("_rows"), F.sum(F.size("lasts")).alias("_pairs"))
-    sums = each.agg(F.count("*").alias("items"), F.max("_rows").alias("hottest"), F.sum("_pairs").alias("pairs")).first()
+    sums = first_row(each.agg(F.count("*").alias("items"), F.max("_rows").alias("hottest"), F.sum("_pairs").alias("pairs")))
     if (sums["items"] or 0) ** 2 / 2 <= pairing.PAIRS_A_TASK:
         return light
     first = light.withColumn("first", F.col("prefix")[0])

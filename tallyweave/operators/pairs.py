@@ -7,6 +7,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..staging import first_row
+
 # Rows of one group that one join cell may hold on each side.
 CELL_ROWS = 2000
 # Pairs that one task may hold apart when they come together by their first id.
@@ -18,7 +20,7 @@ HOT_ID = 100_000
 def largest_group(rows: DataFrame, *group: str) -> int:
     """Row count of the largest group: one scalar, counted before the shuffle."""
     sizes = rows.groupBy(*group).agg(F.count("*").alias("_rows"))
-    return sizes.agg(F.max("_rows")).first()[0] or 0
+    return first_row(sizes.agg(F.max("_rows")))[0] or 0
 
 
 def lists_within(
@@ -78,7 +80,7 @@ def pairs_by_first(
     """The pairs of ``pairs_within``, for an aggregation by ``{id}_1`` and ``{id}_2``: rows travel as
     lists to the task of their first id, and pairs are made there."""
     sizes = rows.groupBy(*group).agg(F.count("*").alias("_rows"))
-    sums = sizes.agg(F.max("_rows").alias("largest"), F.sum(F.expr("_rows * (_rows - 1) / 2")).cast("bigint").alias("pairs")).first()
+    sums = first_row(sizes.agg(F.max("_rows").alias("largest"), F.sum(F.expr("_rows * (_rows - 1) / 2")).cast("bigint").alias("pairs")))
     lists = lists_within(rows, group, id_col, carry, cell_rows, sums["largest"] or 0)
     lists = dealt_by_first(lists, f"{id_col}_1", sums["pairs"] or 0, largest_group(rows, id_col), *group)
     columns = [id_col, *carry]

@@ -10,11 +10,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 _local_roots: dict[str, str] = {}
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def staging_root(spark: SparkSession) -> str:
@@ -35,13 +38,40 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a query that starts and ends here are dropped when it has ended."""
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
+
+def first_row(df: DataFrame) -> Row | None:
+    """``df.first()``, free of its shuffles."""
+    with shuffles_dropped(df.sparkSession):
+        return df.first()
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once and return the written table."""
+    """Write ``df`` once and return the written table, free of its shuffles."""
     path = staging_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with shuffles_dropped(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``stage`` that nothing reads any more: all that came of them is staged, too."""
+    for table in tables:
+        spark = table.sparkSession
+        for folder in {file.rpartition("/")[0] for file in table.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def spread(df: DataFrame, *columns: str) -> DataFrame:
     """Even parts for every core, for rows that are small now and expand when read."""
     spark = df.sparkSession

@@ -199,6 +199,34 @@ def test_pairs_of_crowded_baskets_by_shared_groups(spark, rows_of, monkeypatch):
     assert rows_of(frequent_itemsets(df, "b", "i", support, crowded=3)) == found
 
 
+def test_parts_of_baskets_do_not_follow_their_chunks(spark):
+    """Baskets of one chunk, which go by their hash, lie in all parts."""
+    rows = [(basket, number) for basket in range(64) for number in range(4)]
+    chunk = F.pmod(F.xxhash64("basket"), F.lit(2)).alias("chunk")
+    ranked = spark.createDataFrame(rows, "basket long, number long").select(chunk, "basket", "number")
+    need = F.lit(6).cast("bigint")
+    held = itemsets._parts_of(ranked.unionByName(wide_baskets(spark)), need).filter("number < 4")
+    parts = held.groupBy("chunk", "number").agg(F.count("*").alias("parts"), F.max(F.size("baskets")).alias("most"))
+    assert all(row["parts"] == 2 and row["most"] < 32 for row in parts.collect())
+
+
+def wide_baskets(spark):
+    """Baskets of so many items that their pairs are more than any groups of baskets."""
+    return spark.range(2_000).selectExpr("0 AS chunk", "-1L AS basket", "100 + id AS number")
+
+
+def test_groups_of_baskets_are_met_in_turns(spark, rows_of, monkeypatch):
+    """However many groups are met at a time, the itemsets are the same."""
+    df = spark.createDataFrame(crowded_rows(), "b int, i string")
+    found = rows_of(frequent_itemsets(df, "b", "i", 8, crowded=3))
+    monkeypatch.setattr(itemsets, "FEW_ITEMS", 0)
+    monkeypatch.setattr(itemsets, "GROUPS_A_ROUND", 500)
+    monkeypatch.setattr(itemsets, "_shared_groups", counted_calls(itemsets._shared_groups, calls := []))
+    assert rows_of(frequent_itemsets(df, "b", "i", 8, crowded=3)) == found
+    assert rows_of(son_itemsets(df, "b", "i", 8, 2, crowded=3)) == found
+    assert len(calls) > 2
+
+
 def test_lists_of_pairs_are_dealt_by_prefix(spark, rows_of, monkeypatch):
     df = spark.createDataFrame(crowded_rows(), "b int, i string")
     monkeypatch.setattr(itemsets, "SHORT_BASKET", 0)
