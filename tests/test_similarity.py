@@ -1,11 +1,14 @@
 from __future__ import annotations
 
+import os
 import random
+import time
 from itertools import combinations
 
 import pytest
 from pyspark.sql import functions as F
 
+from tallyweave import staging
 from tallyweave.functions import HASH_PRIME, draw_hash_params
 from tallyweave.operators import pairs, similarity
 from tallyweave.operators import (
@@ -252,6 +255,39 @@ def test_candidates_by_parts(spark, rows_of, monkeypatch, seed, threshold, part)
     assert rows_of(similar_pairs(df, "k", "m", threshold, hot_member=3, cell_rows=7, chunk_members=16)) == wanted
 
 
+def test_members_are_compared_in_turns(spark, rows_of, monkeypatch):
+    """However many members are compared at a time, the pairs are the same; tables that are read no more
+    are deleted."""
+    sets = _near_copies(7, 60, [2, 10, 40], 30)
+    sets[60] = sets[3]
+    df = spark.createDataFrame([(key, member) for key, members in sets.items() for member in members], "k long, m string")
+    plain = rows_of(similar_pairs(df, "k", "m", 0.4, hot_member=3, cell_rows=7))
+    monkeypatch.setattr(similarity, "ROWS_A_ROUND", 300)
+    staged = []
+    monkeypatch.setattr(similarity, "stage", lambda df, name, plain=similarity.stage: staged.append((name, plain(df, name))) or staged[-1][1])
+    assert rows_of(similar_pairs(df, "k", "m", 0.4, hot_member=3, cell_rows=7)) == plain != []
+    assert sum(name == "alike" for name, _ in staged) > 2
+    folders = {name: table.inputFiles()[0].rpartition("/")[0].removeprefix("file://") for name, table in staged}
+    assert {name for name, folder in folders.items() if not os.path.exists(folder)} >= {"member-rows", "members", "numbers", "set-parts"}
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark):
+    def shuffle_files():
+        disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        names = (file.getName() for file in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(disk.getAllFiles()))
+        return {name for name in names if name.startswith("shuffle_")}
+
+    before = shuffle_files()
+    rows = spark.range(1000).repartition(3, "id")
+    assert len(staging.stage(rows, "rows").collect()) == 1000
+    assert staging.first_row(rows.groupBy((F.col("id") % 7).alias("k")).count().agg(F.max("count")))[0] == 143
+    deadline = time.time() + 20
+    while shuffle_files() - before and time.time() < deadline:
+        time.sleep(0.1)
+    left = {name for name in shuffle_files() - before if name.endswith(".data")}
+    assert not left
+
+
 def test_sets_of_common_members_are_no_candidates(spark):
     """Random sets of common members meet very often; hardly a pair of them leaves its task."""
     rng = random.Random(6)
