@@ -195,6 +195,20 @@ def test_pairs_are_not_shuffled(spark):
     assert exchanges_above_pairs(counted) == 0
 
 
+@pytest.mark.parametrize("cell_rows", [2_000, 3])
+def test_pairs_of_some_firsts_at_a_time(spark, rows_of, monkeypatch, cell_rows):
+    """Turns hold each pair once, and all pairs of a first id in one of them."""
+    rows = random_rows(4)
+    members = frame(spark, rows).distinct()
+    plain = rows_of(pairs_within(members, ["m"], "k", cell_rows=cell_rows))
+    turns = [rows_of(turn) for turn in pairs.pairs_in_turns(members, ["m"], "k", cell_rows=cell_rows, pairs_a_turn=len(plain) // 4)]
+    assert len(turns) > 3 and sorted(row for turn in turns for row in turn) == plain
+    assert sum(len({row[1] for row in turn}) for turn in turns) == len({row[1] for row in plain})
+    want = rows_of(similar_pairs(frame(spark, rows), "k", "m", 0.2))
+    monkeypatch.setattr(similarity, "PAIRS_A_TURN", len(plain) // 3)
+    assert rows_of(similar_pairs(frame(spark, rows), "k", "m", 0.2)) == want != []
+
+
 def test_tasks_follow_the_number_of_pairs(spark, monkeypatch):
     monkeypatch.setattr(pairs, "PAIRS_A_TASK", 10)
     rows = frame(spark, [(f"k{k}", m) for k in range(10) for m in range(4)])
@@ -262,7 +276,7 @@ def test_members_are_compared_in_turns(spark, rows_of, monkeypatch):
     sets[60] = sets[3]
     df = spark.createDataFrame([(key, member) for key, members in sets.items() for member in members], "k long, m string")
     plain = rows_of(similar_pairs(df, "k", "m", 0.4, hot_member=3, cell_rows=7))
-    monkeypatch.setattr(similarity, "ROWS_A_ROUND", 300)
+    monkeypatch.setattr(similarity, "ROWS_A_ROUND", 100)
     staged = []
     monkeypatch.setattr(similarity, "stage", lambda df, name, plain=similarity.stage: staged.append((name, plain(df, name))) or staged[-1][1])
     assert rows_of(similar_pairs(df, "k", "m", 0.4, hot_member=3, cell_rows=7)) == plain != []
